@@ -1,4 +1,4 @@
-"""Connected components of an edge table, by smallest neighbour labels with pointer jumping; nothing reaches the driver but counts."""
+"""Connected components of an edge table by alternating small stars and large stars; only two numbers a round reach the driver."""
 
 from __future__ import annotations
 
@@ -8,22 +8,33 @@ from pyspark.sql import functions as F
 from colloquy.llm.shared import written
 
 
+def _small_star(edges: DataFrame) -> DataFrame:
+    """Each node's smaller neighbours, and the node, link to the smallest of them. ``edges`` are (u, v), u > v."""
+    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    moved = edges.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return moved.union(least.select("u", F.col("m").alias("v"))).distinct()
+
+
+def _large_star(edges: DataFrame) -> DataFrame:
+    """Each node's larger neighbours link to the smallest of its neighbours and itself."""
+    least = edges.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "v")
+    return edges.join(least, "v", "left").select("u", F.coalesce("m", "v").alias("v")).distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
-    """(node, root) for every node of ``edges`` (a, b), two numbers of one type: root is the smallest node reachable.
+    """(node, root) for every node of ``edges`` (a, b), two numbers of one type, a != b: root is the smallest node reachable.
 
-    A round gives each node the smallest label among its own and its neighbours', then replaces each label by that label's
-    own label; so the rounds grow with the logarithm of a component's width in practice. Minima are pre-aggregated before
-    they are shuffled, and each round is written, so hubs and lost executors do no harm.
+    Both steps keep what is connected connected and never add edges, so dense groups shrink to a star in the first rounds;
+    rounds grow with the logarithm of a component's width in practice. Minima are pre-aggregated before they are shuffled and
+    each round is written, so hubs and lost executors do no harm. The end is a round that changes nothing.
     """
-    both = written(edges.select("a", "b").union(edges.select("b", "a")).where("a != b").distinct(), "component-edges")
-    roots = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root")).select("node", F.least("node", "root").alias("root"))
-    roots = written(roots, "component-roots")
+    now = edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+    mark = None
     while True:
-        near = both.join(roots.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
-        lower = roots.join(near, "node").select("node", "root", F.least("root", "near").alias("low"))
-        up = roots.select(F.col("node").alias("low"), F.col("root").alias("further"))
-        found = written(lower.join(up, "low", "left").select("node", "root", F.least("low", F.coalesce("further", "low")).alias("new")), "component-roots")
-        changed = found.where("root != new").limit(1).count()
-        roots = found.select("node", F.col("new").alias("root"))
-        if not changed:
-            return roots
+        now = written(_small_star(now), "component-stars")
+        seen = now.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
+        if seen == mark:
+            break
+        mark, now = seen, written(_large_star(now), "component-stars")
+    own = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    return own.union(now.select("v", "v").distinct())

@@ -67,15 +67,18 @@ def ball(fp: str, radius: int, bits: int = BITS) -> str:
 
 def sieve(fps: DataFrame) -> DataFrame:
     """Drops fingerprints that no other one can be near: four differing bits leave four of eight bytes alike, so a
-    fingerprint stays only if it shares some four bytes, in place, with another. No link is lost. Minima and maxima of a
-    key's fingerprints tell whether there are two, so a frequent key is pre-aggregated and never gathered."""
+    fingerprint stays only if it shares some four bytes, in place, with another. No link is lost. A key's count, minimum and
+    maximum are pre-aggregated, so a frequent key is never gathered; where they show just two fingerprints, their bits decide."""
     masks = [sum(0xFF << 8 * b for b in chosen) for chosen in combinations(range(BLOCKS), BLOCKS - WITHIN)]
     masks = [m - (1 << 64) if m >= 1 << 63 else m for m in masks]
     keys = fps.select("fp", F.posexplode(F.array(*(F.col("fp").bitwiseAND(F.lit(m)) for m in masks))).alias("mask", "key"))
-    # A mask's number goes into bits that the mask leaves empty in no other key: a hash of both is one long to shuffle.
     keys = keys.select("fp", F.xxhash64("mask", "key").alias("key"))
-    shared = keys.groupBy("key").agg(F.min("fp").alias("a"), F.max("fp").alias("b")).where("a != b").select("key")
-    return keys.join(shared, "key", "left_semi").select("fp").distinct()
+    shared = keys.groupBy("key").agg(F.min("fp").alias("a"), F.max("fp").alias("b"), F.count("*").alias("n")).where("n > 1")
+    shared = written(shared, "simhash-shared")
+    pairs = shared.where((F.col("n") == 2) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= WITHIN)).select(F.explode(F.array("a", "b")).alias("fp"))
+    # Larger groups name their members by a merge join always, whose cost follows the input; a broadcast would grow with it.
+    more = keys.join(shared.where("n > 2").select("key").hint("merge"), "key", "left_semi").select("fp")
+    return pairs.union(more).distinct()
 
 
 def links(fps: DataFrame) -> DataFrame:
@@ -84,6 +87,7 @@ def links(fps: DataFrame) -> DataFrame:
     ``fps`` has one column fp, without repeats. At a value meet at most 2,081 fingerprints, the size of a ball, whatever the
     data; they are pairwise linked, so edges from the smallest to each other one say it all. Pairs are verified by their bits.
     """
+    fps = fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
     spread = fps.select("fp", F.explode(F.expr(ball("fp", WITHIN // 2))).alias("value"))
     met = spread.groupBy("value").agg(F.collect_set("fp").alias("fps")).where(F.size("fps") > 1)
     stars = met.select(F.array_min("fps").alias("a"), F.explode("fps").alias("b")).where("a != b").distinct()
