@@ -17,7 +17,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from colloquy.llm.shared import WHITE, quoted, small_batches, written
 
@@ -65,6 +64,9 @@ class OpenTable:
             self.slots[at] = entry
 
 
+#: Columns and rows of the batches that come back.
+NAMES, ROWS = ["ident", "least", "hash", "content"], 512
+
 Record = pa.RecordBatch  # of: hash int64, ident int64, content binary
 
 
@@ -74,8 +76,8 @@ def _read(path: str) -> Iterator[Record]:
             yield from stream
 
 
-def grace(batches: Iterable[Record], limit: int = TABLE_BYTES, level: int = 0, folder: str | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Yields (ident, smallest ident of an equal content), for all records, bucket by bucket.
+def grace(batches: Iterable[Record], limit: int = TABLE_BYTES, level: int = 0, folder: str | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, OpenTable]]:
+    """Yields (idents, the numbers of their entries, the table), for all records, bucket by bucket.
 
     A bucket is tried in memory first; once its distinct contents pass ``limit`` all its records go to spill files by the
     next bits of the hash, and each file is a bucket of its own. Copies never make a bucket larger, so a single text in any
@@ -100,7 +102,7 @@ def grace(batches: Iterable[Record], limit: int = TABLE_BYTES, level: int = 0, f
             sink.close()
         if not over:
             if idents:
-                yield np.array(idents, dtype=np.int64), np.array(table.least, dtype=np.int64)[np.array(entries)]
+                yield np.array(idents, dtype=np.int64), np.array(entries), table
             return
         del table, idents, entries
         sinks: dict[int, pa.ipc.RecordBatchStreamWriter] = {}
@@ -126,16 +128,26 @@ def _then(first: Iterator[Record], second: Iterator[Record]) -> Iterator[Record]
     yield from second
 
 
-def _grouped(records: DataFrame, limit: int) -> DataFrame:
-    """(hash, ident, content) of a partition -> (ident, least): the smallest id of an equal content in that partition."""
+def _grouped(records: DataFrame, limit: int, contents: bool) -> DataFrame:
+    """(hash, ident, content) of a partition -> (ident, least[, hash, content]).
+
+    least is the smallest id of an equal content in that partition; with ``contents`` its own row carries hash and content.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for idents, least in grace(batches, limit):
-            for a in range(0, len(idents), 50_000):
-                yield pa.RecordBatch.from_arrays([pa.array(idents[a : a + 50_000]), pa.array(least[a : a + 50_000])], ["ident", "least"])
+        for idents, entries, table in grace(batches, limit):
+            least = np.array(table.least, dtype=np.int64)[entries]
+            for a in range(0, len(idents), ROWS):
+                part, own, at = idents[a : a + ROWS], least[a : a + ROWS], entries[a : a + ROWS].tolist()
+                made = [pa.array(part), pa.array(own)]
+                if contents:
+                    first = (part == own).tolist()
+                    keys = [table.hashes[e] if f else None for e, f in zip(at, first, strict=True)]
+                    made.append(pa.array([k - (1 << 64) if k is not None and k >> 63 else k for k in keys], pa.int64()))
+                    made.append(pa.array([table.contents[e] if f else None for e, f in zip(at, first, strict=True)], pa.binary()))
+                yield pa.RecordBatch.from_arrays(made, NAMES[: len(made)])
 
-    kind = T.StructType([T.StructField("ident", T.LongType()), T.StructField("least", T.LongType())])
-    return records.mapInArrow(run, kind)
+    return records.mapInArrow(run, "ident long, least long" + ", hash long, content binary" * contents)
 
 
 def exact_dedup(df: DataFrame, ident: str = "doc_id", text: str = "text", limit: int = TABLE_BYTES) -> DataFrame:
@@ -156,10 +168,9 @@ def exact_dedup(df: DataFrame, ident: str = "doc_id", text: str = "text", limit:
         "exact-rows",
     )
     record = rows.select(F.col("_hash").alias("hash"), F.col("_uid").alias("ident"), F.encode(plain, "UTF-8").alias("content"))
-    local = written(_grouped(record, limit), "exact-local")
-    first = rows.join(local.where("ident = least").select(F.col("ident").alias("_uid")), "_uid", "left_semi")
-    record = first.select(F.col("_hash").alias("hash"), F.col("_uid").alias("ident"), F.encode(plain, "UTF-8").alias("content"))
-    classes = _grouped(record.repartition(F.col("hash")), limit).select(F.col("ident").alias("_local"), F.col("least").alias("_class"))
+    local = written(_grouped(record, limit, True), "exact-local")
+    record = local.where("ident = least").select("hash", "ident", "content")
+    classes = _grouped(record.repartition(F.col("hash")), limit, False).select(F.col("ident").alias("_local"), F.col("least").alias("_class"))
 
     pairs = local.select(F.col("ident").alias("_uid"), F.col("least").alias("_local"))
     order = F.struct(F.col(ident).isNull().alias("none"), F.col(ident).alias("id"), F.col("_uid").alias("uid"))
