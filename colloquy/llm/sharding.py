@@ -44,8 +44,8 @@ def _draw(marked: str, total: str, taken: str, u: str) -> str:
 def matrix(sizes: DataFrame, shards: int, levels: int, seed: int) -> DataFrame:
     """(part, upto array): the running sums over shards of the counts drawn for each partition of ``sizes`` (part, n)."""
     cells = f"sequence(0, {shards - 1})"
-    nodes = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).select(
-        F.lit(0).cast("long").alias("node"),
+    nodes = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.min("part") * 0, F.lit(0)).alias("node")).select(
+        "node",
         F.expr(f"transform({cells}, j -> n div {shards} + if(j < n % {shards}, 1L, 0L))").alias("caps"),
     )
     for level in range(levels):
