@@ -72,8 +72,8 @@ def serialise(ranks: dict[bytes, int]) -> bytes:
     return b"".join(pieces) + _field(2, trainer) + _field(3, normaliser)
 
 
-class ByteBpe(dict):
-    """Chunk of text -> ids, remembered per worker up to a bound."""
+class ByteBpe:
+    """Encodes and decodes texts; remembers the ids of chunks, per worker, up to a bound."""
 
     MOST = 300_000
 
@@ -81,7 +81,7 @@ class ByteBpe(dict):
         import regex
         import sentencepiece
 
-        super().__init__()
+        self.known: dict[str, tuple[int, ...]] = {}
         self.processor = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.size = self.processor.get_piece_size() - 1
         self.matches, self.chunks = regex.compile(pattern).findall, regex.compile(CHUNKS).findall
@@ -89,25 +89,43 @@ class ByteBpe(dict):
         self.to_letters = dict(enumerate(letters))
         back = {c: b for b, c in enumerate(letters)}
         self.bytes_of = [bytes(back[c] for c in self.processor.id_to_piece(i)) for i in range(self.size)]
-        self.whole = {b: i for i, b in enumerate(self.bytes_of)}
-
-    def __missing__(self, chunk: str) -> tuple[int, ...]:
-        ids: list[int] = []
-        for token in self.matches(chunk):
-            raw = token.encode()
-            one = self.whole.get(raw)  # a pre-token that is a piece is that piece, whatever the merges
-            ids += [one] if one is not None else self.processor.encode(raw.decode("latin-1").translate(self.to_letters))
-        if len(chunk) <= 64:
-            if len(self) >= self.MOST:
-                self.clear()
-            self[chunk] = tuple(ids)
-        return tuple(ids)
-
-    def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable(map(self.__getitem__, self.chunks(text))))
-
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids))
+        # A pre-token that is a piece is that piece, also where merges would end elsewhere: such pieces, if any, are listed.
+        pieces = [self.processor.id_to_piece(i) for i in range(self.size)]
+        self.whole = {p: (i,) for i, (p, ids) in enumerate(zip(pieces, self.processor.encode(pieces, num_threads=1), strict=True)) if ids != [i]}
+
+    def mapped(self, token: str) -> str:
+        return token.encode().decode("latin-1").translate(self.to_letters)
+
+    def merged(self, tokens: list[str]) -> list[tuple[int, ...]]:
+        """Ids of pre-tokens, all in one call."""
+        mapped = list(map(self.mapped, tokens))
+        ids = map(tuple, self.processor.encode(mapped, num_threads=1) if mapped else [])
+        return [self.whole.get(m) or own for m, own in zip(mapped, ids, strict=True)] if self.whole else list(ids)
+
+    def learn(self, chunks: set[str]) -> None:
+        """Remembers the ids of ``chunks``. A word of letters, with a space or not, is one pre-token; the pattern splits the rest."""
+        simple = [c for c in chunks if c[c[0] == " " :].isalpha()]
+        self.known.update(zip(simple, self.merged(simple), strict=True))
+        split = [(c, self.matches(c)) for c in chunks.difference(simple)]
+        answers = iter(self.merged([token for _, tokens in split for token in tokens]))
+        for chunk, tokens in split:
+            self.known[chunk] = tuple(chain.from_iterable(next(answers) for _ in tokens))
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        out = []
+        for k in range(0, len(texts), 32):
+            split = [self.chunks(text) for text in texts[k : k + 32]]
+            own = set().union(*split)
+            new = own.difference(self.known)
+            if len(self.known) + len(new) > self.MOST:
+                self.known.clear()
+                new = own
+            self.learn(new)
+            out += [list(chain.from_iterable(map(self.known.__getitem__, chunks))) for chunks in split]
+        return out
+
+    def decode(self, ids: list[list[int]]) -> list[bytes]:
+        return [b"".join(map(self.bytes_of.__getitem__, own)) for own in ids]
 
 
 _own: dict[int, ByteBpe] = {}
@@ -122,6 +140,14 @@ def _codec(model: bytes, pattern: str) -> ByteBpe:
     return _own[key]
 
 
+def _lists(column: pa.Array) -> list:
+    """Texts as they are; lists of numbers by way of numpy, which is ten times as fast."""
+    if not pa.types.is_list(column.type):
+        return column.to_pylist()
+    values, ends = column.flatten().to_numpy(zero_copy_only=False), column.value_lengths().to_numpy().cumsum()
+    return [values[a:b].tolist() for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+
+
 class Bpe:
     """Encode and decode DataFrames; ``path`` names the rank file and ``pattern`` splits text into pre-tokens.
 
@@ -141,7 +167,7 @@ class Bpe:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             call = getattr(_codec(*model.value), method)
             for batch in batches:
-                made = [call(x) for x in batch.columns[-1].to_pylist()]
+                made = call(_lists(batch.columns[-1]))
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(made, arrow)], [*batch.schema.names[:-1], name])
 
         empty = F.lit("") if method == "encode" else F.expr("cast(array() as array<int>)")
