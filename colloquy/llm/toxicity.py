@@ -24,8 +24,8 @@ class Settings:
     """sample_rows bounds the training sample; alpha, beta, l1 and l2 are FTRL's; skips are the gaps of the skip-grams and
     stems the letters of a stem."""
 
-    bits: int = 22
-    sample_rows: int = 12_000
+    bits: int = 20
+    sample_rows: int = 6_000
     epochs: int = 8
     alpha: float = 1.0
     beta: float = 1.0
@@ -77,11 +77,11 @@ class Grams:
 
 
 def fit(rows: list[np.ndarray], labels: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray, float]:
-    """(numbers, weights, intercept) of the weights that are not zero; rows are visited in a fixed random order."""
+    """(numbers, weights, intercept) of the weights that are not zero; rows (distinct numbers each) are visited in a fixed random order."""
     size = (1 << s.bits) + 1  # the last coordinate is the intercept, without L1
     z, n = np.zeros(size), np.zeros(size)
     order = np.random.default_rng(s.seed)
-    sets = [np.append(np.unique(r), size - 1) for r in rows]
+    sets = [np.append(r, np.int32(size - 1)) for r in rows]
     l1 = s.l1
 
     def weights(at):
@@ -120,7 +120,7 @@ def train(docs: DataFrame, labels: DataFrame, where=None, s: Settings = Settings
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(made, pa.binary())], ["doc_id", "label", "grams"])
 
     rows = sample.mapInArrow(run, "doc_id long, label int, grams binary").toPandas().sort_values(["doc_id", "grams"], kind="stable")
-    return fit([np.frombuffer(g, np.int32).astype(np.int64) for g in rows["grams"]], rows["label"].to_numpy(), s)
+    return fit([np.frombuffer(g, np.int32) for g in rows["grams"]], rows["label"].to_numpy(), s)
 
 
 def score(df: DataFrame, model: tuple[np.ndarray, np.ndarray, float], s: Settings = Settings(), text: str = "text") -> DataFrame:
