@@ -177,8 +177,6 @@ def exact_dedup(df: DataFrame, ident: str = "doc_id", text: str = "text", limit:
     within = rows.select(ident, "_uid").join(pairs, "_uid").groupBy("_local").agg(F.min(order).alias("_first"), F.count("*").alias("_n"))
     of_class = Window.partitionBy("_class")
     found = within.join(classes, "_local").select("_local", F.min("_first").over(of_class).alias("_first"), F.sum("_n").over(of_class).alias("group_size"))
-    return (
-        rows.join(pairs, "_uid").join(found, "_local")
-        .withColumns({"keep_id": F.col("_first.id"), "kept": F.col("_uid") == F.col("_first.uid")})
-        .select(*quoted(rest), *added)
-    )
+    # The small tables meet first, and decide what is kept; texts are joined, and shuffled, once.
+    found = pairs.join(found, "_local").select("_uid", F.col("_first.id").alias("keep_id"), "group_size", (F.col("_uid") == F.col("_first.uid")).alias("kept"))
+    return rows.join(found, "_uid").select(*quoted(rest), *added)
