@@ -1,6 +1,319 @@
-"""The registered queries and their SQL."""
+"""The registered queries and their SQL for the same tables."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from colloquy.functions import clock
+from colloquy.operators import intervals, islands, journal, speakers
+from colloquy.plans import align
+from colloquy.sources import bindings as b
+
+AUDIO_US, SNAP_US, PAUSE_US, ISLAND_US = 720_000_000, 800_000, 600_000, 24_000_000
+THIRD_MAX, EPS = 0.02, 0.005
+
+Q = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Q] = {}
+SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def put(f: Q) -> Q:
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = "WITH RECURSIVE " + sql
+        return f
+
+    return put
+
+
+# Shared pieces of the SQL side.
+EVENTS = "ev AS (SELECT *, date_diff('microsecond', TIMESTAMP '2024-01-01 00:00:00', ts) // 3600 AS t FROM events)"
+WORDS = EVENTS + """, words AS (SELECT user_id AS file_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos, event_type AS word,
+  t AS start_us, t + round(value * 100)::BIGINT * 100 AS end_us, event_id FROM ev WHERE event_id % 2 = 0)"""
+SEGS = """segs AS (SELECT *, row_number() OVER (PARTITION BY file_id ORDER BY start_us, end_us, spk) AS seg_ix FROM
+  (SELECT user_id AS file_id, 'speaker_' || ((event_id // 2) % 3) AS spk, t AS start_us, t + round(value * 100)::BIGINT * 2000 AS end_us FROM ev WHERE event_id % 2 = 1))"""
+SHARES = "shares AS (SELECT file_id, spk, sum(greatest(0, end_us - start_us))::BIGINT AS dur_us, least(1.0::DOUBLE, sum(greatest(0, end_us - start_us)) / 720000000.0::DOUBLE) AS share, min(seg_ix) AS first_seg_ix FROM segs GROUP BY ALL)"
+
+
+def assigned_sql(words: str, segs: str, out: str) -> str:
+    return f"""
+  s_{out} AS (SELECT *, max(end_us) OVER (PARTITION BY file_id ORDER BY seg_ix) AS pm FROM {segs}),
+  w_{out} AS (SELECT *, max(start_us) OVER (PARTITION BY file_id ORDER BY pos) AS w FROM {words}),
+  p_{out} AS (SELECT w.file_id, w.pos, count(s.seg_ix) AS last FROM w_{out} w LEFT JOIN s_{out} s ON s.file_id = w.file_id AND s.pm < w.w GROUP BY ALL),
+  o_{out} AS (SELECT file_id, pos, spk, sum(ov) AS ov FROM (SELECT w.file_id, w.pos, s.spk, least(w.end_us, s.end_us) - greatest(w.start_us, s.start_us) AS ov
+     FROM w_{out} w JOIN p_{out} p USING (file_id, pos) JOIN s_{out} s ON s.file_id = w.file_id AND s.seg_ix > p.last AND s.start_us <= w.end_us) WHERE ov > 0 GROUP BY ALL),
+  b_{out} AS (SELECT file_id, pos, spk FROM o_{out} QUALIFY row_number() OVER (PARTITION BY file_id, pos ORDER BY ov DESC, spk DESC) = 1),
+  n_{out} AS (SELECT w.file_id, w.pos, s.spk, least(2 * abs(w.start_us - s.end_us), 2 * abs(w.end_us - s.start_us), abs(w.start_us + w.end_us - s.start_us - s.end_us)) AS gap
+     FROM w_{out} w JOIN p_{out} p USING (file_id, pos) JOIN s_{out} s ON s.file_id = w.file_id AND s.seg_ix IN (p.last, p.last + 1)
+     QUALIFY row_number() OVER (PARTITION BY w.file_id, w.pos ORDER BY gap, s.seg_ix) = 1),
+  {out} AS (SELECT w.* EXCLUDE (w), coalesce(b.spk, CASE WHEN n.gap <= {2 * SNAP_US} THEN n.spk END) AS spk, b.spk IS NULL AND coalesce(n.gap <= {2 * SNAP_US}, false) AS snapped
+     FROM w_{out} w LEFT JOIN b_{out} b USING (file_id, pos) LEFT JOIN n_{out} n USING (file_id, pos))"""
+
+
+def smoothed_sql(words: str, out: str) -> str:
+    return f"""
+  r1_{out} AS (SELECT *, sum(c) OVER (PARTITION BY file_id ORDER BY pos) AS run FROM (SELECT *, CASE WHEN row_number() OVER x = 1 OR lag(spk) OVER x IS DISTINCT FROM spk THEN 1 ELSE 0 END AS c FROM {words} WINDOW x AS (PARTITION BY file_id ORDER BY pos))),
+  r2_{out} AS (SELECT file_id, run, any_value(spk) AS s, count(*) AS n, arg_max(end_us, pos) - arg_min(start_us, pos) AS d FROM r1_{out} GROUP BY ALL),
+  r3_{out} AS (SELECT *, lag(s) OVER x AS l, lead(s) OVER x AS r FROM r2_{out} WINDOW x AS (PARTITION BY file_id ORDER BY run)),
+  r4_{out} AS (SELECT *, coalesce(s IS NOT NULL AND l = r AND s <> l AND n <= 2 AND greatest(0, d) <= {ISLAND_US}, false) AS e FROM r3_{out}),
+  r5_{out} AS (SELECT *, sum(CASE WHEN e THEN 0 ELSE 1 END) OVER (PARTITION BY file_id ORDER BY run) AS g FROM r4_{out}),
+  r6_{out} AS (SELECT file_id, run, l FROM (SELECT *, row_number() OVER (PARTITION BY file_id, g, e ORDER BY run) AS k FROM r5_{out}) WHERE e AND k % 2 = 1),
+  {out} AS (SELECT a.* EXCLUDE (c, run, spk), a.spk AS old_spk, coalesce(f.l, a.spk) AS spk FROM r1_{out} a LEFT JOIN r6_{out} f USING (file_id, run))"""
+
+
+def turns_sql(words: str, out: str) -> str:
+    return f"""
+  g1_{out} AS (SELECT *, greatest(0, start_us - coalesce(lag(end_us) OVER (PARTITION BY file_id ORDER BY pos), start_us)) AS gap FROM {words}),
+  g2_{out} AS (SELECT *, lag(spk) OVER (PARTITION BY file_id ORDER BY pos) AS before FROM g1_{out} WHERE spk IS NOT NULL),
+  g3_{out} AS (SELECT *, sum(CASE WHEN before IS NULL OR before <> spk OR gap > {PAUSE_US} THEN 1 ELSE 0 END) OVER (PARTITION BY file_id ORDER BY pos) AS turn_ix FROM g2_{out}),
+  {out} AS (SELECT file_id, turn_ix::BIGINT AS turn_ix, any_value(spk) AS speaker, arg_min(start_us, pos) AS start_us, arg_max(end_us, pos) AS end_us, string_agg(word, ' ' ORDER BY pos) AS text, count(*) AS n_words FROM g3_{out} GROUP BY ALL)"""
+
+
+VERDICT = f"""
+  k AS (SELECT *, row_number() OVER (PARTITION BY file_id ORDER BY share DESC, first_seg_ix) AS k FROM shares),
+  f AS (SELECT file_id, count(*) AS n, max(share) AS hi, min(share) AS lo, max(CASE WHEN k = 3 THEN share END) AS third, max(CASE WHEN k = 3 THEN spk END) AS third_spk, list_sort(list(spk)) AS everyone FROM k GROUP BY file_id),
+  v AS (SELECT *, CASE WHEN n > 3 THEN 'too_many_speakers:' || n WHEN n = 3 AND hi - lo < {EPS} THEN 'three_speakers_equal_shares' WHEN n = 3 AND third > {THIRD_MAX} THEN 'three_speakers_no_small_third' END AS reason FROM f),
+  verdict AS (SELECT file_id, n AS n_speakers, CASE WHEN reason IS NULL THEN 'OK' ELSE 'BAD_SAMPLE' END AS status, reason,
+    CASE WHEN reason IS NOT NULL THEN '' WHEN n = 3 THEN array_to_string(list_filter(everyone, lambda x: x <> third_spk), ',') ELSE array_to_string(everyone, ',') END AS keep,
+    CASE WHEN reason IS NULL AND n = 3 THEN third_spk ELSE '' END AS dropped FROM v)"""
+REASSIGNED = """
+  rk AS (SELECT s.*, d.spk IS NOT NULL AS gone FROM segs_in s LEFT JOIN dropped_in d ON d.file_id = s.file_id AND d.spk = s.spk),
+  rn AS (SELECT a.file_id, a.seg_ix, k.spk FROM rk a JOIN rk k ON k.file_id = a.file_id AND NOT k.gone WHERE a.gone
+         QUALIFY row_number() OVER (PARTITION BY a.file_id, a.seg_ix ORDER BY abs(k.start_us + k.end_us - a.start_us - a.end_us), k.seg_ix) = 1),
+  reassigned AS (SELECT *, row_number() OVER (PARTITION BY file_id ORDER BY start_us, end_us, spk) AS seg_ix FROM
+    (SELECT rk.file_id, CASE WHEN gone THEN rn.spk ELSE rk.spk END AS spk, start_us, end_us FROM rk LEFT JOIN rn USING (file_id, seg_ix) WHERE NOT gone OR rn.spk IS NOT NULL))"""
+SMALLEST = "dropped_in AS (SELECT file_id, spk FROM shares QUALIFY row_number() OVER (PARTITION BY file_id ORDER BY share, spk) = 1)"
+FRAMES = """fr AS (SELECT vec_id AS file_id, t, list_position(list_slice(embedding, t * 4 + 1, t * 4 + 4), list_max(list_slice(embedding, t * 4 + 1, t * 4 + 4)))::BIGINT - 1 AS label FROM embeddings, range(16) r(t)),
+  lb AS (SELECT *, lag(label) OVER (PARTITION BY file_id ORDER BY t) AS before FROM fr)"""
+SPANS = FRAMES + """, sr AS (SELECT *, sum(CASE WHEN before IS NULL OR before <> label THEN 1 ELSE 0 END) OVER (PARTITION BY file_id ORDER BY t) AS run FROM lb),
+  spans AS (SELECT file_id, row_number() OVER (PARTITION BY file_id ORDER BY run) AS span_ix, token_id, start_t, end_t FROM
+    (SELECT file_id, run, any_value(label) AS token_id, min(t) AS start_t, max(t) + 1 AS end_t FROM sr WHERE label <> 3 GROUP BY ALL))"""
+MERGED = """tr AS (SELECT *, sum(CASE WHEN before IS NULL OR before <> speaker THEN 1 ELSE 0 END) OVER (PARTITION BY file_id ORDER BY pos) AS run FROM
+    (SELECT *, lag(speaker) OVER (PARTITION BY file_id ORDER BY pos) AS before FROM turns WHERE trim(speaker) <> '' AND trim(text, E' \\t\\n\\r') <> '')),
+  merged AS (SELECT file_id, run::BIGINT AS run, speaker, string_agg(trim(text, E' \\t\\n\\r'), ' ' ORDER BY pos) AS text, count(*) AS n FROM tr GROUP BY file_id, run, speaker)"""
+
+
+@query("turns AS (SELECT conv_id AS file_id, turn AS pos, role AS speaker, text FROM conversations), " + MERGED + """,
+  m AS (SELECT *, row_number() OVER (PARTITION BY file_id ORDER BY run) AS k FROM merged),
+  fold AS (SELECT file_id, k, speaker, text, 0 AS row_ix, [speaker] AS here FROM m WHERE k = 1
+    UNION ALL SELECT m.file_id, m.k, m.speaker, m.text,
+      CASE WHEN list_contains(f.here, m.speaker) AND len(f.here) >= 2 THEN f.row_ix + 1 ELSE f.row_ix END,
+      CASE WHEN list_contains(f.here, m.speaker) AND len(f.here) >= 2 THEN [m.speaker] WHEN list_contains(f.here, m.speaker) THEN f.here ELSE list_append(f.here, m.speaker) END
+    FROM fold f JOIN m ON m.file_id = f.file_id AND m.k = f.k + 1)
+  SELECT file_id, row_ix, speaker, string_agg(text, ' ' ORDER BY k) AS text FROM fold GROUP BY file_id, row_ix, speaker""")
+def dialog_rows(spark, sf_dir):
+    return islands.dialog_rows(b.turns(spark, sf_dir))
+
+
+@query("turns AS (SELECT user_id AS file_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos, event_type AS speaker, event_id::VARCHAR AS text FROM events), " + MERGED + " SELECT * FROM merged")
+def merge_adjacent(spark, sf_dir):
+    return islands.merge_adjacent(b.event_turns(spark, sf_dir))
+
+
+def _own_speakers(words: DataFrame) -> DataFrame:
+    return words.withColumn("spk", F.when(F.col("event_id") % 7 != 0, F.concat(F.lit("speaker_"), F.expr("cast((event_id div 2) % 3 AS string)"))))
+
+
+@query(WORDS + ", own AS (SELECT *, CASE WHEN event_id % 7 <> 0 THEN 'speaker_' || ((event_id // 2) % 3) END AS spk FROM words)," + turns_sql("own", "built") + " SELECT * FROM built")
+def build_turns(spark, sf_dir):
+    return islands.build_turns(_own_speakers(b.words(spark, sf_dir)), PAUSE_US)
+
+
+@query(FRAMES + " SELECT file_id, coalesce(string_agg(label::VARCHAR, ',' ORDER BY t) FILTER (label <> 3 AND (before IS NULL OR before <> label)), '') AS tokens FROM lb GROUP BY file_id")
+def ctc_collapse(spark, sf_dir):
+    return b.frames(spark, sf_dir).select("file_id", F.array_join(islands.collapse(F.col("labels"), 3).cast("array<string>"), ",").alias("tokens"))
+
+
+@query(SPANS + " SELECT * FROM spans")
+def token_spans(spark, sf_dir):
+    return islands.token_spans(b.frames(spark, sf_dir), 3)
+
+
+@query(SPANS + """, i AS (SELECT *, sum(CASE WHEN token_id = 2 THEN 1 ELSE 0 END) OVER (PARTITION BY file_id ORDER BY span_ix) AS island FROM spans),
+  w AS (SELECT file_id, island, string_agg(CASE token_id WHEN 0 THEN 'a' ELSE 'b' END, '' ORDER BY span_ix) AS word, min(start_t) AS start_t, max(end_t) AS end_t FROM i WHERE token_id <> 2 GROUP BY ALL)
+  SELECT file_id, row_number() OVER (PARTITION BY file_id ORDER BY island) AS word_ix, word, start_t, end_t FROM w""")
+def words_from_tokens(spark, sf_dir):
+    spans = islands.token_spans(b.frames(spark, sf_dir), 3).withColumn("text", F.element_at(F.array(*map(F.lit, "ab|")), (F.col("token_id") + 1).cast("int")))
+    return islands.words_from_tokens(spans, pieces=False)
+
+
+@query(SPANS + """, i AS (SELECT *, sum(CASE WHEN token_id IN (0, 2) THEN 1 ELSE 0 END) OVER (PARTITION BY file_id ORDER BY span_ix) AS island FROM spans),
+  w AS (SELECT file_id, island, string_agg(['a', 'b', 'c'][token_id + 1], '' ORDER BY span_ix) AS word, min(start_t) AS start_t, max(end_t) AS end_t FROM i GROUP BY ALL)
+  SELECT file_id, row_number() OVER (PARTITION BY file_id ORDER BY island) AS word_ix, word, start_t, end_t FROM w""")
+def words_from_pieces(spark, sf_dir):
+    spans = islands.token_spans(b.frames(spark, sf_dir), 3).withColumn("text", F.element_at(F.array(*map(F.lit, ("▁a", "b", "▁c"))), (F.col("token_id") + 1).cast("int")))
+    return islands.words_from_tokens(spans, pieces=True)
+
+
+def _shares(spark, sf_dir):
+    return intervals.speaker_shares(b.segments(spark, sf_dir), AUDIO_US)
+
+
+@query(EVENTS + "," + SEGS + "," + SHARES + " SELECT file_id, spk, dur_us, round(share, 6) AS share, first_seg_ix FROM shares")
+def speaker_shares(spark, sf_dir):
+    return _shares(spark, sf_dir).withColumn("share", F.round("share", 6))
+
+
+@query(EVENTS + "," + SEGS + """, i AS (SELECT *, max(end_us) OVER (PARTITION BY file_id ORDER BY start_us, end_us ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM segs),
+  j AS (SELECT *, sum(CASE WHEN reach IS NULL OR start_us > reach THEN 1 ELSE 0 END) OVER (PARTITION BY file_id ORDER BY start_us, end_us ROWS UNBOUNDED PRECEDING) AS run FROM i),
+  u AS (SELECT file_id, run, min(start_us) AS a, max(end_us) AS b FROM j GROUP BY ALL) SELECT file_id, sum(b - a)::BIGINT AS union_us, count(*) AS n_intervals FROM u GROUP BY file_id""")
+def interval_union(spark, sf_dir):
+    return intervals.union_length(b.segments(spark, sf_dir))
+
+
+@query(WORDS + """, f AS (SELECT file_id, max(end_us) AS total FROM words GROUP BY file_id), c AS (SELECT file_id, total, unnest(range(0, greatest(0, ceil((total - 22000000) / 21700000.0))::BIGINT + 1)) AS chunk_ix FROM f WHERE total > 0)
+  SELECT file_id, chunk_ix, chunk_ix * 21700000 AS start_us, least(total, chunk_ix * 21700000 + 22000000) AS end_us FROM c""")
+def hopping_chunks(spark, sf_dir):
+    files = b.words(spark, sf_dir).groupBy("file_id").agg(F.max("end_us").alias("total_us"))
+    return intervals.hopping_chunks(files, 22_000_000, 300_000)
+
+
+@query(WORDS + "," + SEGS + "," + assigned_sql("words", "segs", "assigned") + " SELECT file_id, pos, word, start_us, end_us, spk, snapped FROM assigned")
+def assign_words(spark, sf_dir):
+    return intervals.assign_words(b.words(spark, sf_dir).drop("event_id"), b.segments(spark, sf_dir), SNAP_US)
+
+
+def _smallest(shares: DataFrame) -> DataFrame:
+    return shares.groupBy("file_id").agg(F.min_by("spk", F.struct("share", "spk")).alias("spk"))
+
+
+@query(EVENTS + "," + SEGS + "," + SHARES + "," + SMALLEST + ", segs_in AS (SELECT * FROM segs)," + REASSIGNED + " SELECT file_id, spk, start_us, end_us, seg_ix FROM reassigned")
+def reassign_dropped(spark, sf_dir):
+    return intervals.reassign_dropped(b.segments(spark, sf_dir), _smallest(_shares(spark, sf_dir)))
+
+
+@query(WORDS + "," + SEGS + "," + assigned_sql("words", "segs", "assigned") + "," + smoothed_sql("assigned", "smooth") + " SELECT file_id, pos, old_spk, spk FROM smooth")
+def smooth_islands(spark, sf_dir):
+    words = intervals.assign_words(b.words(spark, sf_dir).drop("event_id"), b.segments(spark, sf_dir), SNAP_US)
+    return islands.smooth_islands(words, 2, ISLAND_US).select("file_id", "pos", "old_spk", "spk")
+
+
+@query(WORDS + """, f AS (SELECT file_id, pos, word, start_us, end_us, pos AS kp, start_us AS ks, end_us AS ke FROM words WHERE pos = 1
+    UNION ALL SELECT w.file_id, w.pos, w.word, w.start_us, w.end_us,
+      CASE WHEN w.word = f.word AND (abs(w.start_us - f.ks) < 250000 OR abs(w.end_us - f.ke) < 1000) THEN f.kp ELSE w.pos END,
+      CASE WHEN w.word = f.word AND (abs(w.start_us - f.ks) < 250000 OR abs(w.end_us - f.ke) < 1000) THEN f.ks ELSE w.start_us END,
+      CASE WHEN w.word = f.word AND abs(w.start_us - f.ks) < 250000 THEN greatest(f.ke, w.end_us) WHEN w.word = f.word AND abs(w.end_us - f.ke) < 1000 THEN f.ke ELSE w.end_us END
+    FROM f JOIN words w ON w.file_id = f.file_id AND w.pos = f.pos + 1)
+  SELECT file_id, kp AS pos, any_value(word) AS word, any_value(ks) AS start_us, max(ke) AS end_us FROM f GROUP BY file_id, kp""")
+def stitch_words(spark, sf_dir):
+    return islands.stitch_words(b.words(spark, sf_dir))
+
+
+@query(EVENTS + "," + SEGS + "," + SHARES + "," + VERDICT + " SELECT * FROM verdict")
+def speaker_verdict(spark, sf_dir):
+    return speakers.verdict(_shares(spark, sf_dir), THIRD_MAX, EPS)
+
+
+@query(EVENTS + "," + SEGS + "," + SHARES + " SELECT file_id, spk, 'Spk' || (row_number() OVER (PARTITION BY file_id ORDER BY share DESC, spk) - 1) AS norm FROM shares")
+def speaker_rank(spark, sf_dir):
+    return speakers.ranked_names(_shares(spark, sf_dir))
+
+
+JOURNAL = "j AS (SELECT event_id AS line_no, '/audio/' || user_id || '.wav' AS input_path, ['SUCCESS', 'BAD_SAMPLE', 'FAILED', 'SKIPPED', 'FAILED'][event_id % 5 + 1] AS status FROM events), inputs AS (SELECT '/audio/' || c_custkey || '.wav' AS input_path, (c_custkey % 997)::VARCHAR AS id FROM customer), l AS (SELECT input_path, max(line_no) AS line_no, arg_max(status, line_no) AS status FROM j GROUP BY input_path)"
+
+
+@query(JOURNAL + " SELECT * FROM l")
+def journal_latest(spark, sf_dir):
+    return journal.latest(b.journal(spark, sf_dir))
+
+
+@query(JOURNAL + " SELECT input_path, coalesce(max(line_no) FILTER (status <> 'SKIPPED'), max(line_no)) AS line_no, coalesce(arg_max(status, line_no) FILTER (status <> 'SKIPPED'), 'SKIPPED') AS status FROM j GROUP BY input_path")
+def journal_latest_retryable(spark, sf_dir):
+    return journal.latest(b.journal(spark, sf_dir), literal=False)
+
+
+@query(JOURNAL + " SELECT input_path, id FROM inputs WHERE input_path NOT IN (SELECT input_path FROM l WHERE status <> 'FAILED')")
+def resume_pending(spark, sf_dir):
+    return journal.pending_inputs(b.inputs(spark, sf_dir), b.journal(spark, sf_dir), retry_failed=True)
+
+
+@query(JOURNAL + " SELECT input_path, id FROM inputs WHERE input_path IN (SELECT input_path FROM l)")
+def resume_skipped(spark, sf_dir):
+    return journal.skipped_inputs(b.inputs(spark, sf_dir), b.journal(spark, sf_dir))
+
+
+@query(JOURNAL + " SELECT input_path, id FROM inputs WHERE NOT (id IN (SELECT (o_custkey % 997)::VARCHAR FROM orders WHERE o_orderkey % 2 = 0) AND id IN (SELECT (o_custkey % 997)::VARCHAR FROM orders WHERE o_orderkey % 3 = 0))")
+def outputs_missing(spark, sf_dir):
+    ids = b.table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_custkey") % 997).cast("string").alias("id"))
+    return journal.without_outputs(b.inputs(spark, sf_dir), ids.where("o_orderkey % 2 = 0"), ids.where("o_orderkey % 3 = 0"))
+
+
+@query(JOURNAL + " SELECT status, count(*) AS n, round(100.0 * count(*) / (SELECT count(*) FROM j), 1)::DOUBLE AS percent FROM j GROUP BY status")
+def status_counts(spark, sf_dir):
+    return journal.status_counts(b.journal(spark, sf_dir))
+
+
+@query(JOURNAL + " SELECT id, count(*) AS n FROM inputs GROUP BY id HAVING count(*) > 1")
+def duplicate_ids(spark, sf_dir):
+    return journal.duplicate_ids(b.inputs(spark, sf_dir))
+
+
+@query(WORDS + " SELECT file_id, count(*) AS num_words, sum(greatest(0, end_us - start_us))::BIGINT AS covered_us, round(avg(greatest(0, end_us - start_us)), 3) AS mean_us, max(greatest(0, end_us - start_us)) AS max_us FROM words GROUP BY file_id")
+def word_stats(spark, sf_dir):
+    return align.word_stats(b.words(spark, sf_dir))
+
+
+@query("d AS (SELECT doc_id::VARCHAR AS id, lang || '/' || doc_id || '.wav' AS path, n_chars / 100.0::DOUBLE AS duration_sec FROM documents WHERE n_chars > 0) SELECT *, row_number() OVER (ORDER BY duration_sec, path) AS rank FROM d ORDER BY duration_sec, path LIMIT 500")
+def manifest_by_duration(spark, sf_dir):
+    d = b.table(spark, sf_dir, "documents").where("n_chars > 0").selectExpr("cast(doc_id AS string) AS id", "concat(lang, '/', doc_id, '.wav') AS path", "n_chars / 100D AS duration_sec")
+    top = d.orderBy("duration_sec", "path").limit(500)
+    return top.selectExpr("*", "cast(row_number() OVER (ORDER BY duration_sec, path) AS bigint) AS rank")
+
+
+@query("SELECT conv_id AS file_id, count(*) AS turns FROM conversations GROUP BY conv_id ORDER BY turns DESC, file_id LIMIT 20".replace("SELECT conv_id", "t AS (SELECT 1) SELECT conv_id", 1))
+def topk_by_turns(spark, sf_dir):
+    return b.turns(spark, sf_dir).groupBy("file_id").agg(F.count("*").alias("turns")).orderBy(F.desc("turns"), "file_id").limit(20)
+
+
+@query(WORDS + """ SELECT file_id, pos, CASE WHEN start_us >= 3600000000 THEN CASE WHEN start_us // 3600000000 < 10 THEN '0' ELSE '' END || (start_us // 3600000000) || ':' ELSE '' END
+  || lpad((start_us // 60000000 % 60)::VARCHAR, 2, '0') || ':' || lpad((start_us // 1000000 % 60)::VARCHAR, 2, '0') || ':' || lpad((start_us // 10000 % 100)::VARCHAR, 2, '0') AS at FROM words""")
+def format_time(spark, sf_dir):
+    return b.words(spark, sf_dir).select("file_id", "pos", clock(F.col("start_us")).alias("at"))
+
+
+@query(EVENTS + "," + SEGS + """, i AS (SELECT *, max(end_us) OVER (PARTITION BY file_id ORDER BY start_us, end_us ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM segs),
+  j AS (SELECT *, sum(CASE WHEN reach IS NULL OR start_us > reach THEN 1 ELSE 0 END) OVER (PARTITION BY file_id ORDER BY start_us, end_us ROWS UNBOUNDED PRECEDING) AS run FROM i),
+  u AS (SELECT file_id, row_number() OVER (PARTITION BY file_id ORDER BY run) AS k, min(start_us) AS x, max(end_us) AS y FROM j GROUP BY file_id, run),
+  f AS (SELECT file_id, k, 0 AS c, 0::BIGINT AS a, y AS e, false AS cut, 0::BIGINT AS pa, 0::BIGINT AS pb FROM u WHERE k = 1
+    UNION ALL SELECT u.file_id, u.k, CASE WHEN z THEN f.c + 1 ELSE f.c END, CASE WHEN z THEN greatest(0, u.x) ELSE f.a END, u.y, z, f.a, f.e
+      FROM f JOIN u ON u.file_id = f.file_id AND u.k = f.k + 1, LATERAL (SELECT f.e - f.a > 200000 AND (u.y - f.a > 22000000 OR f.e - f.a > 15000000) AS z)),
+  c AS (SELECT file_id, c - 1 AS chunk_ix, pa AS a, pb AS b FROM f WHERE cut UNION ALL SELECT file_id, c, a, e FROM f WHERE e - a > 200000 QUALIFY row_number() OVER (PARTITION BY file_id ORDER BY k DESC) = 1 AND k = (SELECT max(k) FROM u WHERE u.file_id = f.file_id)),
+  p AS (SELECT *, CASE WHEN b - a > 30000000 THEN (b - a) // 30000000 + 1 ELSE 1 END AS n FROM c), q AS (SELECT *, unnest(range(0, n)) AS part_ix FROM p)
+  SELECT file_id, chunk_ix, part_ix, a + (b - a) * part_ix // n AS start_us, a + (b - a) * (part_ix + 1) // n AS end_us FROM q""")
+def pack_chunks(spark, sf_dir):
+    return intervals.pack_chunks(intervals.merged(b.segments(spark, sf_dir)))
+
+
+@query(WORDS + "," + SEGS + "," + SHARES + "," + VERDICT + """, okay AS (SELECT file_id, dropped FROM verdict WHERE status = 'OK'),
+  segs_in AS (SELECT segs.* FROM segs JOIN okay USING (file_id)), dropped_in AS (SELECT file_id, dropped AS spk FROM okay WHERE dropped <> ''), words_in AS (SELECT words.* FROM words JOIN okay USING (file_id)),"""
+  + REASSIGNED + "," + assigned_sql("words_in", "reassigned", "assigned") + "," + smoothed_sql("assigned", "smooth") + """,
+  names AS (SELECT file_id, spk, 'Spk' || (row_number() OVER (PARTITION BY file_id ORDER BY share DESC, spk) - 1) AS norm FROM shares ANTI JOIN dropped_in USING (file_id, spk)),
+  named AS (SELECT s.* EXCLUDE (spk), n.norm AS spk FROM smooth s LEFT JOIN names n USING (file_id, spk)),""" + turns_sql("named", "built") + " SELECT * FROM built")
+def full_align(spark, sf_dir):
+    return align.full_align(b.words(spark, sf_dir).drop("event_id"), b.segments(spark, sf_dir), AUDIO_US, third_max=THIRD_MAX, eps=EPS)
+
+
+@query(WORDS + "," + SEGS + """, w AS (SELECT file_id, (pos - 1) // 3 + 1 AS seg_ix, pos AS word_ix, word, (pos % 3) * 200000 AS a, (pos % 3) * 200000 + 150000 AS e FROM words),
+  own AS (SELECT w.file_id, row_number() OVER (PARTITION BY w.file_id ORDER BY seg_ix, word_ix) AS pos, word, a + start_us AS start_us, e + start_us AS end_us, spk FROM w JOIN segs USING (file_id, seg_ix)),""" + turns_sql("own", "built") + " SELECT * FROM built")
+def cut_align(spark, sf_dir):
+    w = b.words(spark, sf_dir).selectExpr("file_id", "(pos - 1) div 3 + 1 AS seg_ix", "pos AS word_ix", "word", "(pos % 3) * 200000 AS start_us", "(pos % 3) * 200000 + 150000 AS end_us")
+    return align.cut_align(w, b.segments(spark, sf_dir), PAUSE_US)
+
+
+@query("e AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, unnest(range(0, 64)) AS i FROM embeddings), m AS (SELECT vec_id, i % 4 AS cls, avg(round(x, 4)) AS v FROM e GROUP BY ALL), s AS (SELECT vec_id, cls, exp(v) AS ex FROM m) SELECT vec_id, cls::INTEGER AS cls, round(ex / sum(ex) OVER (PARTITION BY vec_id), 4) AS prob FROM s")
+def mean_pool(spark, sf_dir):
+    """Means over 16 frames of 4 classes, as probabilities."""
+    e = b.table(spark, sf_dir, "embeddings")
+    mean = lambda c: F.aggregate(F.sequence(F.lit(0), F.lit(15)), F.lit(0.0), lambda s, t: s + F.round(F.get("embedding", t * 4 + c).cast("double"), 4)) / 16
+    soft = e.select("vec_id", F.array(*(F.exp(mean(c)) for c in range(4))).alias("x")).withColumn("total", F.aggregate("x", F.lit(0.0), lambda s, v: s + v))
+    return soft.select("vec_id", "total", F.posexplode("x").alias("cls", "v")).select("vec_id", "cls", F.round(F.col("v") / F.col("total"), 4).alias("prob"))
+
+
+@query(WORDS + "," + SEGS + " SELECT s.file_id, s.seg_ix, count(w.pos) AS n_words FROM segs s LEFT JOIN words w ON w.file_id = s.file_id AND (w.pos - 1) // 3 + 1 = s.seg_ix GROUP BY ALL")
+def words_per_segment(spark, sf_dir):
+    w = b.words(spark, sf_dir).selectExpr("file_id", "(pos - 1) div 3 + 1 AS seg_ix", "pos")
+    return intervals.numbered(b.segments(spark, sf_dir)).join(w, ["file_id", "seg_ix"], "left").groupBy("file_id", "seg_ix").agg(F.count("pos").alias("n_words"))
