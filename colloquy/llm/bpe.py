@@ -73,7 +73,7 @@ def serialise(ranks: dict[bytes, int]) -> bytes:
 
 
 class ByteBpe:
-    """Encodes and decodes texts; remembers the ids of chunks, per worker, up to a bound."""
+    """Encodes texts; remembers the ids of chunks, within a task and up to a bound."""
 
     MOST = 300_000
 
@@ -85,10 +85,7 @@ class ByteBpe:
         self.processor = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.size = self.processor.get_piece_size() - 1
         self.matches, self.chunks = regex.compile(pattern).findall, regex.compile(CHUNKS).findall
-        letters = byte_characters()
-        self.to_letters = dict(enumerate(letters))
-        back = {c: b for b, c in enumerate(letters)}
-        self.bytes_of = [bytes(back[c] for c in self.processor.id_to_piece(i)) for i in range(self.size)]
+        self.to_letters = dict(enumerate(byte_characters()))
         # A pre-token that is a piece is that piece, also where merges would end elsewhere: such pieces, if any, are listed.
         pieces = [self.processor.id_to_piece(i) for i in range(self.size)]
         self.whole = {p: (i,) for i, (p, ids) in enumerate(zip(pieces, self.processor.encode(pieces, num_threads=1), strict=True)) if ids != [i]}
@@ -124,19 +121,36 @@ class ByteBpe:
             out += [list(chain.from_iterable(map(self.known.__getitem__, chunks))) for chunks in split]
         return out
 
+    def forget(self) -> None:
+        self.known.clear()
+
+
+class ByteDecoder:
+    """Ids to bytes by the inverse mapping of the model's pieces; keeps a table only, not the model."""
+
+    def __init__(self, model: bytes, pattern: str = ""):
+        import sentencepiece
+
+        processor = sentencepiece.SentencePieceProcessor(model_proto=model)
+        back = {c: b for b, c in enumerate(byte_characters())}
+        self.bytes_of = [bytes(back[c] for c in processor.id_to_piece(i)) for i in range(processor.get_piece_size() - 1)]
+
     def decode(self, ids: list[list[int]]) -> list[bytes]:
         return [b"".join(map(self.bytes_of.__getitem__, own)) for own in ids]
 
+    def forget(self) -> None:
+        pass
+
 
-_own: dict[int, ByteBpe] = {}
+_own: dict[tuple[str, int], ByteBpe | ByteDecoder] = {}
 
 
-def _codec(model: bytes, pattern: str) -> ByteBpe:
-    """One codec per worker process; another model replaces it."""
-    key = hash((model, pattern))
+def _codec(method: str, model: bytes, pattern: str):
+    """One encoder or decoder per worker process; another model replaces it."""
+    key = method, hash((model, pattern))
     if key not in _own:
         _own.clear()
-        _own[key] = ByteBpe(model, pattern)
+        _own[key] = (ByteBpe if method == "encode" else ByteDecoder)(model, pattern)
     return _own[key]
 
 
@@ -165,10 +179,12 @@ class Bpe:
         rest = [c for c in df.columns if c != name]
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            call = getattr(_codec(*model.value), method)
+            codec = _codec(method, *model.value)
+            call = getattr(codec, method)
             for batch in batches:
                 made = call(_lists(batch.columns[-1]))
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(made, arrow)], [*batch.schema.names[:-1], name])
+            codec.forget()  # idle workers hold no texts
 
         empty = F.lit("") if method == "encode" else F.expr("cast(array() as array<int>)")
         taken = df.select(*quoted(rest), F.coalesce(F.col(source), empty).alias("_in"))

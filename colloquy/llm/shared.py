@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 WHITE = "[\\x20\\x09-\\x0D]+"
 WORD = "[^\\x20\\x09-\\x0D]+"
 
-#: Rows in an Arrow batch: with texts of 100 kB a batch stays near 50 MB.
-BATCH_ROWS = "512"
+#: Rows in an Arrow batch: with texts of 100 kB a batch stays near 25 MB.
+BATCH_ROWS = "256"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -51,7 +51,7 @@ def small_batches(spark: SparkSession) -> None:
 class WordHashes(dict):
     """Word (bytes) -> 64-bit hash, computed once per worker and word; forgets all words when it grows too large."""
 
-    MOST = 400_000
+    MOST = 200_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.MOST:
