@@ -13,7 +13,7 @@ from colloquy.plans import align
 from colloquy.sources import bindings as b
 
 AUDIO_US, SNAP_US, PAUSE_US, ISLAND_US = 720_000_000, 800_000, 600_000, 24_000_000
-THIRD_MAX, EPS = 0.02, 0.005
+THIRD_MAX, EPS = 0.10, 0.05
 
 Q = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Q] = {}
