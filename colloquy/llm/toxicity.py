@@ -1,11 +1,14 @@
 """Toxicity: FTRL-proximal logistic regression on hashed word n-grams (of words and their stems) and skip-grams.
 
+Stems count up to three times: one of a kind can be chance where three are not.
+
 Each coordinate has its own learning rate, and L1 keeps most weights at exactly zero, so that the broadcast model is a short
 list of numbers and weights. Training sees a bounded sample of labelled rows; all texts are scored whole.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,8 +24,8 @@ from colloquy.llm.shared import WordHashes, labelled_sample, mixed, quoted, smal
 
 @dataclass(frozen=True)
 class Settings:
-    """sample_rows bounds the training sample; alpha, beta, l1 and l2 are FTRL's; skips are the gaps of the skip-grams and
-    stems the letters of a stem."""
+    """sample_rows bounds the training sample; alpha, beta, l1 and l2 are FTRL's; skips are the gaps of the skip-grams,
+    stems the letters of a stem, and levels the numbers of a stem's words in a text from each of which it has one more number."""
 
     bits: int = 20
     sample_rows: int = 6_000
@@ -32,7 +35,8 @@ class Settings:
     l1: float = 4.0
     l2: float = 1.0
     skips: tuple[int, ...] = (1, 2)
-    stems: tuple[int, ...] = (4, 5)
+    stems: tuple[int, ...] = (3, 4, 5)
+    levels: tuple[int, ...] = (1, 2, 3)
     seed: int = 9
 
 
@@ -69,8 +73,12 @@ class Grams:
 
     def of(self, text: str) -> np.ndarray:
         words = text.lower().encode().split()
-        h, own = self.words.of(words), list(set(words))
-        parts = [mixed(h), *(mixed(stems.of(own)) for stems in self.stems)]
+        h, own = self.words.of(words), Counter(words)
+        times, parts = np.fromiter(own.values(), dtype=np.int64, count=len(own)), [mixed(h)]
+        for stems in self.stems:
+            found, back = np.unique(stems.of(list(own)), return_inverse=True)
+            total = np.bincount(back, weights=times, minlength=len(found))
+            parts.extend(mixed(found[total >= level] + np.uint64(level * 0x9E3779B97F4A7C15 % 2**64)) for level in self.s.levels)
         for k in self.s.skips:
             parts.append(mixed(h[:-k] * np.uint64(0xC2B2AE3D27D4EB4F) + h[k:] + np.uint64(k)) if len(h) > k else h[:0])
         return (np.concatenate(parts) >> np.uint64(64 - self.s.bits)).astype(np.int64)
