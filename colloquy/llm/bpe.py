@@ -73,9 +73,13 @@ def serialise(ranks: dict[bytes, int]) -> bytes:
 
 
 class ByteBpe:
-    """Encodes texts; remembers the ids of chunks, within a task and up to a bound."""
+    """Encodes texts; remembers the ids of chunks, within a task and up to a bound.
 
-    MOST = 300_000
+    Chunks over LONG characters, such as whole texts in scripts without spaces, are split into pre-tokens before they are
+    looked up, and pre-tokens over LONG are not remembered. A pre-token by itself is split no further.
+    """
+
+    MOST, LONG = 300_000, 64
 
     def __init__(self, model: bytes, pattern: str):
         import regex
@@ -113,12 +117,18 @@ class ByteBpe:
         for k in range(0, len(texts), 32):
             split = [self.chunks(text) for text in texts[k : k + 32]]
             own = set().union(*split)
+            if long := {c for c in own if len(c) > self.LONG}:
+                split = [list(chain.from_iterable(self.matches(c) if c in long else (c,) for c in chunks)) for chunks in split]
+                own = set().union(*split)
             new = own.difference(self.known)
             if len(self.known) + len(new) > self.MOST:
                 self.known.clear()
                 new = own
             self.learn(new)
             out += [list(chain.from_iterable(map(self.known.__getitem__, chunks))) for chunks in split]
+            for c in new if long else ():
+                if len(c) > self.LONG:
+                    del self.known[c]
         return out
 
     def forget(self) -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -14,8 +15,8 @@ from pyspark.sql import functions as F
 WHITE = "[\\x20\\x09-\\x0D]+"
 WORD = "[^\\x20\\x09-\\x0D]+"
 
-#: Rows in an Arrow batch: with texts of 100 kB a batch stays near 25 MB.
-BATCH_ROWS = "256"
+#: Rows and bytes in an Arrow batch, whichever is reached first; a single text may be larger.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": 256, "spark.sql.execution.arrow.maxBytesPerBatch": 32 << 20}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -41,22 +42,30 @@ def quoted(names: list[str]) -> list:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bound the Arrow batches by rows; only ever lowers the session's setting."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(spark.conf.get(key, "10000"))
-    if now <= 0 or now > int(BATCH_ROWS):
-        spark.conf.set(key, BATCH_ROWS)
+    """Bound the Arrow batches by rows and bytes; only ever lowers the session's settings."""
+    for key, most in BATCH.items():
+        number, unit = re.fullmatch(r"(-?\d+)([kmgtp]?)b?", spark.conf.get(key).lower()).groups()
+        now = int(number) << 10 * ("kmgtp".find(unit) + 1 if unit else 0)
+        if not 0 < now <= most:
+            spark.conf.set(key, str(most))
 
 
 class WordHashes(dict):
-    """Word (bytes) -> 64-bit hash, computed once per worker and word; forgets all words when it grows too large."""
+    """Word (bytes) -> 64-bit hash, computed once per worker and word; forgets all words when it grows too large.
 
-    MOST = 200_000
+    Words over LONG bytes, such as whole texts in scripts without spaces, are not remembered, so their size is no matter.
+    """
+
+    MOST, LONG = 200_000, 64
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.MOST:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        return self.keep(word, xxhash.xxh3_64_intdigest(word))
+
+    def keep(self, word: bytes, value: int) -> int:
+        if len(word) <= self.LONG:
+            if len(self) >= self.MOST:
+                self.clear()
+            self[word] = value
         return value
 
     def of(self, words: list[bytes]) -> np.ndarray:

@@ -52,13 +52,10 @@ class BareWords(WordHashes):
         self.letters = letters
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.MOST:
-            self.clear()
         bare = word.strip(EDGES)
         if self.letters:
             bare = bare.decode()[: self.letters].encode()
-        value = self[word] = xxhash.xxh3_64_intdigest(bare, self.letters)
-        return value
+        return self.keep(word, xxhash.xxh3_64_intdigest(bare, self.letters))
 
 
 class Grams:

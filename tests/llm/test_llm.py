@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from colloquy.llm import bpe, exact_dedup, gam, mixing, quality_rules, queries, sharding, simhash, substring_dedup, toxicity, url_filter
+from colloquy.llm import bpe, exact_dedup, gam, mixing, quality_rules, queries, shared, sharding, simhash, substring_dedup, toxicity, url_filter
 from colloquy.llm.components import components
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long, kept string, tokens int"
@@ -84,6 +84,33 @@ def test_bpe_equals_library_on_random_texts(encoding):
     assert codec.encode(texts) == [encoding.encode_ordinary(t) for t in texts]
 
 
+def test_bpe_without_spaces(encoding):
+    """Long chunks give the same ids and are not remembered."""
+    codec = bpe.ByteBpe(bpe.serialise(bpe.read_ranks(P.path(queries.VOCABULARY))), P.PATTERN)
+    rng = random.Random(6)
+    texts = ["".join(rng.choice(letters) for _ in range(2000)) for letters in ("漢字語文,", "ab'sd1!", "漢a \u3000", " \n") for _ in range(20)]
+    assert codec.encode(texts) == [encoding.encode_ordinary(t) for t in texts]
+    assert max(map(len, codec.known)) <= codec.LONG
+
+
+def test_word_hashes_forget_long_words():
+    own = shared.WordHashes()
+    texts = [b"a bb " + b"x" * 1000, b"a " + b"x" * 1000]
+    one, two = (own.of(t.split()) for t in texts)
+    assert one[0] == two[0] and one[2] == two[1] == xxhash.xxh3_64_intdigest(b"x" * 1000) and set(own) == {b"a", b"bb"}
+
+
+def test_batches_are_bounded_by_bytes(spark):
+    shared.small_batches(spark)
+    big = spark.range(40).coalesce(1).select(F.repeat(F.lit("x"), 4_000_000).alias("text"))
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"])
+
+    assert max(r.n for r in big.mapInArrow(sizes, "n long").collect()) < 50 << 20
+
+
 def test_op1_query(spark, sf, encoding):
     texts = dict(_duck(sf).sql("SELECT doc_id, text FROM documents").fetchall())
     for r in queries.op1_bpe(spark, sf).collect():
