@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from colloquy.functions import clock
 from colloquy.operators import intervals, islands, journal, speakers
-from colloquy.plans import align
+from colloquy.plans import align, documents
 from colloquy.sources import bindings as b
+from colloquy.sources import files
 
 AUDIO_US, SNAP_US, PAUSE_US, ISLAND_US = 720_000_000, 800_000, 600_000, 24_000_000
 THIRD_MAX, EPS = 0.10, 0.05
@@ -288,11 +289,15 @@ def pack_chunks(spark, sf_dir):
     return intervals.pack_chunks(intervals.merged(b.segments(spark, sf_dir)))
 
 
-@query(WORDS + "," + SEGS + "," + SHARES + "," + VERDICT + """, okay AS (SELECT file_id, dropped FROM verdict WHERE status = 'OK'),
+#: From words and segments to turns, as the full flow does it.
+ALIGNED = (WORDS + "," + SEGS + "," + SHARES + "," + VERDICT + """, okay AS (SELECT file_id, dropped FROM verdict WHERE status = 'OK'),
   segs_in AS (SELECT segs.* FROM segs JOIN okay USING (file_id)), dropped_in AS (SELECT file_id, dropped AS spk FROM okay WHERE dropped <> ''), words_in AS (SELECT words.* FROM words JOIN okay USING (file_id)),"""
   + REASSIGNED + "," + assigned_sql("words_in", "reassigned", "assigned") + "," + smoothed_sql("assigned", "smooth") + """,
   names AS (SELECT file_id, spk, 'Spk' || (row_number() OVER (PARTITION BY file_id ORDER BY share DESC, spk) - 1) AS norm FROM shares ANTI JOIN dropped_in USING (file_id, spk)),
-  named AS (SELECT s.* EXCLUDE (spk), n.norm AS spk FROM smooth s LEFT JOIN names n USING (file_id, spk)),""" + turns_sql("named", "built") + " SELECT * FROM built")
+  named AS (SELECT s.* EXCLUDE (spk), n.norm AS spk FROM smooth s LEFT JOIN names n USING (file_id, spk)),""" + turns_sql("named", "built"))
+
+
+@query(ALIGNED + " SELECT * FROM built")
 def full_align(spark, sf_dir):
     return align.full_align(b.words(spark, sf_dir).drop("event_id"), b.segments(spark, sf_dir), AUDIO_US, third_max=THIRD_MAX, eps=EPS)
 
@@ -317,3 +322,76 @@ def mean_pool(spark, sf_dir):
 def words_per_segment(spark, sf_dir):
     w = b.words(spark, sf_dir).selectExpr("file_id", "(pos - 1) div 3 + 1 AS seg_ix", "pos")
     return intervals.numbered(b.segments(spark, sf_dir)).join(w, ["file_id", "seg_ix"], "left").groupBy("file_id", "seg_ix").agg(F.count("pos").alias("n_words"))
+
+
+def _ms(c: str) -> str:
+    return f"(({c} + 500) // 1000)::BIGINT"
+
+
+@query(ALIGNED + f""", wd AS (SELECT smooth.*, greatest(0, end_us - start_us) AS d FROM smooth),
+  ws AS (SELECT file_id, count(*) AS num_words, sum(snapped::INT + (old_spk IS DISTINCT FROM spk)::INT)::BIGINT AS reassigned_words, ((sum(d) + 500) // 1000)::BIGINT / 1000.0::DOUBLE AS total_covered_sec,
+    ((2 * sum(d) + 100 * count(*)) // (200 * count(*)))::BIGINT / 10000.0::DOUBLE AS mean_word_dur, ((max(d) + 50) // 100)::BIGINT / 10000.0::DOUBLE AS max_word_dur FROM wd GROUP BY file_id),
+  ts AS (SELECT file_id, count(*) AS num_turns, string_agg(speaker || '@' || {_ms("start_us")} || '-' || {_ms("end_us")} || ' ' || text, '|' ORDER BY turn_ix) AS turns FROM built GROUP BY file_id),
+  ns AS (SELECT file_id, string_agg(norm || '=' || spk, ',' ORDER BY norm) AS mapping FROM names GROUP BY file_id),
+  sg AS (SELECT file_id, string_agg(spk || '@' || {_ms("start_us")} || '-' || {_ms("end_us")}, '|' ORDER BY seg_ix) AS segments FROM reassigned GROUP BY file_id),
+  sh AS (SELECT file_id, string_agg(spk || '=' || round(share * 1000000)::BIGINT, ',' ORDER BY spk) AS shares FROM shares GROUP BY file_id)
+  SELECT v.file_id, CASE WHEN v.status = 'OK' THEN 'SUCCESS' ELSE 'BAD_SAMPLE' END AS status, v.reason, v.dropped, sh.shares, ns.mapping AS mapping, coalesce(sg.segments, '') AS segments,
+    coalesce(ts.turns, '') AS turns, coalesce(num_turns, 0) AS num_turns, coalesce(num_words, 0) AS num_words, coalesce(reassigned_words, 0) AS reassigned_words,
+    coalesce(total_covered_sec, 0.0) AS total_covered_sec, coalesce(mean_word_dur, 0.0) AS mean_word_dur, coalesce(max_word_dur, 0.0) AS max_word_dur
+  FROM verdict v JOIN sh USING (file_id) LEFT JOIN ns ON v.status = 'OK' AND ns.file_id = v.file_id LEFT JOIN sg ON sg.file_id = v.file_id LEFT JOIN ts ON ts.file_id = v.file_id LEFT JOIN ws ON ws.file_id = v.file_id""")
+def result_documents(spark, sf_dir):
+    """The nested documents of every file, flattened for comparison; rejected files have empty turns and zeros."""
+    d = documents.documents(b.words(spark, sf_dir).drop("event_id"), b.segments(spark, sf_dir), AUDIO_US, third_max=THIRD_MAX, eps=EPS)
+    ms = lambda x: F.round(x * 1000).cast("long").cast("string")
+    span = lambda x, name: F.concat(x[name], F.lit("@"), ms(x["start"]), F.lit("-"), ms(x["end"]))
+    pairs = lambda entries, text: F.array_join(F.transform(F.array_sort(entries), text), ",")
+    names = F.transform(F.map_entries("transcript.mapping.orig_to_norm"), lambda e: F.concat(e["value"], F.lit("="), e["key"]))
+    return d.select(
+        "file_id", "status", "reason", F.array_join("meta_diar.dropped_speakers", ",").alias("dropped"),
+        pairs(F.map_entries("meta_diar.shares"), lambda e: F.concat(e["key"], F.lit("="), F.round(e["value"] * 1_000_000).cast("long").cast("string"))).alias("shares"),
+        F.array_join(F.array_sort(names), ",").alias("mapping"),
+        F.array_join(F.transform("meta_diar.postprocessed_segments", lambda x: span(x, "spk")), "|").alias("segments"),
+        F.coalesce(F.array_join(F.transform("transcript.turns", lambda x: F.concat(span(x, "speaker"), F.lit(" "), x["text"])), "|"), F.lit("")).alias("turns"),
+        *(F.coalesce(f"transcript.stats.{c}", F.lit(0)).alias(c) for c in ("num_turns", "num_words", "reassigned_words")),
+        *(F.coalesce(f"meta_asr.stats.{c}", F.lit(0.0)).alias(c) for c in ("total_covered_sec", "mean_word_dur", "max_word_dur")))
+
+
+@query(EVENTS + "," + SEGS + """, g AS (SELECT *, end_us - start_us AS d, CASE WHEN end_us - start_us > 22000000 THEN 21000000 ELSE 22000000 END AS step FROM segs WHERE (end_us * 32000 + 1000000) // 2000000 > (start_us * 32000 + 1000000) // 2000000),
+  c AS (SELECT *, unnest(range(0, greatest(0, (d - 22000000 + step - 1) // step) + 1)) AS chunk_ix FROM g)
+  SELECT file_id, seg_ix, spk, chunk_ix, start_us + chunk_ix * step AS start_us, start_us + least(d, chunk_ix * step + 22000000) AS end_us FROM c""")
+def segment_chunks(spark, sf_dir):
+    return intervals.segment_chunks(b.segments(spark, sf_dir), 22_000_000, 1_000_000, 22_000_000)
+
+
+@query(WORDS + "," + SEGS + """, n AS (SELECT file_id, (pos - 1) // 3 + 1 AS seg_ix, count(*) AS num_words FROM words GROUP BY ALL)
+  SELECT file_id, seg_ix, spk, start_us, end_us, greatest(0, end_us - start_us) AS dur_us, CASE WHEN end_us - start_us <= 22000000 THEN 1 ELSE (end_us - start_us) // 22000000 + 1 END AS num_chunks, coalesce(num_words, 0) AS num_words FROM segs LEFT JOIN n USING (file_id, seg_ix)""")
+def segment_items(spark, sf_dir):
+    w = b.words(spark, sf_dir).selectExpr("file_id", "(pos - 1) div 3 + 1 AS seg_ix")
+    return intervals.segment_items(b.segments(spark, sf_dir), w, 22_000_000)
+
+
+@query(JOURNAL + ", c AS (SELECT status, count(*) AS n FROM j GROUP BY status) SELECT CASE WHEN bool_or(status = 'FAILED') THEN 'done_with_errors' ELSE 'done' END AS status, sum(n)::BIGINT AS num_items, string_agg(status || '=' || n, ',' ORDER BY status) AS counts, bool_or(status = 'FAILED')::INT AS exit_code FROM c")
+def run_summary(spark, sf_dir):
+    counts = F.array_join(F.transform(F.map_entries("counts"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ",")
+    return journal.summary(b.journal(spark, sf_dir)).withColumn("counts", counts)
+
+
+def _audio_files(spark, sf_dir):
+    """Customers play as files: some durations are negative, missing or 0."""
+    c = b.table(spark, sf_dir, "customer")
+    return c.selectExpr("concat('/a/', c_custkey, '.wav') AS path", "CASE WHEN c_custkey % 7 = 0 THEN NULL WHEN c_custkey % 11 = 0 THEN 0D WHEN c_custkey % 13 = 0 THEN double('NaN') ELSE c_acctbal END AS duration_sec",
+                        "c_custkey AS bytes", "c_custkey AS mtime", "cast(c_custkey AS string) AS id")
+
+
+FILES = """f AS (SELECT '/a/' || c_custkey || '.wav' AS path, CASE WHEN c_custkey % 7 = 0 THEN NULL WHEN c_custkey % 11 = 0 THEN 0 WHEN c_custkey % 13 = 0 THEN 'NaN'::DOUBLE ELSE c_acctbal END AS d, c_custkey AS bytes, c_custkey AS mtime, c_custkey::VARCHAR AS id FROM customer),
+  g AS (SELECT *, d IS NULL OR isnan(d) OR d < 0 AS bad FROM f)"""
+
+
+@query(FILES + " SELECT path, CASE WHEN bad THEN 0 ELSE d END AS duration_sec, CASE WHEN bad THEN 'none' ELSE 'header' END AS duration_source, bytes, mtime, id FROM g")
+def duration_manifest(spark, sf_dir):
+    return files.duration_manifest(_audio_files(spark, sf_dir))
+
+
+@query(FILES + " SELECT count(*) FILTER (NOT bad AND d > 0) AS written, count(*) FILTER (bad OR d = 0) AS dropped_zero FROM g")
+def manifest_counts(spark, sf_dir):
+    return files.manifest_counts(_audio_files(spark, sf_dir), drop_zero=True)

@@ -30,3 +30,15 @@ def clock(micros: Column) -> Column:
 
 def seconds_to_micros(seconds: Column) -> Column:
     return F.round(seconds * 1_000_000).cast("long")
+
+
+def millis(micros: Column) -> Column:
+    """Seconds to three places, halves up, by whole numbers; for times that are not negative."""
+    return F.floor((micros + 500) / 1000) / 1000
+
+
+def token_text(ids: Column, vocabulary: list[str]) -> Column:
+    """The pieces of ``ids`` as text: ``▁`` begins a word. Ids beyond the vocabulary, the blank among them, are left out."""
+    pieces = F.array(*map(F.lit, vocabulary))
+    known = F.filter(F.transform(ids, lambda i: F.get(pieces, i.cast("int"))), lambda p: p.isNotNull())
+    return stripped(F.replace(F.array_join(known, ""), F.lit("▁"), F.lit(" ")))

@@ -43,6 +43,35 @@ def hopping_chunks(files: DataFrame, size_us: int, overlap_us: int) -> DataFrame
     )
 
 
+def segment_chunks(segments: DataFrame, size_us: int, overlap_us: int, segment_max_us: int) -> DataFrame:
+    """(file_id, seg_ix, spk, chunk_ix, start_us, end_us): each segment's hopping chunks, in the file's time.
+
+    Chunks are at most ``size_us`` and ``segment_max_us`` long and overlap only in segments over ``segment_max_us``. Segments
+    that are shorter than half a sample of 16 kHz have none.
+    """
+    size = min(size_us, segment_max_us)
+    if not 0 <= overlap_us < size:
+        raise ValueError("overlap must be at least 0 and below the chunk size")
+    sample = lambda c: F.expr(f"({c} * 32000 + 1000000) div 2000000")
+    s = numbered(segments).where(sample("end_us") > sample("start_us")).withColumn("_d", F.col("end_us") - F.col("start_us"))
+    s = s.withColumn("_step", F.when(F.col("_d") > segment_max_us, size - overlap_us).otherwise(size).cast("long"))
+    s = s.withColumn("chunk_ix", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"greatest(0L, (_d - {size} + _step - 1) div _step)"))))
+    at = F.col("chunk_ix") * F.col("_step")
+    return s.select("file_id", "seg_ix", "spk", "chunk_ix", (F.col("start_us") + at).alias("start_us"), (F.col("start_us") + F.least(F.col("_d"), at + size)).alias("end_us"))
+
+
+def segment_items(segments: DataFrame, words: DataFrame, segment_max_us: int) -> DataFrame:
+    """(file_id, seg_ix, spk, start_us, end_us, dur_us, num_chunks, num_words): words carry seg_ix; segments without any count 0.
+
+    num_chunks says how often ``segment_max_us`` fits, plus one, for longer segments; overlaps are not counted in.
+    """
+    counts = words.groupBy("file_id", "seg_ix").agg(F.count("*").alias("num_words"))
+    d = F.greatest(F.lit(0).cast("long"), F.col("end_us") - F.col("start_us"))
+    chunks = F.when(F.col("dur_us") <= segment_max_us, F.lit(1).cast("long")).otherwise(F.expr(f"dur_us div {segment_max_us} + 1"))
+    items = numbered(segments).withColumn("dur_us", d).withColumn("num_chunks", chunks).join(counts, ["file_id", "seg_ix"], "left")
+    return items.select("file_id", "seg_ix", "spk", "start_us", "end_us", "dur_us", "num_chunks", F.coalesce("num_words", F.lit(0)).alias("num_words"))
+
+
 def assign_words(words: DataFrame, segments: DataFrame, snap_us: int, bin_us: int = 60_000_000) -> DataFrame:
     """Words with spk and snapped: the speaker who overlaps a word most, else of the two segments around it the nearer one.
 

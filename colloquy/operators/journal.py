@@ -47,3 +47,16 @@ def status_counts(journal: DataFrame) -> DataFrame:
 
 def duplicate_ids(inputs: DataFrame) -> DataFrame:
     return inputs.groupBy("id").agg(F.count("*").alias("n")).where("n > 1")
+
+
+def skip_rows(inputs: DataFrame, reason: str) -> DataFrame:
+    """The lines of inputs that are skipped."""
+    return inputs.select("input_path", F.lit("SKIPPED").alias("status"), F.lit(reason).alias("reason"))
+
+
+def summary(journal: DataFrame) -> DataFrame:
+    """One row (status, num_items, counts, exit_code) for the lines of a run; counts is a map in the order of its keys."""
+    counts = journal.groupBy("status").agg(F.count("*").alias("n"))
+    total = counts.agg(F.array_sort(F.collect_list(F.struct("status", "n"))).alias("x"), F.coalesce(F.sum("n"), F.lit(0)).alias("num_items"))
+    failed = F.exists("x", lambda r: r["status"] == "FAILED")
+    return total.select(F.when(failed, "done_with_errors").otherwise("done").alias("status"), "num_items", F.map_from_entries("x").alias("counts"), failed.cast("int").alias("exit_code"))

@@ -8,17 +8,25 @@ from pyspark.sql import functions as F
 from colloquy.operators import intervals, islands, speakers
 
 
+def ruled_segments(segments: DataFrame, audio_us: int, third_max: float, eps: float, max_speakers: int = 3, enabled: bool = True) -> tuple[DataFrame, ...]:
+    """(shares, verdicts, dropped speakers, segments of accepted files with those speakers' given away)."""
+    shares = intervals.speaker_shares(segments, audio_us)
+    ruled = speakers.verdict(shares, third_max, eps, max_speakers=max_speakers, enabled=enabled)
+    okay = ruled.where("status = 'OK'")
+    dropped = okay.where("dropped != ''").select("file_id", F.col("dropped").alias("spk"))
+    kept = intervals.reassign_dropped(segments.join(okay.select("file_id"), "file_id", "left_semi"), dropped)
+    return shares, ruled, dropped, kept
+
+
 def named_words(words: DataFrame, segments: DataFrame, audio_us: int, snap_us: int, island_words: int, island_us: int, third_max: float, eps: float) -> DataFrame:
     """Words with spk as Spk0, Spk1…: verdict, dropped speakers' segments given away, assignment, smoothing, names by share.
 
-    Only files with the verdict OK go on.
+    Only files with the verdict OK go on. reassigned marks words whose speaker was snapped to or smoothed.
     """
-    shares = intervals.speaker_shares(segments, audio_us)
-    ruled = speakers.verdict(shares, third_max, eps).where("status = 'OK'")
-    dropped = ruled.where("dropped != ''").select("file_id", F.col("dropped").alias("spk"))
-    kept = intervals.reassign_dropped(segments.join(ruled.select("file_id"), "file_id", "left_semi"), dropped).drop("seg_ix")
-    assigned = intervals.assign_words(words.join(ruled.select("file_id"), "file_id", "left_semi"), kept, snap_us)
-    smooth = islands.smooth_islands(assigned, island_words, island_us)
+    shares, ruled, dropped, kept = ruled_segments(segments, audio_us, third_max, eps)
+    accepted = words.join(ruled.where("status = 'OK'").select("file_id"), "file_id", "left_semi")
+    smooth = islands.smooth_islands(intervals.assign_words(accepted, kept.drop("seg_ix"), snap_us), island_words, island_us)
+    smooth = smooth.withColumn("reassigned", F.col("snapped").cast("int") + (~F.col("old_spk").eqNullSafe(F.col("spk"))).cast("int"))
     names = speakers.ranked_names(shares.join(dropped, ["file_id", "spk"], "left_anti"))
     return smooth.join(names, ["file_id", "spk"], "left").withColumn("spk", F.col("norm")).drop("norm", "old_spk")
 

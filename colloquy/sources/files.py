@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import re
 import wave
 from collections.abc import Iterator
 
@@ -32,10 +33,15 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_glob(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
-    """(path, id, bytes, mtime) of the files below ``folder`` that match; contents are not read."""
+    """(path, relative, id, bytes, mtime) of the files below ``folder`` that match, by path; contents are not read.
+
+    The reader passes over files of no bytes.
+    """
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(folder)
     plain = F.regexp_replace("path", "^file:/*", "/")
-    return files.select(plain.alias("path"), stem(plain).alias("id"), F.col("length").alias("bytes"), F.col("modificationTime").alias("mtime"))
+    root = "/" + re.sub("^file:/*|^/", "", folder).rstrip("/") + "/"
+    below = F.when(plain.startswith(root), F.substring(plain, F.lit(len(root) + 1), F.char_length(plain))).otherwise(plain)
+    return files.orderBy("path").select(plain.alias("path"), below.alias("relative"), stem(plain).alias("id"), F.col("length").alias("bytes"), F.col("modificationTime").alias("mtime"))
 
 
 def resolved(rows: DataFrame, folder: str) -> DataFrame:
@@ -49,8 +55,9 @@ def read_journal(spark: SparkSession, path: str) -> DataFrame:
 
 
 def append_journal(rows: DataFrame, path: str) -> None:
-    """Appends lines; the configuration is not among them, so no secret is stored."""
-    rows.select("input_path", "status", "reason").write.mode("append").json(path)
+    """Appends lines; the configuration is not among them, so no secret is stored. Columns other than these are optional."""
+    own = ["input_path", "id", "started_at", "finished_at", "status", "reason", "shares", "speakers"]
+    rows.select(*(c for c in own if c in rows.columns)).write.mode("append").json(path)
 
 
 def read_transcripts(spark: SparkSession, path: str) -> DataFrame:
@@ -60,13 +67,49 @@ def read_transcripts(spark: SparkSession, path: str) -> DataFrame:
     return docs.select(F.coalesce("file_id", name).alias("file_id"), F.posexplode("turns").alias("pos", "t")).select("file_id", "pos", "t.speaker", "t.text")
 
 
+#: The documents of a successful item, by column and folder.
+OUTPUTS = {"transcript": "transcripts", "meta_asr": "meta_asr", "meta_diar": "meta_diar"}
+
+
 def write_results(results: DataFrame, folder: str) -> None:
-    """A SUCCESS row's document under ``transcripts``; every row's status in ``journal``. The frame is evaluated twice: cache it
-    if it holds model results."""
-    results.where("status = 'SUCCESS'").drop("status", "reason", "input_path").write.mode("append").json(f"{folder}/transcripts")
+    """A SUCCESS row's documents, those of OUTPUTS that are columns, under their folders; every row's status in ``journal``.
+
+    BAD_SAMPLE lines carry shares and speakers, where there is a meta_diar. The frame is evaluated once for each output: write
+    model results to a table first. A commit covers one output; the journal comes last, so what it names exists.
+    """
+    for column, name in OUTPUTS.items():
+        if column in results.columns:
+            results.where("status = 'SUCCESS'").select("id", f"{column}.*").write.mode("append").json(f"{folder}/{name}")
+    if "meta_diar" in results.columns:
+        bad = F.col("status") == "BAD_SAMPLE"
+        results = results.withColumns({c: F.when(bad, F.col(f"meta_diar.{c}")) for c in ("shares", "speakers")})
     append_journal(results, f"{folder}/journal")
 
 
+def duration_manifest(files: DataFrame, drop_zero: bool = False) -> DataFrame:
+    """(path, duration_sec, duration_source, bytes, mtime, id) in the order (duration_sec, path).
+
+    A duration that is missing, not a number or negative counts as 0, from the source ``none``; ``drop_zero`` drops those of 0.
+    """
+    bad = F.col("duration_sec").isNull() | F.isnan("duration_sec") | (F.col("duration_sec") < 0)
+    source = F.col("duration_source") if "duration_source" in files.columns else F.lit("header")
+    rows = files.withColumns({"duration_source": F.when(bad, "none").otherwise(source), "duration_sec": F.when(bad, 0.0).otherwise(F.col("duration_sec"))})
+    rows = rows.where("duration_sec > 0") if drop_zero else rows
+    return rows.select("path", "duration_sec", "duration_source", "bytes", "mtime", "id").orderBy("duration_sec", "path")
+
+
+def manifest_counts(files: DataFrame, drop_zero: bool = False) -> DataFrame:
+    """One row (written, dropped_zero)."""
+    usable = F.coalesce(F.col("duration_sec") > 0, F.lit(False)) & ~F.coalesce(F.isnan("duration_sec"), F.lit(False))
+    dropped = F.count_if(~usable) if drop_zero else F.lit(0).cast("long")
+    return files.agg(F.count("*").alias("n"), dropped.alias("dropped_zero")).select((F.col("n") - F.col("dropped_zero")).alias("written"), "dropped_zero")
+
+
+def write_manifest(rows: DataFrame, path: str) -> None:
+    """Sorted JSON lines; part files are in the order of their names."""
+    rows.write.mode("overwrite").json(path)
+
+
 def write_dialogs(rows: DataFrame, path: str) -> None:
     """Dialog rows as one array of speaker -> text maps per dialog."""
     maps = rows.groupBy("file_id", "row_ix").agg(F.map_from_entries(F.collect_list(F.struct("speaker", "text"))).alias("row"))

@@ -3,15 +3,16 @@
 import random
 import wave
 
+import numpy as np
 import pandas as pd
 import pytest
 
 from colloquy import models
 from colloquy.config import Config
-from colloquy.functions import clock, stem
+from colloquy.functions import clock, stem, token_text
 from colloquy.operators import intervals, islands, journal, speakers
-from colloquy.plans import align
-from colloquy.sources import files
+from colloquy.plans import align, documents
+from colloquy.sources import audio, files
 from colloquy.streaming import manifest_stream, run_new
 from pyspark.sql import functions as F
 
@@ -166,10 +167,99 @@ def test_files(spark, tmp_path):
     assert sorted(r.id for r in files.read_glob(spark, str(tmp_path), "*.wav").collect()) == ["s", "t"]
     lines = spark.createDataFrame([("0.5 1.25 spk_0",), ("2 1 x",), ("junk",)], "v string").select(files.parse_segment_line(F.col("v")).alias("s"))
     assert [r.s and tuple(r.s) for r in lines.collect()] == [("spk_0", 500_000, 1_250_000), None, None]
-    done = spark.createDataFrame([("/a", "SUCCESS", None, "a", "hi"), ("/b", "FAILED", "x", "b", None)], "input_path string, status string, reason string, file_id string, text string")
-    files.write_results(done, str(tmp_path / "out"))
-    assert journal.latest(files.read_journal(spark, str(tmp_path / "out/journal"))).count() == 2
-    assert [r.file_id for r in spark.read.json(str(tmp_path / "out/transcripts")).collect()] == ["a"]
+    done = spark.createDataFrame(
+        [("/a", "a", "SUCCESS", None, ("a", "hi"), ({"s0": 1.0}, ["s0"])), ("/b", "b", "FAILED", "x", None, None), ("/c", "c", "BAD_SAMPLE", "y", ("c", "no"), ({"s1": 0.5}, ["s1"]))],
+        "input_path string, id string, status string, reason string, transcript struct<file_id:string,text:string>, meta_diar struct<shares:map<string,double>,speakers:array<string>>")
+    out = str(tmp_path / "out")
+    files.write_results(done, out)
+    assert journal.latest(files.read_journal(spark, f"{out}/journal")).count() == 3
+    assert [(r.id, r.file_id, r.text) for r in spark.read.json(f"{out}/transcripts").collect()] == [("a", "a", "hi")]
+    assert [r.speakers for r in spark.read.json(f"{out}/meta_diar").collect()] == [["s0"]]
+    assert sorted((r.id, r.speakers) for r in spark.read.json(f"{out}/journal").collect()) == [("a", None), ("b", None), ("c", ["s1"])]
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "sub/u.wav").write_bytes(b"x")
+    assert [r.relative for r in files.read_glob(spark, str(tmp_path), "*.wav").collect()] == ["s.wav", "sub/u.wav", "t.wav"]
+
+
+def test_manifest_by_duration(spark, tmp_path):
+    rows = [("b", 2.0), ("a", 2.0), ("n", None), ("x", float("nan")), ("m", -1.0), ("z", 0.0)]
+    given = spark.createDataFrame([(*r, 1, 1.0, r[0]) for r in rows], "path string, duration_sec double, bytes long, mtime double, id string")
+    assert [(r.path, r.duration_sec) for r in files.duration_manifest(given, drop_zero=True).collect()] == [("a", 2.0), ("b", 2.0)]
+    assert [(r.path, r.duration_source) for r in files.duration_manifest(given).collect()] == [("m", "none"), ("n", "none"), ("x", "none"), ("z", "header"), ("a", "header"), ("b", "header")]
+    assert tuple(files.manifest_counts(given, drop_zero=True).first()) == (2, 4) and tuple(files.manifest_counts(given).first()) == (6, 0)
+    files.write_manifest(files.duration_manifest(given), str(tmp_path / "m"))
+    assert [r.path for r in files.read_manifest(spark, str(tmp_path / "m")).orderBy("source_index").collect()] == ["m", "n", "x", "z", "a", "b"]
+
+
+def test_summary(spark):
+    lines = spark.createDataFrame([("SUCCESS",), ("FAILED",), ("SUCCESS",)], "status string")
+    assert tuple(journal.summary(lines).first()) == ("done_with_errors", 3, {"FAILED": 1, "SUCCESS": 2}, 1)
+    assert tuple(journal.summary(lines.where("false")).first()) == ("done", 0, {}, 0)
+
+
+def test_segment_chunks(spark):
+    """Against a loop; a long segment overlaps, a short one does not, an empty one has no chunk."""
+    segs = [(0, "s", 0, 10), (0, "s", 5, 70), (1, "t", 3, 3), (1, "t", 4, 26), (2, "u", 0, 22)]
+    given = spark.createDataFrame([(f, k, a * 1_000_000, b * 1_000_000) for f, k, a, b in segs], SEG)
+    want = []
+    for f, _, a, b in segs:
+        at, step = 0, 21 if b - a > 22 else 22
+        while at == 0 and b > a or at and at + 22 - step < b - a:
+            want.append((f, a + at, a + min(b - a, at + 22)))
+            at += step
+    got = intervals.segment_chunks(given, 22_000_000, 1_000_000, 22_000_000).collect()
+    assert sorted((r.file_id, r.start_us // 1_000_000, r.end_us // 1_000_000) for r in got) == sorted(want)
+    words = spark.createDataFrame([(0, 2), (0, 2)], "file_id long, seg_ix long")
+    items = {(r.file_id, r.seg_ix): (r.num_chunks, r.num_words) for r in intervals.segment_items(given, words, 22_000_000).collect()}
+    assert items == {(0, 1): (1, 0), (0, 2): (3, 2), (1, 1): (1, 0), (1, 2): (1, 0), (2, 1): (1, 0)}
+
+
+def test_documents(spark):
+    words = spark.createDataFrame([(0, 1, "hi", 0, 400_000), (0, 2, "you", 500_000, 900_500), (2, 1, "x", 0, 1)], WORD)
+    segs = spark.createDataFrame([(0, "a", 0, 1_000_000), (1, "b", 0, 1_000_000), *((2, s, 0, 1_000_000) for s in "abc")], SEG)
+    rows = {r.file_id: r for r in documents.documents(words, segs, 2_000_000).collect()}
+    one = rows[0]
+    assert one.status == "SUCCESS" and one.transcript.mapping.orig_to_norm == {"a": "Spk0"} and one.transcript.mapping.dropped_speakers == []
+    assert [tuple(t) for t in one.transcript.turns] == [("Spk0", 0.0, 0.901, "hi you")] and [tuple(w) for w in one.meta_asr.words] == [("hi", 0.0, 0.4), ("you", 0.5, 0.901)]
+    assert tuple(one.meta_asr.stats) == (2, 0.801, 0.4003, 0.4005) and tuple(one.transcript.stats) == (1, 2, 0)
+    assert rows[1].transcript.turns == [] and tuple(rows[1].meta_asr.stats) == (0, 0.0, 0.0, 0.0)
+    assert rows[2].status == "BAD_SAMPLE" and rows[2].reason == "three_speakers_equal_shares" and rows[2].transcript is None and rows[2].meta_diar.shares == {s: 0.5 for s in "abc"}
+
+
+def test_audio(spark):
+    tone = np.sin(2 * np.pi * 1000 * np.arange(16_000) / 16_000) * 0.5
+    content = audio.write_wav(tone)
+    assert np.abs(audio.read_wav(content) - tone).max() < 1e-4 and np.abs(audio.read_wav(audio.write_wav(np.array([3.0, -3.0])))).max() <= 1
+    given = spark.createDataFrame([("a", bytearray(content)), ("b", bytearray(b"junk"))], "path string, content binary")
+    rows = {r.path: r for r in audio.decode(given).collect()}
+    assert rows["a"].duration_sec == 1.0 and rows["a"].reason is None and rows["b"].samples is None and rows["b"].reason
+    mel = {r.path: r.features for r in audio.features(audio.decode(given)).collect()}
+    assert mel["b"] is None and np.array(mel["a"]).shape == (101, 64)
+    n = audio.decode(given).where("path = 'a'").select(audio.frames_of(F.col("samples")).alias("n"), F.size(audio.short_enough(F.col("samples"))).alias("m")).first()
+    assert tuple(n) == (101, 16_000)
+    # The loudest band is the one whose triangle is highest at 1 kHz.
+    assert np.array(mel["a"])[50].argmax() == audio.mel_filters(64, 400)[25].argmax()
+    with pytest.raises(Exception, match="use chunks"):
+        spark.range(1).select(audio.short_enough(F.array_repeat(F.lit(0.0), 400_001))).collect()
+
+
+def test_transducer_and_tokens(spark):
+    """Labels move the predictor's state, and a frame stops at its most labels."""
+    predict = lambda label, state: ((state or 0) + (label is not None),) * 2
+    joint = lambda frame, out: [1.0, 0.0] if out < frame else [0.0, 0.0 if frame < 9 else 1.0]
+    assert models.greedy_transducer([1, 1, 3], predict, lambda f, o: [1.0, 0.0] if o < f else [0.0, 1.0], 1) == [0, 0, 0]
+    assert models.greedy_transducer([5], predict, joint, 1, most=3) == [0, 0, 0]
+    ids = spark.createDataFrame([([0, 1, 2, 9, 3],), ([],)], "ids array<int>")
+    assert [r[0] for r in ids.select(token_text(F.col("ids"), ["▁a", "b", "▁c", "d"])).collect()] == ["ab cd", ""]
+
+
+def test_config_file(tmp_path):
+    (tmp_path / "c.yaml").write_text("input:\n  manifest_path: in/m.jsonl\nresume:\n  enabled: false\nasr:\n  batch_size: 3\n  hf_token: secret\ndiarizer:\n  batch_size: 7\nspeaker_rules:\n  enabled: true\n")
+    c = Config.load(str(tmp_path / "c.yaml"))
+    assert c.manifest_path == str(tmp_path / "in/m.jsonl") and c.transcripts_dir == str(tmp_path / "transcripts") and "secret" not in repr(c)
+    assert c.chunk_batch_size == 3 and not c.resume_enabled and c.rules_enabled and c.overlap_sec == 1.0
+    with pytest.raises(ValueError):
+        Config.of({"asr": {"overlap_sec": 22.0}})
 
 
 def test_stream(spark, tmp_path):
