@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from colloquy.llm import bpe, exact_dedup, gam, mixing, quality_rules, queries, shared, sharding, simhash, substring_dedup, toxicity, url_filter
+from colloquy.llm import bpe, exact_dedup, gam, mixing, near_copies, quality_rules, queries, shared, sharding, simhash, substring_dedup, toxicity, url_filter
 from colloquy.llm.components import components
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long, kept string, tokens int"
@@ -401,3 +401,56 @@ def test_model_is_read_by_the_library():
     assert base64.b64encode(raw)
     with pytest.raises(ValueError):
         bpe.serialise({b"a": 0})
+
+
+def _shingles(t):
+    w = words(re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    return {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+
+
+def _near_groups(texts):
+    sets, root = [_shingles(t) for t in texts], list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in range(len(sets)):
+        for b in range(a):
+            if sets[a] == sets[b] or 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]) > 0:
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    return [find(k) for k in range(len(sets))]
+
+
+def _edited(text, seed, changes):
+    w, rng = text.split(), random.Random(seed)
+    for k in rng.sample(range(len(w)), changes):
+        w[k] = f"new{seed}x{k}"
+    return " ".join(w)
+
+
+@pytest.fixture(scope="module")
+def copied(spark):
+    """Edited copies on both sides of the threshold, chains of them, a large group, null and repeated ids with texts of their own."""
+    texts = []
+    for k in range(20):
+        base = passage(100 + k, 60 + 10 * k)
+        texts += [base, *(_edited(base, 10 * k + j, 1 + j * (1 + k // 4)) for j in range(4))]
+        texts.append(_edited(texts[-1], 1000 + k, 2))
+    base = passage(99, 200)
+    texts += [base, *(_edited(base, 5000 + k, 3) for k in range(40))]
+    rows = [(k, t, "s1") for k, t in enumerate(texts)]
+    rows += [(None, passage(300, 40), "s1"), (None, passage(301, 40), "s1"), (None, _edited(passage(301, 40), 1, 1), "s1"), (None, texts[0].upper(), "s1")]
+    rows += [(7, passage(302, 50), "s1"), (7, _edited(passage(302, 50), 2, 1), "s1"), (0, passage(303, 50), "s1"), (900, passage(304, 50), "s1"), (900, passage(305, 50), "s1")]
+    return spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+
+
+def test_near_copies_equal_brute_force(spark, copied):
+    rows = shared.written(copied.withColumn("uid", F.monotonically_increasing_id()), "rows")
+    table = {r.uid: r.text for r in rows.collect()}
+    got = {r.uid: r.component for r in near_copies.near_copies(rows).collect()}
+    want = dict(zip(table, _near_groups(list(table.values())), strict=True))
+    assert len(got) == len(table) and len(set(want.values())) == len(set(got.values())) == len({(want[u], got[u]) for u in table})
+    assert near_copies.near_copies(rows.limit(0)).count() == 0
