@@ -454,3 +454,17 @@ def test_near_copies_equal_brute_force(spark, copied):
     want = dict(zip(table, _near_groups(list(table.values())), strict=True))
     assert len(got) == len(table) and len(set(want.values())) == len(set(got.values())) == len({(want[u], got[u]) for u in table})
     assert near_copies.near_copies(rows.limit(0)).count() == 0
+
+
+def test_pipeline_near_stage_equals_brute_force(spark, copied, sf):
+    table = [(r.doc_id, r.text) for r in copied.collect()]
+    groups = {}
+    for (i, t), r in zip(table, _near_groups([t for _, t in table]), strict=True):
+        groups.setdefault(r, []).append((i, t))
+    got = corpus_pipeline.near(spark, copied, sf)
+    assert got.columns == copied.columns
+    left = {(r.doc_id, r.text) for r in got.collect()}
+    assert got.count() == len(groups) and 20 < len(groups) < len(table) - 60
+    for rows in groups.values():
+        stay = [row for row in rows if row in left]
+        assert len(stay) == 1 and stay[0][0] == min((i for i, _ in rows if i is not None), default=None)
