@@ -114,9 +114,12 @@ def substring_dedup(df: DataFrame, ident: str = "doc_id", text: str = "text") ->
     rows = written(rows, "substring-rows")
     own = written(profile(rows), "substring-profile")
     long = own.where((F.col("n_words") >= WINDOW) & F.col("doc_id").isNotNull())
-    # Of texts with the same words only the row with the smallest (id, uid) goes on; later copies go as a whole.
+    # Of texts with the same words only the row with the smallest (id, uid) goes on; copies with a larger id go as a whole, and
+    # copies with the same id are cut as it is.
     firsts = written(long.groupBy("w1", "w2", "n_words").agg(F.min(F.struct("doc_id", "uid")).alias("first")).select("w1", "w2", "n_words", "first.*"), "substring-firsts")
-    whole = own.select("uid", F.col("doc_id").alias("d"), "w1", "w2", "n_words").join(firsts.select("w1", "w2", "n_words", "doc_id"), ["w1", "w2", "n_words"]).where("d > doc_id").select("uid", F.lit(True).alias("whole"))
+    copies = own.select("uid", F.col("doc_id").alias("d"), "w1", "w2", "n_words").join(firsts.withColumnRenamed("uid", "first"), ["w1", "w2", "n_words"]).where("d > doc_id OR (d = doc_id AND uid != first)")
+    copies = written(copies.select("uid", F.col("d").alias("doc_id"), "first", (F.col("d") > F.col("doc_id")).alias("whole")), "substring-copies")
+    whole = copies.where("whole").select("uid", "whole")
 
     kept = own.join(firsts.select("uid"), "uid", "left_semi").select("uid", "doc_id", F.explode("seeds").alias("seed"))
     shared = written(kept.groupBy("seed").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a != b").select("seed"), "substring-shared")
@@ -125,6 +128,9 @@ def substring_dedup(df: DataFrame, ident: str = "doc_id", text: str = "text") ->
     each = windows.select("uid", "doc_id", F.explode(F.arrays_zip("starts", "k1", "k2")).alias("w")).select("uid", "doc_id", "w.*")
     index = written(each.groupBy("k1", "k2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").drop("most"), "substring-index")
     known = each.join(index, ["k1", "k2"]).where("doc_id > least").groupBy("uid").agg(F.collect_list("starts").alias("starts"))
+    known = written(known, "substring-known")
+    twins = copies.where("NOT whole").select(F.col("uid").alias("twin"), F.col("first").alias("uid"))
+    known = known.union(known.join(twins, "uid").select(F.col("twin").alias("uid"), "starts"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -313,6 +313,13 @@ def test_substring_dedup_odd(odd, table):
     assert substring_dedup.substring_dedup(odd.limit(0)).count() == 0
 
 
+def test_substring_dedup_repeated_row(spark):
+    p, x = passage(40, 60), passage(41, 30)
+    rows = [(3, p), (5, x + " " + p), (5, x + " " + p), (5, x + "  " + p), (7, p), (7, p)]
+    got = substring_dedup.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.n_removed, r.kept_text) for r in got) == [(3, 0, p), *[(5, 60, x)] * 3, *[(7, 60, "")] * 2]
+
+
 def _fingerprint(t):
     w = words(re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
     shingles = [" ".join(w[k : k + 4]) for k in range(max(1, len(w) - 3))] if w else []
