@@ -475,3 +475,29 @@ def test_pipeline_near_stage_equals_brute_force(spark, copied, sf):
     for rows in groups.values():
         stay = [row for row in rows if row in left]
         assert len(stay) == 1 and stay[0][0] == min((i for i, _ in rows if i is not None), default=None)
+
+
+def test_substring_dedup_compares_words(spark):
+    """Texts built so that all window hashes agree share no window, and lose nothing; a true copy among them is still found."""
+    bits = [k.bit_count() & 1 for k in range(2048)]
+    fill = [f"f{k}" for k in range(2048)]
+    one = " ".join(x for k, b in enumerate(bits) for x in (("aa", "bb")[b], fill[k]))
+    two = " ".join(x for k, b in enumerate(bits) for x in (("bb", "aa")[b], fill[k]))
+    own = substring_dedup.Windows(window=4096)
+    h, g = (own.hashes(t.encode().split()) for t in (one, two))
+    assert own.one.windows(h, 4096) == own.one.windows(g, 4096)
+    rows = [(1, one), (2, two), (3, "x " + " ".join(two.split()[100:180]) + " y"), (4, two), (5, one.replace(" ", "\n"))]
+    got = {r.doc_id: (r.n_removed, r.kept_text) for r in substring_dedup.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: (0, one), 2: (0, two), 3: (80, "x y"), 4: (4096, ""), 5: (4096, "")}
+
+
+def test_substring_dedup_when_hashes_collide(odd):
+    """With window hashes of three bits nearly all is decided by words, and the result is the same."""
+    plain, narrow = (sorted(map(repr, substring_dedup.substring_dedup(odd, key_bits=b).collect())) for b in (64, 3))
+    assert plain == narrow
+
+
+def test_substring_dedup_other_ids(spark):
+    p = passage(60, 60)
+    got = substring_dedup.substring_dedup(spark.createDataFrame([("b", "x " + p), ("a", p + " y"), (None, p)], "name string, text string"), ident="name").collect()
+    assert sorted((r.doc_id or "", r.n_removed, r.kept_text) for r in got) == [("", 0, p), ("a", 0, p + " y"), ("b", 60, "x")]
