@@ -5,30 +5,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from colloquy.llm.shared import written
+from colloquy.llm.shared import spread_join, written
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    """Each node's smaller neighbours, and the node, link to the smallest of them. ``edges`` are (u, v), u > v."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    moved = edges.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    """Each node's smaller neighbours, and the node, link to the smallest of them. ``edges`` are a table (u, v), u > v."""
+    least = written(edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")), "component-least")
+    moved = spread_join(edges, least, ["u"]).where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.union(least.select("u", F.col("m").alias("v"))).distinct()
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     """Each node's larger neighbours link to the smallest of its neighbours and itself."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "v")
-    return edges.join(least, "v", "left").select("u", F.coalesce("m", "v").alias("v")).distinct()
+    both = edges.select("u", "v", F.lit(0).alias("n")).union(edges.select(F.col("v").alias("u"), F.col("v"), F.lit(1).alias("n")))
+    least = written(both.groupBy("u").agg(F.min("v").alias("m"), F.sum("n").alias("n")).withColumnRenamed("u", "v"), "component-least")
+    return spread_join(edges, least, ["v"]).select("u", F.col("m").alias("v")).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b), two numbers of one type, a != b: root is the smallest node reachable.
 
     Both steps keep what is connected connected and never add edges, so dense groups shrink to a star in the first rounds;
-    rounds grow with the logarithm of a component's width in practice. Minima are pre-aggregated before they are shuffled and
-    each round is written, so hubs and lost executors do no harm. The end is a round that changes nothing.
+    rounds grow with the logarithm of a component's width in practice. Minima are pre-aggregated before they are shuffled,
+    a hub's edges meet its minimum by broadcast, and each round is written, so hubs and lost executors do no harm. The end
+    is a round that changes nothing.
     """
-    now = edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+    now = written(edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "component-edges")
     mark = None
     while True:
         now = written(_small_star(now), "component-stars")

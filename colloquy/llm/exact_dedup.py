@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from colloquy.llm.shared import WHITE, quoted, small_batches, written
+from colloquy.llm.shared import WHITE, aside, quoted, small_batches, spread_join, written
 
 #: Bytes of distinct contents in a table before its bucket is split.
 TABLE_BYTES = 48 << 20
@@ -77,34 +77,38 @@ def _read(path: str) -> Iterator[Record]:
 
 
 def grace(batches: Iterable[Record], limit: int = TABLE_BYTES, level: int = 0, folder: str | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, OpenTable]]:
-    """Yields (idents, the numbers of their entries, the table), for all records, bucket by bucket.
+    """Yields (idents, the numbers of their entries, the table), for all records, a batch and a bucket at a time.
 
-    A bucket is tried in memory first; once its distinct contents pass ``limit`` all its records go to spill files by the
-    next bits of the hash, and each file is a bucket of its own. Copies never make a bucket larger, so a single text in any
-    number of copies needs one entry. Only contents that share all 64 bits of their hash stay together beyond the limit.
+    A bucket's records go to a file and its distinct contents to a table; once these pass ``limit`` all records go to spill
+    files by the next bits of the hash, and each file is a bucket of its own. What is kept of a record besides is its id and
+    its entry's number, in a second file that is read back when the table is complete. So copies never make a bucket larger,
+    in memory at least, and a single text in any number of copies needs one entry. Only contents that share all 64 bits of
+    their hash stay together beyond the limit.
     """
     own = tempfile.mkdtemp(prefix="grace-", dir=folder)
     try:
-        table, idents, entries = OpenTable(), [], []
-        source, log, sink = iter(batches), os.path.join(own, "log"), None
+        table, source, log, sink = OpenTable(), iter(batches), os.path.join(own, "log"), None
+        found, pairs = os.path.join(own, "entries"), None
         over = False
         for batch in source:
             if sink is None:
                 sink = pa.ipc.new_stream(log, batch.schema, options=pa.ipc.IpcWriteOptions(compression="lz4"))
+                pairs = pa.ipc.new_stream(found, pa.schema([("ident", pa.int64()), ("entry", pa.int64())]))
             sink.write_batch(batch)
-            for key, ident, content in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                entries.append(table.put(key & 0xFFFFFFFFFFFFFFFF, content, ident))
-                idents.append(ident)
+            entries = [table.put(key & 0xFFFFFFFFFFFFFFFF, content, ident) for key, ident, content in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
+            pairs.write_batch(pa.RecordBatch.from_arrays([batch.columns[1], pa.array(entries, pa.int64())], ["ident", "entry"]))
             if table.held > limit and level < LEVELS:
                 over = True
                 break
         if sink is not None:
             sink.close()
+            pairs.close()
         if not over:
-            if idents:
-                yield np.array(idents, dtype=np.int64), np.array(entries), table
+            for batch in _read(found):
+                yield *(c.to_numpy() for c in batch.columns), table
             return
-        del table, idents, entries
+        del table
+        os.remove(found)
         sinks: dict[int, pa.ipc.RecordBatchStreamWriter] = {}
         for batch in _then(_read(log), source):
             keys = batch.columns[0].to_numpy().view(np.uint64)
@@ -136,7 +140,7 @@ def _grouped(records: DataFrame, limit: int, contents: bool) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for idents, entries, table in grace(batches, limit):
-            least = np.array(table.least, dtype=np.int64)[entries]
+            least = np.fromiter(map(table.least.__getitem__, entries.tolist()), dtype=np.int64, count=len(entries))
             for a in range(0, len(idents), ROWS):
                 part, own, at = idents[a : a + ROWS], least[a : a + ROWS], entries[a : a + ROWS].tolist()
                 made = [pa.array(part), pa.array(own)]
@@ -151,32 +155,37 @@ def _grouped(records: DataFrame, limit: int, contents: bool) -> DataFrame:
 
 
 def exact_dedup(df: DataFrame, ident: str = "doc_id", text: str = "text", limit: int = TABLE_BYTES) -> DataFrame:
-    """Adds keep_id, group_size, kept and text_sha256 to every row of ``df``; equal-named columns are replaced.
+    """Adds keep_id, group_size, kept and text_sha256 to every row of ``df``; equal-named columns are replaced, all others pass
+    through whatever their names.
 
     Texts are equal when they are identical after each run of ASCII white space became one space; null counts as empty, so
     null, empty and no other texts form one group (a text of spaces alone is one space). The row with the smallest id stays,
-    null ids last; of repeated rows with one id the first read stays, and exactly one row of each group is kept. An empty
-    table gives an empty result.
+    null ids last; of repeated rows with one id the first read stays, and exactly one row of each group is kept. Whole texts
+    are compared, however long, in UTF-8, where bytes that are none count as U+FFFD. An empty table gives an empty result.
     """
+    if text in ("keep_id", "group_size", "kept", "text_sha256"):
+        raise ValueError("the text cannot have the name of a result")
     small_batches(df.sparkSession)
     added = ["keep_id", "group_size", "kept", "text_sha256"]
-    rest = [c for c in df.columns if c not in added]
-    plain = F.regexp_replace(F.coalesce(F.col(text), F.lit("")), WHITE, " ")
+    there, back = aside(df, added)
+    plain = F.regexp_replace(F.coalesce(F.col("plain"), F.lit("")), WHITE, " ")
     # The rows get their ids once, in a table: later stages agree on them even if a task runs again.
-    rows = written(
-        df.select(*quoted(rest), F.monotonically_increasing_id().alias("_uid"), F.sha2(plain, 256).alias("text_sha256"), F.xxhash64(plain).alias("_hash")),
-        "exact-rows",
-    )
-    record = rows.select(F.col("_hash").alias("hash"), F.col("_uid").alias("ident"), F.encode(plain, "UTF-8").alias("content"))
+    source = df.select(*there, *(c.alias(n) for c, n in zip(quoted([ident, text]), ("id", "plain"), strict=True))).withColumn("plain", plain)
+    names = [f"c{k}" for k in range(len(there))]
+    rows = written(source.select(*names, "id", F.monotonically_increasing_id().alias("uid"), F.sha2("plain", 256).alias("text_sha256"), F.xxhash64("plain").alias("hash")), "exact-rows")
+    content = F.col(names[[c for c in df.columns if c not in added].index(text)])
+    record = rows.withColumn("plain", content).select("hash", F.col("uid").alias("ident"), F.encode(plain, "UTF-8").alias("content"))
     local = written(_grouped(record, limit, True), "exact-local")
     record = local.where("ident = least").select("hash", "ident", "content")
-    classes = _grouped(record.repartition(F.col("hash")), limit, False).select(F.col("ident").alias("_local"), F.col("least").alias("_class"))
+    classes = _grouped(record.repartition(F.col("hash")), limit, False).select(F.col("ident").alias("local"), F.col("least").alias("class"))
 
-    pairs = local.select(F.col("ident").alias("_uid"), F.col("least").alias("_local"))
-    order = F.struct(F.col(ident).isNull().alias("none"), F.col(ident).alias("id"), F.col("_uid").alias("uid"))
-    within = rows.select(ident, "_uid").join(pairs, "_uid").groupBy("_local").agg(F.min(order).alias("_first"), F.count("*").alias("_n"))
-    of_class = Window.partitionBy("_class")
-    found = within.join(classes, "_local").select("_local", F.min("_first").over(of_class).alias("_first"), F.sum("_n").over(of_class).alias("group_size"))
+    pairs = local.select(F.col("ident").alias("uid"), F.col("least").alias("local"))
+    order = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("uid"))
+    within = rows.select("id", "uid").join(pairs, "uid").groupBy("local").agg(F.min(order).alias("first"), F.count("*").alias("n"))
+    within = written(within.join(classes, "local"), "exact-within")
+    found = within.groupBy("class").agg(F.min("first").alias("first"), F.sum("n").alias("group_size"), F.count("*").alias("n"))
     # The small tables meet first, and decide what is kept; texts are joined, and shuffled, once.
-    found = pairs.join(found, "_local").select("_uid", F.col("_first.id").alias("keep_id"), "group_size", (F.col("_uid") == F.col("_first.uid")).alias("kept"))
-    return rows.join(found, "_uid").select(*quoted(rest), *added)
+    found = spread_join(within.select("class", "local", F.col("n").alias("rows")), written(found, "exact-classes"), ["class"])
+    found = spread_join(pairs, written(found.select("local", F.col("rows").alias("n"), "first", "group_size"), "exact-found"), ["local"])
+    found = found.select("uid", F.col("first.id").alias("keep_id"), "group_size", (F.col("uid") == F.col("first.uid")).alias("kept"))
+    return rows.join(found, "uid").select(*back, *added)

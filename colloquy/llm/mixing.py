@@ -9,14 +9,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from colloquy.llm.shared import WORD, quoted, written
+from colloquy.llm.shared import WORD, aside, quoted, written
 
 #: Weights of the sources in code-point order, repeating; a target stops at this many times its source's size.
 WEIGHTS, MOST_EPOCHS = (5, 2, 1), 3
 
 
-def mix_key(ident: Column, seed: int) -> Column:
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(ident.cast("string"), F.lit("null"))))
+#: Rows for each range of the key, on average and beyond 64 ranges.
+RANGE_ROWS = 50_000
+
+
+def mix_key(ident: Column, size: Column, seed: int) -> Column:
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(ident.cast("string"), F.lit("null")), F.lit(":"), size.cast("string")))
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_EPOCHS) -> DataFrame:
@@ -47,27 +51,42 @@ def mix(df: DataFrame, ident: str = "doc_id", text: str = "text", source: str =
     size counts words, runs other than ASCII white space (null: 0); taken counts the words that the mix takes from the row,
     repeats included: the whole row in each full epoch, and in the last one the part that lies before the source's budget,
     so that a source's taken words add up to its target rounded to a whole number. Only the row at the cut is taken in part.
-    Null sources are one source, after all others. Ties of the key are broken by id and size. Sources without words get 0.
+    Null sources are one source, after all others. Sources without words get 0. Rows are in the order of a hash of id and size,
+    ties by id and size; rows that repeat both may swap places, so reruns take the same words. Repeated ids, null ids among
+    them, spread by size, and equal rows are tallied by input partition before they are shuffled, so none is a hot key.
+    Texts of any length and with any bytes are read whole. Columns in ``carry`` may have any name that is no result's. An empty
+    table gives an empty result.
     """
-    ranges = 64 * max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4)
-    rows = df.select(
-        *quoted([ident, *carry]),
-        F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORD)).cast("long").alias("size"),
-        F.when(F.col(source).isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), F.col(source))).alias("name"),
-        mix_key(F.col(ident), seed).alias("key"),
-    )
-    rows = written(rows, "mix-rows").withColumn("range", F.floor(F.conv(F.substring("key", 1, 6), 16, 10).cast("long") * ranges / float(1 << 24)))
-    sums = rows.groupBy("name", "range").agg(F.sum("size").alias("n"))
+    results = ["size", "source_size", "target", "taken"]
+    if len({ident, *carry, *results}) < len(carry) + len(results) + 1:
+        raise ValueError("id and carried columns must differ from each other and from the results")
+    there, back = aside(df.select(*quoted([ident, *carry])))
+    rows = df.select(*quoted([ident, *carry, text, source]))
+    names = [f"c{k}" for k in range(len(there))] + ["text", "source"]
+    rows = rows.toDF(*names).select(
+        *names[:-2],
+        F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long").alias("size"),
+        F.when(F.col("source").isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), F.col("source").cast("string"))).alias("name"),
+        F.spark_partition_id().alias("read"),
+    ).withColumn("key", mix_key(F.col("c0"), F.col("size"), seed))
+    rows = written(rows, "mix-rows").withColumn("id", F.coalesce(F.concat(F.lit("0"), F.col("c0").cast("string")), F.lit("1")))
+    ranges = 64 + rows.count() // RANGE_ROWS
+    same = ["name", "key", "id", "size", "read"]
+    in_range = F.floor(F.conv(F.substring("key", 1, 6), 16, 10).cast("long") * ranges / float(1 << 24))
+    tallies = written(rows.groupBy(*same).agg(F.count("*").alias("n")).withColumn("range", in_range), "mix-tallies")
+    words = F.col("n") * F.col("size")
+    sums = tallies.groupBy("name", "range").agg(F.sum(words).alias("words"))
     before = Window.partitionBy("name").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.select("name", "range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    plan = targets(sums.groupBy("name").agg(F.sum("n").alias("source_size"))).withColumn("budget", F.floor(F.col("target") + 0.5))
-    inside = Window.partitionBy("name", "range").orderBy("key", ident, "size").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select("name", "range", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("start"))
+    plan = targets(sums.groupBy("name").agg(F.sum("words").alias("source_size"))).withColumn("budget", F.floor(F.col("target") + 0.5))
+    inside = Window.partitionBy("name", "range").orderBy(*same[1:]).rowsBetween(Window.unboundedPreceding, -1)
+    ahead = tallies.withColumn("ahead", F.coalesce(F.sum(words).over(inside), F.lit(0))).join(starts.join(plan, "name"), ["name", "range"]).drop("range", "n")
     whole = F.floor(F.col("budget") / F.greatest(F.col("source_size"), F.lit(1)))
-    part = F.col("budget") - whole * F.col("source_size") - F.col("start") - F.col("ahead")
+    nth = F.row_number().over(Window.partitionBy(*same).orderBy(F.lit(0))) - 1
+    part = F.col("budget") - whole * F.col("source_size") - F.col("start") - F.col("ahead") - F.col("nth") * F.col("size")
     return (
-        rows.withColumn("ahead", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-        .join(starts.join(plan, "name"), ["name", "range"])
-        .select(*quoted([ident, *carry]), "size", "source_size", "target",
+        rows.withColumn("nth", nth).join(ahead, same)
+        .select(*back, "size", "source_size", "target",
                 (whole * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), part))).cast("long").alias("taken"))
     )
 
@@ -87,7 +106,7 @@ def copies(mixed: DataFrame, text: str = "text") -> DataFrame:
 SQL = r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-         CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS name, md5('7:' || coalesce(doc_id::VARCHAR, 'null')) AS key
+         CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS name, md5('7:' || coalesce(doc_id::VARCHAR, 'null') || ':' || len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))) AS key
   FROM documents),
 s AS (SELECT name, sum(size)::BIGINT AS source_size,
              CASE (row_number() OVER (ORDER BY name) - 1) % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS w

@@ -12,10 +12,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from colloquy.llm.shared import quoted, written
+from colloquy.llm.shared import aside, quoted, written
 
-#: Children of a tree node, and rows of a logical partition (at least as many partitions as shuffle partitions are made).
-FAN, PARTITION_ROWS = 16, 100_000
+#: Children of a tree node, and rows of a logical partition: their number follows from the number of rows alone.
+FAN, PARTITION_ROWS = 16, 20_000
 
 
 def uniform(*parts: Column) -> Column:
@@ -75,31 +75,36 @@ def shard_rows(df: DataFrame, shards: int, ident: str = "doc_id", text: str = "t
     Law ``rows``: shard sizes differ by one at most, the first shards being the larger; a shard's slots run from 0 without
     gaps, in uniformly random order. size: UTF-8 bytes of the text plus 8 (null: 8, checksum of no bytes). grown_shard is
     null: this law has no stable assignment for another shard count. Copies and equal texts are rows like any other, as
-    exact sizes and a uniform shuffle leave no room to keep groups together. Ties of the random keys end at size and checksum;
-    rows that repeat those too may swap places without a change of the result. Empty tables give empty results.
+    exact sizes and a uniform shuffle leave no room to keep groups together. The result follows from the rows and ``seed``,
+    not from the session's settings; only where rows repeat id, size and checksum do places depend on how the input was
+    split, as such rows are told apart by where they were read. So they spread like others, null ids and null texts too.
+    Texts of any length and with any bytes are read whole. Columns in ``carry`` may have any name that is no result's. Empty
+    tables give empty results.
     """
-    spark = df.sparkSession
-    total = df.count()
-    least = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // PARTITION_ROWS))
+    results = ["size", "text_crc32", "law", "shard", "slot", "grown_shard"]
+    if len({ident, *carry, *results}) < len(carry) + len(results) + 1:
+        raise ValueError("id and carried columns must differ from each other and from the results")
+    there, back = aside(df.select(*quoted([ident, *carry])))
+    content = F.coalesce(F.col("text").cast("binary"), F.expr("X''"))
+    base = df.select(*quoted([ident, *carry, text])).toDF(*(f"c{k}" for k in range(len(there))), "text").select(
+        *(f"c{k}" for k in range(len(there))), (F.octet_length(content) + 8).cast("long").alias("size"), F.crc32(content).alias("text_crc32"), F.spark_partition_id().alias("read"))
+    base = written(base, "shard-rows")
+    total = base.count()
     levels = 1
-    while FAN**levels < least:
+    while FAN**levels * PARTITION_ROWS < total:
         levels += 1
     parts = FAN**levels
-    base = df.select(
-        *quoted([ident, *carry]),
-        (F.coalesce(F.octet_length(text), F.lit(0)) + 8).cast("long").alias("size"),
-        F.crc32(F.coalesce(F.col(text), F.lit(""))).alias("text_crc32"),
-    )
-    own = [F.col(f"`{ident}`"), F.col("size"), F.col("text_crc32")]
-    base = base.select("*", F.pmod(F.xxhash64(F.lit(seed), *own), F.lit(parts)).cast("long").alias("part"))
-    base = written(base, "shard-rows")
+    own = [F.col("c0"), F.col("size"), F.col("text_crc32")]
+    # Rows that repeat all of these within one input partition get numbers, so that they do not all fall into one place.
+    nth = F.row_number().over(Window.partitionBy(*own, "read").orderBy(F.lit(0)))
+    base = base.withColumn("nth", nth).withColumn("again", F.when(F.col("nth") > 1, F.struct("nth", "read")))
+    own.append(F.col("again"))
+    base = base.withColumn("part", F.pmod(F.xxhash64(F.lit(seed), *own), F.lit(parts)).cast("long")).drop("nth", "read")
+    base = written(base, "shard-parts")
     counts = matrix(base.groupBy("part").agg(F.count("*").alias("n")), shards, levels, seed)
     first = Window.partitionBy("part").orderBy(F.xxhash64(F.lit(seed + 1), *own), *own)
-    dealt = (
-        base.withColumn("at", F.row_number().over(first) - 1).join(counts, "part")
-        .withColumn("shard", F.expr("aggregate(upto, 0, (s, x) -> s + if(x <= at, 1, 0))"))
-        .select(*quoted([ident, *carry]), "size", "text_crc32", "shard")
-    )
+    dealt = base.withColumn("at", F.row_number().over(first) - 1).join(counts, "part").withColumn("shard", F.expr("aggregate(upto, 0, (s, x) -> s + if(x <= at, 1, 0))"))
+    dealt = dealt.drop("at", "part", "upto")
     # The second permutation: random keys, cut into equal ranges so that no shard is one task.
     ranges = max(1, parts // 4)
     dealt = written(dealt.withColumn("u", uniform(F.lit(seed + 2), *own)), "shard-dealt").withColumn("range", F.floor(F.col("u") * ranges))
@@ -108,6 +113,6 @@ def shard_rows(df: DataFrame, shards: int, ident: str = "doc_id", text: str = "t
     second = Window.partitionBy("shard", "range").orderBy("u", *own)
     return (
         dealt.withColumn("in_range", F.row_number().over(second) - 1).join(starts, ["shard", "range"])
-        .select(*quoted([ident, *carry]), "size", "text_crc32", F.lit("rows").alias("law"), F.col("shard").cast("int").alias("shard"),
+        .select(*back, "size", "text_crc32", F.lit("rows").alias("law"), F.col("shard").cast("int").alias("shard"),
                 (F.col("start") + F.col("in_range")).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
     )

@@ -73,13 +73,15 @@ def clear(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def spread_join(left: DataFrame, right: DataFrame, on: list[str], n: str = "n") -> DataFrame:
+def spread_join(left: DataFrame, right: DataFrame, on: list[str], n: str = "n", total: int | None = None) -> DataFrame:
     """Inner join of ``left`` with ``right``, which has one row per key and the number ``n`` of left rows that the key has.
 
     Rows of hot keys stay where they are and meet their key's row by broadcast: fewer than HOT keys can be hot, which bounds
-    it. All other keys, each with at most one in HOT of the rows, are shuffled. Both sides are written tables. Keys are not null.
+    it. All other keys, each with at most one in HOT of the rows, are shuffled. Both sides are evaluated twice, so they should be
+    written tables or plain scans. Keys are not null. ``total``, where known, is a number that the sum of ``n`` does not exceed.
     """
-    total = right.agg(F.coalesce(F.sum(n), F.lit(0))).first()[0]
+    if total is None:
+        total = right.agg(F.coalesce(F.sum(n), F.lit(0))).first()[0]
     hot = right.where(F.col(n) * HOT > F.lit(total)).drop(n)
     keys = hot.select(*(F.col(c).alias(f"hot_{c}") for c in on))
     match = [F.col(c) == F.col(f"hot_{c}") for c in on]

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colloquy.llm.components import components
-from colloquy.llm.shared import quoted, small_batches, written
+from colloquy.llm.shared import quoted, raw, small_batches, spread_join, written
 
 BITS, SHINGLE, SEED, WITHIN = 64, 4, 42, 4
 #: For the lossless sieve: blocks of 8 bits of which four differing bits leave at least four untouched.
@@ -26,12 +26,12 @@ _lower_a = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _bit_of = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 
 
-def fingerprint(text: str, words: int = SHINGLE, seed: int = SEED) -> int:
+def fingerprint(text: bytes, words: int = SHINGLE, seed: int = SEED) -> int:
     """Bit b is set if it is set in over half of the XXH64 of the shingles; words split at ASCII white space, A-Z in lower case.
 
     Fewer words than a shingle make one shingle; no words give 0.
     """
-    own = text.encode().translate(_lower_a).split()
+    own = text.translate(_lower_a).split()
     if not own:
         return 0
     joined = b" ".join(own)
@@ -46,16 +46,16 @@ def fingerprint(text: str, words: int = SHINGLE, seed: int = SEED) -> int:
 
 
 def fingerprints(df: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
-    """(ident, fp): fp is the fingerprint's 64 bits as a signed long; null texts count as empty."""
+    """(id, fp): fp is the fingerprint's 64 bits as a signed long; null texts count as empty. Texts are taken as bytes."""
     small_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = np.array([fingerprint(t) for t in batch.columns[1].to_pylist()], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.columns[0], pa.array(made)], [ident, "fp"])
+            yield pa.RecordBatch.from_arrays([batch.columns[0], pa.array(made)], ["id", "fp"])
 
     kind = df.select(*quoted([ident])).schema[0].dataType.simpleString()
-    return df.select(*quoted([ident]), F.coalesce(F.col(text), F.lit(""))).mapInArrow(run, f"`{ident}` {kind}, fp long")
+    return df.select(*quoted([ident]), raw(df, text)).mapInArrow(run, f"id {kind}, fp long")
 
 
 def ball(fp: str, radius: int, bits: int = BITS) -> str:
@@ -98,16 +98,22 @@ def near_dedup(df: DataFrame, ident: str = "doc_id", text: str = "text") -> Data
     """(ident, fp, component_id) for every row: component_id is the smallest id reachable over links, itself included.
 
     Rows of one fingerprint are linked, texts without words (null, empty) among them, with fingerprint 0. Rows with a null id
-    belong to their component and get its smallest id, null if it has none. Repeated rows are rows. Empty tables give none.
+    belong to their component and get its smallest id, null if it has none. Repeated rows are rows. Whole texts are read,
+    however long, as bytes, so invalid UTF-8 is no error. Other columns are ignored. Empty tables give none.
     """
+    if ident in ("fp", "component_id"):
+        raise ValueError("the id cannot have the name of a result")
     rows = written(fingerprints(df, ident, text), "simhash-rows")
-    distinct = written(rows.groupBy("fp").agg(F.min(ident).alias("least")), "simhash-distinct")
+    distinct = written(rows.groupBy("fp").agg(F.min("id").alias("least"), F.count("*").alias("n")), "simhash-distinct")
     kept = written(sieve(distinct.select("fp")), "simhash-sieved")
     roots = components(written(links(kept), "simhash-links"))
-    joined = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = joined.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_fp = joined.join(least, "root").select("fp", "component_id")
-    return rows.join(of_fp, "fp").select(*quoted([ident]), "fp", "component_id")
+    # Fingerprints with links, far fewer than all, get their component's smallest id; the others are components by themselves.
+    joined = written(distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left"), "simhash-joined")
+    linked = joined.where("root IS NOT NULL")
+    least = written(linked.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("k")), "simhash-least")
+    of_fp = spread_join(linked.select("fp", "n", "root"), least, ["root"], "k").select("fp", "n", "component_id")
+    of_fp = written(of_fp.union(joined.where("root IS NULL").select("fp", "n", "least")), "simhash-components")
+    return spread_join(rows, of_fp, ["fp"]).select(F.col("id").alias(ident), "fp", "component_id")
 
 
 def hex_fingerprint(fp: str = "fp"):

@@ -2,8 +2,8 @@
 
 Per host, path segments that vary (numbers, long hexadecimal or mixed names; then, by counts, rare children of a node with
 many children) become wildcards, and sibling branches whose labelled shares do not differ by more than chance are merged.
-A template is rejected if its smoothed share of bad labels reaches a threshold. Counts are DataFrame aggregations over
-(host, template), so a host with most of the urls is pre-aggregated like any other; nothing gathers a host in one task.
+A template is rejected if its share of bad labels, smoothed by those of its ancestors, reaches a threshold. Counts are DataFrame
+aggregations over (host, template), and hot keys are joined by broadcast, so nothing gathers a host or a template in one task.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from colloquy.llm.shared import quoted, written
+from colloquy.llm.shared import aside, quoted, spread_join, written
 
 #: The rules (host, path, verdict).
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
@@ -21,11 +21,10 @@ RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com"
 
 @dataclass(frozen=True)
 class Settings:
-    """depth: segments that a template tells apart, the rest is one tail; many and rare: a node with over ``many`` children
-    makes those below a ``rare`` share of its urls a wildcard; z: standard errors within which siblings merge; prior_bad of
-    prior_n: the smoothing; reject: the least smoothed share of bad labels of a rejected template."""
+    """many and rare: a node with over ``many`` children makes those below a ``rare`` share of its urls a wildcard; z: standard
+    errors within which siblings merge; prior_bad of prior_n: the smoothing at a host, and prior_n its weight further down;
+    reject: the least smoothed share of bad labels of a rejected template."""
 
-    depth: int = 4
     many: int = 12
     rare: float = 0.05
     z: float = 1.96
@@ -53,79 +52,95 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return rule, verdict
 
 
-def segments(path: Column, depth: int) -> Column:
-    """At most ``depth`` segments and a tail mark; what is variable by its letters is a wildcard already. Keeps endings like .html."""
-    parts = F.split(F.regexp_replace(path, "^/", ""), "/")
+def segments(path: Column) -> Column:
+    """The segments of a path; what is variable by its letters is a wildcard already. Keeps endings like .html."""
 
     def general(x: Column) -> Column:
         ending = F.regexp_extract(x, r"(\.[A-Za-z]{1,5})$", 1)
         stem = F.substring(x, F.lit(1), F.char_length(x) - F.char_length(ending))
-        varies = stem.rlike(r"^[0-9]+([._,-][0-9]+)*$|^(?=[^A-Za-z]*[A-Za-z])(?=.*[0-9])[0-9A-Za-z_-]{6,}$|^[0-9a-fA-F-]{16,}$") | (F.char_length(stem) > 48)
+        varies = stem.rlike(r"^[0-9]+([._,-][0-9]+)*$|^(?=[^A-Za-z]*[A-Za-z])(?=.*[0-9])[0-9A-Za-z_-]{6,}$|^[0-9a-fA-F-]{16,}$")
         return F.when(varies, F.concat(F.lit("*"), ending)).otherwise(x)
 
-    head = F.transform(F.slice(parts, 1, depth), general)
-    return F.concat(head, F.when(F.size(parts) > depth, F.array(F.lit("**"))).otherwise(F.array().cast("array<string>")))
+    return F.transform(F.split(F.regexp_replace(path, "^/", ""), "/"), general)
 
 
 def _with(shape: Column, k: int, value: Column) -> Column:
     return F.transform(shape, lambda x, i: F.when(i == k, value).otherwise(x))
 
 
+def _level(paths: DataFrame, k: int, total: int, s: Settings) -> DataFrame:
+    """Paths with over ``k`` segments, (host, raw, n, bad, good, shape), with that segment of their shape settled."""
+    # Children of a node: rare ones of many become a wildcard.
+    paths = paths.withColumns({"parent": F.slice("shape", 1, k), "child": F.get("shape", F.lit(k))})
+    kids = written(paths.groupBy("host", "parent", "child").agg(F.sum("n").alias("urls"), F.count("*").alias("n")), "url-kids")
+    node = written(kids.groupBy("host", "parent").agg(F.sum("urls").alias("all"), F.count("*").alias("kids")).withColumn("n", F.col("kids")), "url-nodes")
+    wild = (F.col("kids") > s.many) & (F.col("urls") < s.rare * F.col("all"))
+    wild = spread_join(kids.withColumnRenamed("n", "paths"), node, ["host", "parent"], total=total).select("host", "parent", "child", F.col("paths").alias("n_paths"), wild.alias("wild"))
+    paths = spread_join(paths, written(wild, "url-wild"), ["host", "parent", "child"], "n_paths", total)
+    shape = F.when(F.col("wild"), _with(F.col("shape"), k, F.lit("*"))).otherwise(F.col("shape"))
+    paths = written(paths.withColumn("shape", shape).drop("parent", "child", "wild"), "url-paths")
+    # Branches that differ in this segment alone: those labelled alike, within chance, are one.
+    family = F.array_join(_with(F.col("shape"), k, F.lit("\x00")), "/")
+    paths = paths.withColumns({"family": family, "child": F.get("shape", F.lit(k))})
+    branch = written(paths.groupBy("host", "family", "child").agg(F.sum("bad").alias("b"), F.sum("good").alias("g"), F.count("*").alias("n_paths")), "url-branches")
+    labelled = F.col("b") + F.col("g")
+    pool = branch.groupBy("host", "family").agg(F.sum("b").alias("bs"), F.sum(labelled).alias("m"), F.count_if(labelled > 0).alias("kids"), F.count("*").alias("n"))
+    own = (F.col("b") + s.prior_bad) / (labelled + s.prior_n)
+    all_of = (F.col("bs") + s.prior_bad) / (F.col("m") + s.prior_n)
+    alike = (labelled > 0) & (F.col("kids") > 1) & (F.abs(own - all_of) <= s.z * F.sqrt(all_of * (1 - all_of) / F.greatest(labelled, F.lit(1))))
+    alike = spread_join(branch, written(pool, "url-pools"), ["host", "family"], total=total).select("host", "family", "child", "n_paths", alike.alias("alike"))
+    paths = spread_join(paths, written(alike, "url-alike"), ["host", "family", "child"], "n_paths", total)
+    shape = F.when(F.col("alike"), _with(F.col("shape"), k, F.lit("*"))).otherwise(F.col("shape"))
+    return paths.withColumn("shape", shape).drop("family", "child", "alike")
+
+
 def _merged(paths: DataFrame, s: Settings) -> DataFrame:
-    """(host, raw, shape): the template of each (host, raw segments), a level at a time."""
+    """(host, raw, n, bad, good, shape): the template of each (host, raw segments), a level of the tree at a time, as deep as it is."""
     paths = paths.withColumn("shape", F.col("raw"))
-    for k in range(s.depth):
-        # Children of a node: rare ones of many become a wildcard.
-        parent = [F.col("host"), F.slice("shape", 1, k).alias("parent")]
-        child = F.get("shape", F.lit(k)).alias("child")
-        kids = paths.where(F.size("shape") > k).groupBy(*parent, child).agg(F.sum("n").alias("n"))
-        node = kids.groupBy("host", "parent").agg(F.sum("n").alias("all"), F.count("*").alias("kids"))
-        wild = kids.join(node, ["host", "parent"]).where((F.col("kids") > s.many) & (F.col("n") < s.rare * F.col("all")) & (F.col("child") != "**"))
-        wild = wild.select("host", "parent", "child", F.lit(True).alias("wild"))
-        paths = (
-            paths.withColumns({"parent": F.slice("shape", 1, k), "child": F.get("shape", F.lit(k))}).join(wild, ["host", "parent", "child"], "left")
-            .withColumn("shape", F.when(F.col("wild"), _with(F.col("shape"), k, F.lit("*"))).otherwise(F.col("shape")))
-            .drop("parent", "child", "wild")
-        )
-        # Branches that differ in this segment alone: those labelled alike, within chance, are one.
-        family = F.array_join(_with(F.col("shape"), k, F.lit("\x00")), "/")
-        branch = paths.where(F.size("shape") > k).select("host", family.alias("family"), child, "bad", "good").groupBy("host", "family", "child").agg(
-            F.sum("bad").alias("bad"), F.sum("good").alias("good"))
-        pool = branch.where(F.col("bad") + F.col("good") > 0).groupBy("host", "family").agg(F.sum("bad").alias("b"), F.sum(F.col("bad") + F.col("good")).alias("m"), F.count("*").alias("kids"))
-        own = (F.col("bad") + s.prior_bad) / (F.col("bad") + F.col("good") + s.prior_n)
-        all_of = (F.col("b") + s.prior_bad) / (F.col("m") + s.prior_n)
-        error = F.sqrt(all_of * (1 - all_of) / (F.col("bad") + F.col("good")))
-        alike = branch.where(F.col("bad") + F.col("good") > 0).join(pool, ["host", "family"]).where((F.col("kids") > 1) & (F.abs(own - all_of) <= s.z * error))
-        alike = alike.select("host", "family", "child", F.lit(True).alias("alike"))
-        paths = (
-            paths.withColumns({"family": family, "child": F.get("shape", F.lit(k))}).join(alike, ["host", "family", "child"], "left")
-            .withColumn("shape", F.when(F.col("alike"), _with(F.col("shape"), k, F.lit("*"))).otherwise(F.col("shape")))
-            .drop("family", "child", "alike")
-        )
-        paths = written(paths, f"url-level{k}")
+    total, depth = paths.agg(F.count("*"), F.coalesce(F.max(F.size("raw")), F.lit(0))).first()
+    for k in range(depth):
+        deep = _level(paths.where(F.size("shape") > k), k, total, s)
+        paths = written(deep.unionByName(paths.where(F.size("shape") <= k)), f"url-level{k}")
     return paths
 
 
-def filter_urls(df: DataFrame, url: str = "url", rules=RULES, label: Column | None = None, s: Settings = Settings()) -> DataFrame:
-    """Adds host, path, rule, verdict, template and bad_share to every row; equal-named columns are replaced.
+def _shares(tree: DataFrame, s: Settings) -> DataFrame:
+    """(host, shape, bad_share, n): a template's share of bad labels, smoothed by that of its parent, and so on up to the host.
 
-    Labels of the tree are ``label`` (1 bad, 0 good, else null), by default the verdicts of the rules themselves: a template
-    that rules block all over is rejected as a whole. A url that a rule fits gets the rule's verdict; others are blocked if
-    their template's smoothed share of bad labels reaches ``s.reject``, so a template without labels is allowed. Null urls and
-    those without ``://`` have an empty host and path. An empty table gives an empty result.
+    A node without labels of its own therefore has the share of its nearest ancestor that has some; without any, the prior.
+    """
+    templates = written(tree.groupBy("host", "shape").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"), F.count("*").alias("n")), "url-templates")
+    up = F.explode(F.transform(F.sequence(F.lit(0), F.size("shape")), lambda k: F.struct(k.alias("k"), F.slice("shape", F.lit(1), k).alias("node"))))
+    lines = written(templates.select("host", "shape", "bad", "good", up.alias("x")).select("host", "shape", "bad", "good", "x.*"), "url-lines")
+    nodes = written(lines.groupBy("host", "node").agg(F.sum("bad").alias("b"), F.sum("good").alias("g"), F.count("*").alias("n")), "url-tree")
+    found = spread_join(lines.select("host", "shape", "k", "node"), nodes, ["host", "node"])
+    found = found.groupBy("host", "shape").agg(F.array_sort(F.collect_list(F.struct("k", "b", "g"))).alias("line"))
+    fold = F.aggregate("line", F.lit(s.prior_bad / s.prior_n), lambda share, x: (x["b"] + s.prior_n * share) / (x["b"] + x["g"] + s.prior_n))
+    return templates.select("host", "shape", "n").join(found.select("host", "shape", fold.alias("bad_share")), ["host", "shape"])
+
+
+def filter_urls(df: DataFrame, url: str = "url", rules=RULES, label: Column | None = None, s: Settings = Settings()) -> DataFrame:
+    """Adds host, path, rule, verdict, template and bad_share to every row; equal-named columns are replaced, all others pass
+    through whatever their names.
+
+    Labels of the tree are ``label`` (1 bad, 0 good, else null), by default the verdicts of the rules themselves: where rules
+    block all that they know of a host or a branch, what they do not know of it is blocked too. A url that a rule fits gets the
+    rule's verdict; others are blocked if their template's smoothed share of bad labels reaches ``s.reject``. A template
+    without labels has the share of its nearest labelled ancestor in the tree of its host; without any it is allowed.
+    Null urls and those without ``://`` have an empty host and path. Equal urls, and equal rows, get equal results; they count
+    as often as they occur. Urls of any length and depth are taken whole. An empty table gives an empty result.
     """
     added = ["host", "path", "rule", "verdict", "template", "bad_share"]
-    rest = [c for c in df.columns if c not in added]
-    rows = df.withColumns({"_host": host_of(F.col(url)), "_path": path_of(F.col(url))})
-    rule, says = rule_of(F.col("_host"), F.col("_path"), rules)
-    rows = rows.withColumns({"_rule": rule, "_says": says, "_raw": segments(F.col("_path"), s.depth)})
-    known = label if label is not None else F.when(F.col("_says") == "block", 1).when(F.col("_says") == "allow", 0)
-    seen = rows.select(F.col("_host").alias("host"), F.col("_raw").alias("raw"), known.alias("y")).groupBy("host", "raw").agg(
-        F.count("*").alias("n"), F.count_if(F.col("y") == 1).alias("bad"), F.count_if(F.col("y") == 0).alias("good"))
+    there, back = aside(df, added)
+    known = label if label is not None else F.lit(None).cast("int")
+    rows = df.select(*there, *(c.alias("url") for c in quoted([url])), known.alias("known"))
+    rows = rows.withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
+    rule, says = rule_of(F.col("host"), F.col("path"), rules)
+    rows = rows.withColumns({"rule": rule, "says": says, "raw": segments(F.col("path"))}).drop("url")
+    y = F.col("known") if label is not None else F.when(F.col("says") == "block", 1).when(F.col("says") == "allow", 0)
+    seen = rows.groupBy("host", "raw").agg(F.count("*").alias("n"), F.count_if(y == 1).alias("bad"), F.count_if(y == 0).alias("good"))
     tree = _merged(written(seen, "url-paths"), s)
-    purity = tree.groupBy("host", "shape").agg(((F.sum("bad") + s.prior_bad) / (F.sum("bad") + F.sum("good") + s.prior_n)).alias("bad_share"))
-    judged = tree.join(purity, ["host", "shape"]).select(
-        F.col("host").alias("_host"), F.col("raw").alias("_raw"), F.concat(F.lit("/"), F.array_join("shape", "/")).alias("template"), "bad_share")
-    return rows.join(judged, ["_host", "_raw"]).select(
-        *quoted(rest), F.col("_host").alias("host"), F.col("_path").alias("path"), F.col("_rule").alias("rule"),
-        F.coalesce(F.col("_says"), F.when(F.col("bad_share") >= s.reject, "block").otherwise("allow")).alias("verdict"), "template", "bad_share")
+    judged = spread_join(tree.select("host", "raw", "shape", F.col("n").alias("urls")), written(_shares(tree, s), "url-shares"), ["host", "shape"])
+    judged = judged.select("host", "raw", F.concat(F.lit("/"), F.array_join("shape", "/")).alias("template"), "bad_share", F.col("urls").alias("n"))
+    verdict = F.coalesce(F.col("says"), F.when(F.col("bad_share") >= s.reject, "block").otherwise("allow"))
+    return spread_join(rows, written(judged, "url-judged"), ["host", "raw"]).select(*back, "host", "path", "rule", verdict.alias("verdict"), "template", "bad_share")

@@ -176,6 +176,89 @@ def test_url_statistics(spark):
     assert got == {"a": ("/a/x", "block"), **{x: ("/*/x", "allow") for x in "bcdefgh"}}
 
 
+def _judged_urls(urls):
+    """The url filter by plain dictionaries: (host, path, rule, verdict, template, share) of each url."""
+    rules = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+    rows, paths = [], {}
+    for url in urls:
+        _, mark, rest = (url or "").partition("://")
+        host = re.split(r"[/?#]", rest, maxsplit=1)[0].translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+        path = re.split(r"[?#]", rest[len(host) :], maxsplit=1)[0] if mark else ""
+        best = max((r for r in rules if (host == r[0] or host.endswith("." + r[0])) and path.startswith(r[1])), key=lambda r: len(r[0]) + len(r[1]), default=None)
+        raw = []
+        for x in path.removeprefix("/").split("/"):
+            end = re.search(r"(\.[A-Za-z]{1,5})?\Z", x)[0]
+            stem = x[: len(x) - len(end)]
+            varies = re.fullmatch(r"[0-9]+([._,-][0-9]+)*|(?=[^A-Za-z]*[A-Za-z])(?=.*[0-9])[0-9A-Za-z_-]{6,}|[0-9a-fA-F-]{16,}", stem)
+            raw.append("*" + end if varies else x)
+        rows.append((host, path, best, (host, tuple(raw))))
+        p = paths.setdefault((host, tuple(raw)), [tuple(raw), 0, 0, 0])
+        p[1] += 1
+        p[2] += best is not None and best[2] == "block"
+        p[3] += best is not None and best[2] == "allow"
+    for k in range(max((len(p[0]) for p in paths.values()), default=0)):
+        deep = {key: p for key, p in paths.items() if len(p[0]) > k}
+        node, child = Counter(), Counter()
+        for (host, _), p in deep.items():
+            child[host, p[0][: k + 1]] += p[1]
+            node[host, p[0][:k]] += p[1]
+        kids = Counter((h, c[:k]) for h, c in child)
+        for (host, _), p in deep.items():
+            at = host, p[0][:k]
+            if kids[at] > 12 and child[host, p[0][: k + 1]] < 0.05 * node[at]:
+                p[0] = (*p[0][:k], "*", *p[0][k + 1 :])
+        branch, pool = {}, {}
+        for (host, _), p in deep.items():
+            b = branch.setdefault((host, p[0][:k], p[0][k + 1 :], p[0][k]), [0, 0])
+            b[0] += p[2]
+            b[1] += p[2] + p[3]
+        for key, (bad, m) in branch.items():
+            q = pool.setdefault(key[:3], [0, 0, 0])
+            q[0], q[1], q[2] = q[0] + bad, q[1] + m, q[2] + (m > 0)
+        for (host, _), p in deep.items():
+            key = (host, p[0][:k], p[0][k + 1 :], p[0][k])
+            (bad, m), (all_bad, all_m, n) = branch[key], pool[key[:3]]
+            share = (all_bad + 1) / (all_m + 4)
+            if m and n > 1 and abs((bad + 1) / (m + 4) - share) <= 1.96 * (share * (1 - share) / m) ** 0.5:
+                p[0] = (*p[0][:k], "*", *p[0][k + 1 :])
+    nodes = {}
+    for (host, _), p in paths.items():
+        for k in range(len(p[0]) + 1):
+            x = nodes.setdefault((host, p[0][:k]), [0, 0])
+            x[0] += p[2]
+            x[1] += p[2] + p[3]
+    out = []
+    for host, path, best, key in rows:
+        shape, share = paths[key][0], 0.25
+        for k in range(len(shape) + 1):
+            bad, m = nodes[host, shape[:k]]
+            share = (bad + 4 * share) / (m + 4)
+        verdict = best[2] if best else "block" if share >= 0.75 else "allow"
+        out.append((host, path, best and best[0] + best[1], verdict, "/" + "/".join(shape), round(share, 9)))
+    return out
+
+
+def test_url_query_equals_brute_force(spark, sf):
+    urls = dict(_duck(sf).sql("SELECT page_id, url FROM pages").fetchall())
+    want = dict(zip(urls, _judged_urls(urls.values()), strict=True))
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict, r.template, round(r.bad_share, 9)) for r in queries.op3_url_filter(spark, sf).collect()}
+    assert got == want
+
+
+def test_url_tree_decides(spark):
+    """Verdicts that no rule gives: from a host that rules block, by its labelled ancestor; and odd urls equal brute force."""
+    rng = random.Random(4)
+    urls = [f"http://{h}.example.com/{rng.choice(('de', 'de', 'en', 'x' * 60))}/{rng.choice(('a', 'b', 'item', '7'))}/{rng.randint(1, 30)}/{'q/' * rng.randint(0, 6)}{rng.choice('uvwxyz')}.html" for h in ("bad", "ugly") for _ in range(150)]
+    urls += [f"http://ok.org/{rng.choice(('fr', 'en'))}/{''.join(rng.choice('abcdef') for _ in range(3))}" for _ in range(200)]
+    urls += ["http://lone.example.com/en/1", None, "", "://", "http://", "http://bad.example.com", "http://BAD.example.com//de//", *urls[:20]]
+    got = url_filter.filter_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").repartition(3)).collect()
+    want = _judged_urls(urls)
+    assert len(got) == len(urls)
+    for r in got:
+        assert (r.host, r.path, r.rule, r.verdict, r.template, round(r.bad_share, 9)) == want[r.page_id]
+    assert sum(r.verdict == "block" and r.rule is None for r in got) > 50 and {r.verdict for r in got if r.host in ("ok.org", "lone.example.com")} == {"allow"}
+
+
 def _base(t):
     t = t or ""
     w = words(t)
