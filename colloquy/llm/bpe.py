@@ -9,15 +9,14 @@ from __future__ import annotations
 
 import base64
 import struct
-from collections.abc import Iterator
 from itertools import chain
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from colloquy.llm.shared import quoted, small_batches
+from colloquy.llm.shared import decoded, quoted, raw, with_columns
 
 #: Runs between white space: PATTERN never matches across these, so each can be split and kept on its own.
 CHUNKS = r" ?\S+|\s+(?!\S)|\s+"
@@ -151,7 +150,6 @@ class ByteDecoder:
     def forget(self) -> None:
         pass
 
-
 _own: dict[tuple[str, int], ByteBpe | ByteDecoder] = {}
 
 
@@ -165,9 +163,9 @@ def _codec(method: str, model: bytes, pattern: str):
 
 
 def _lists(column: pa.Array) -> list:
-    """Texts as they are; lists of numbers by way of numpy, which is ten times as fast."""
+    """Texts of bytes; lists of numbers by way of numpy, which is ten times as fast."""
     if not pa.types.is_list(column.type):
-        return column.to_pylist()
+        return list(map(decoded, column.to_pylist()))
     values, ends = column.flatten().to_numpy(zero_copy_only=False), column.value_lengths().to_numpy().cumsum()
     return [values[a:b].tolist() for a, b in zip([0, *ends[:-1]], ends, strict=True)]
 
@@ -176,38 +174,34 @@ class Bpe:
     """Encode and decode DataFrames; ``path`` names the rank file and ``pattern`` splits text into pre-tokens.
 
     The file is read on the driver; its model, of a fixed size below a few MB, is broadcast. Null texts count as empty;
-    empty texts give no ids and decode to no bytes. Other columns pass through; a column that has the name of a result is
-    replaced.
+    empty texts give no ids and decode to no bytes. Bytes of a text that are no UTF-8 are encoded as U+FFFD. Texts of any length
+    are encoded whole, and equal texts and repeated rows alike. Other columns pass through; a column that has the name of a
+    result is replaced. Empty tables give empty results.
     """
 
     def __init__(self, spark, path: str, pattern: str):
-        small_batches(spark)
         self.model = spark.sparkContext.broadcast((serialise(read_ranks(path)), pattern))
 
-    def _mapped(self, df: DataFrame, source: str, name: str, kind: T.DataType, arrow: pa.DataType, method: str) -> DataFrame:
+    def _with(self, df: DataFrame, source: Column, name: str, kind: T.DataType, arrow: pa.DataType, method: str) -> DataFrame:
         model = self.model
-        rest = [c for c in df.columns if c != name]
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            codec = _codec(method, *model.value)
-            call = getattr(codec, method)
-            for batch in batches:
-                made = call(_lists(batch.columns[-1]))
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(made, arrow)], [*batch.schema.names[:-1], name])
-            codec.forget()  # idle workers hold no texts
+        def start():
+            call = getattr(_codec(method, *model.value), method)
+            return lambda column: [pa.array(call(_lists(column)), arrow)]
+
+        def end():
+            _codec(method, *model.value).forget()  # idle workers hold no texts
 
-        empty = F.lit("") if method == "encode" else F.expr("cast(array() as array<int>)")
-        taken = df.select(*quoted(rest), F.coalesce(F.col(source), empty).alias("_in"))
-        schema = T.StructType([*(df.schema[c] for c in rest), T.StructField(name, kind)])
-        return taken.mapInArrow(run, schema)
+        return with_columns(df, source, [T.StructField(name, kind)], start, end)
 
     def encode(self, df: DataFrame, text: str = "text", to: str = "tokens") -> DataFrame:
         """Adds ``to``: the ids of the whole text, without special tokens."""
-        return self._mapped(df, text, to, T.ArrayType(T.IntegerType()), pa.list_(pa.int32()), "encode")
+        return self._with(df, raw(df, text), to, T.ArrayType(T.IntegerType()), pa.list_(pa.int32()), "encode")
 
     def decode(self, df: DataFrame, ids: str = "tokens", to: str = "decoded") -> DataFrame:
-        """Adds ``to``: the bytes of the ids."""
-        return self._mapped(df, ids, to, T.BinaryType(), pa.binary(), "decode")
+        """Adds ``to``: the bytes of the ids; null ids count as none."""
+        source = F.coalesce(quoted([ids])[0], F.expr("cast(array() as array<int>)"))
+        return self._with(df, source, to, T.BinaryType(), pa.binary(), "decode")
 
 
 def digests(df: DataFrame) -> DataFrame:

@@ -7,17 +7,15 @@ A score is a sum of table look-ups, vectorised over a batch.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from colloquy.llm.shared import labelled_sample, quoted, small_batches
+from colloquy.llm.shared import decoded, labelled_sample, raw, with_columns
 from colloquy.llm.text_stats import FEATURES, TextStats
 
 
@@ -149,42 +147,44 @@ def fit(x: np.ndarray, y: np.ndarray, s: Settings = Settings()) -> Gam:
     return model
 
 
+def _features(contents: pa.Array, stats: TextStats) -> list[list[float]]:
+    return [stats.features(t, t.encode()) for t in map(decoded, contents.to_pylist())]
+
+
 def featured(df: DataFrame, text: str = "text") -> DataFrame:
     """Adds ``features``: FEATURES of the whole text; null counts as empty. Other columns pass through."""
-    small_batches(df.sparkSession)
-    rest = [c for c in df.columns if c != "features"]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def start():
         stats = TextStats()
-        for batch in batches:
-            made = [stats.features(t, t.encode()) for t in batch.columns[-1].to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(made, pa.list_(pa.float64()))], [*rest, "features"])
+        return lambda contents: [pa.array(_features(contents, stats), pa.list_(pa.float64()))]
 
-    taken = df.select(*quoted(rest), F.coalesce(F.col(text), F.lit("")).alias("_in"))
-    return taken.mapInArrow(run, T.StructType([*(df.schema[c] for c in rest), T.StructField("features", T.ArrayType(T.DoubleType()))]))
+    return with_columns(df, raw(df, text), [T.StructField("features", T.ArrayType(T.DoubleType()))], start)
 
 
 def train(docs: DataFrame, labels: DataFrame, where=None, s: Settings = Settings(), label: str = "quality") -> Gam:
     """Fits on at most ``s.sample_rows`` labelled documents; their features, computed on executors, reach the driver."""
-    sample = labelled_sample(docs, labels, label, s.sample_rows, s.seed, where)
-    rows = featured(sample).drop("text").toPandas()
+    rows = featured(labelled_sample(docs, labels, label, s.sample_rows, s.seed, where)).drop("text").toPandas()
     x = np.array(rows["features"].tolist(), dtype=np.float64).reshape(-1, len(FEATURES))
     order = np.lexsort((*x.T, rows["doc_id"].to_numpy()))
     return fit(x[order], rows["label"].to_numpy().astype(np.float64)[order], s)
 
 
 def score(df: DataFrame, model: Gam, text: str = "text") -> DataFrame:
-    """Adds score (0 to 1) and predicted (1 if score >= 0.5) to every row; equal-named columns are replaced."""
+    """Adds score (0 to 1) and predicted (1 if score >= 0.5) to every row; equal-named columns are replaced, all others pass through.
+
+    Null and empty texts have zeros as features and get the score of these. Texts are read whole, however long; bytes that are
+    no UTF-8 count as U+FFFD. Repeated rows and equal texts get equal scores. An empty table gives an empty result.
+    """
     sent = df.sparkSession.sparkContext.broadcast(model)
-    small_batches(df.sparkSession)
-    rest = [c for c in df.columns if c not in ("score", "predicted")]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def start():
         stats, gam = TextStats(), sent.value
-        for batch in batches:
-            x = np.array([stats.features(t, t.encode()) for t in batch.columns[-1].to_pylist()], dtype=np.float64).reshape(-1, len(FEATURES))
+
+        def call(contents: pa.Array) -> list[pa.Array]:
+            x = np.array(_features(contents, stats), dtype=np.float64).reshape(-1, len(FEATURES))
             p = 1 / (1 + np.exp(-np.clip(gam.scores(x), -30, 30)))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(p), pa.array((p >= 0.5).astype(np.int32))], [*rest, "score", "predicted"])
+            return [pa.array(p), pa.array((p >= 0.5).astype(np.int32))]
+
+        return call
 
-    taken = df.select(*quoted(rest), F.coalesce(F.col(text), F.lit("")).alias("_in"))
-    return taken.mapInArrow(run, T.StructType([*(df.schema[c] for c in rest), T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]))
+    return with_columns(df, raw(df, text), [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())], start)

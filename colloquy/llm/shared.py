@@ -119,10 +119,10 @@ def strings(contents: list[bytes]) -> pa.Array:
     return pa.array(contents, pa.binary()).cast(pa.string(), safe=False)
 
 
-def with_columns(df: DataFrame, source: Column, made: list[T.StructField], start: Callable[[], Callable[[list], list[pa.Array]]]) -> DataFrame:
+def with_columns(df: DataFrame, source: Column, made: list[T.StructField], start: Callable[[], Callable[[pa.Array], list[pa.Array]]], end: Callable[[], None] | None = None) -> DataFrame:
     """Adds the columns ``made`` to every row of ``df``; equal-named columns are replaced, all others pass through.
 
-    ``start()`` runs once in each task and gives a function from a batch's values of ``source`` to the columns.
+    ``start()`` runs once in each task and gives a function from a batch's values of ``source`` to the columns; ``end()`` runs after.
     """
     small_batches(df.sparkSession)
     there, back = aside(df, [f.name for f in made])
@@ -133,6 +133,8 @@ def with_columns(df: DataFrame, source: Column, made: list[T.StructField], start
         call = start()
         for batch in batches:
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *call(batch.columns[-1])], names)
+        if end:
+            end()
 
     schema = T.StructType([*taken.schema.fields[:-1], *(T.StructField(f"made{k}", f.dataType) for k, f in enumerate(made))])
     return taken.mapInArrow(run, schema).select(*back, *(F.col(f"made{k}").alias(f.name) for k, f in enumerate(made)))

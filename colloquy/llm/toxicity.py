@@ -1,6 +1,4 @@
-"""Toxicity: FTRL-proximal logistic regression on hashed word n-grams (of words and their stems) and skip-grams.
-
-Stems count up to three times: one of a kind can be chance where three are not.
+"""Toxicity: FTRL-proximal logistic regression on hashed word n-grams and skip-grams.
 
 Each coordinate has its own learning rate, and L1 keeps most weights at exactly zero, so that the broadcast model is a short
 list of numbers and weights. Training sees a bounded sample of labelled rows; all texts are scored whole.
@@ -8,7 +6,6 @@ list of numbers and weights. Training sees a bounded sample of labelled rows; al
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -16,27 +13,27 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from colloquy.llm.shared import WordHashes, labelled_sample, mixed, quoted, small_batches
+from colloquy.llm.shared import WordHashes, decoded, labelled_sample, mixed, raw, small_batches, with_columns
 
 
 @dataclass(frozen=True)
 class Settings:
-    """sample_rows bounds the training sample; alpha, beta, l1 and l2 are FTRL's; skips are the gaps of the skip-grams,
-    stems the letters of a stem, and levels the numbers of a stem's words in a text from each of which it has one more number."""
+    """sample_rows bounds the training sample; alpha, beta, l1 and l2 are FTRL's; words are the lengths of the n-grams and skips
+    the gaps of the skip-grams, which are pairs with so many words between. stems are numbers of letters: single words count as
+    stemmed ones too, cut to so many, so that inflected and compound forms share a weight."""
 
     bits: int = 20
     sample_rows: int = 6_000
     epochs: int = 8
-    alpha: float = 1.0
+    alpha: float = 2.0
     beta: float = 1.0
     l1: float = 4.0
     l2: float = 1.0
-    skips: tuple[int, ...] = (1, 2)
-    stems: tuple[int, ...] = (3, 4, 5)
-    levels: tuple[int, ...] = (1, 2, 3)
+    words: tuple[int, ...] = (1, 2)
+    skips: tuple[int, ...] = (1,)
+    stems: tuple[int, ...] = (5, 6)
     seed: int = 9
 
 
@@ -59,25 +56,25 @@ class BareWords(WordHashes):
 
 
 class Grams:
-    """Text -> numbers of its words, their stems, neighbours (skip 1) and pairs with words between (skips 2 and on), lower case.
+    """Text -> numbers of its word n-grams and skip-grams, lower case."""
 
-    Stems let inflected and compound forms share a weight.
-    """
+    STEP = np.uint64(0xC2B2AE3D27D4EB4F)
 
     def __init__(self, s: Settings):
-        self.s = s
-        self.words, self.stems = BareWords(), [BareWords(k) for k in s.stems]
+        self.s, self.words, self.stems = s, BareWords(), [BareWords(k) for k in s.stems]
 
     def of(self, text: str) -> np.ndarray:
         words = text.lower().encode().split()
-        h, own = self.words.of(words), Counter(words)
-        times, parts = np.fromiter(own.values(), dtype=np.int64, count=len(own)), [mixed(h)]
-        for stems in self.stems:
-            found, back = np.unique(stems.of(list(own)), return_inverse=True)
-            total = np.bincount(back, weights=times, minlength=len(found))
-            parts.extend(mixed(found[total >= level] + np.uint64(level * 0x9E3779B97F4A7C15 % 2**64)) for level in self.s.levels)
+        h = self.words.of(words)
+        own = list(dict.fromkeys(words)) if self.stems else []
+        parts, gram = [mixed(stems.of(own)) for stems in self.stems], h
+        for n in range(1, max(self.s.words) + 1):
+            if n > 1:
+                gram = mixed(gram[:-1] * self.STEP) + h[n - 1 :] if len(h) >= n else h[:0]
+            if n in self.s.words:
+                parts.append(mixed(gram + np.uint64(n)))
         for k in self.s.skips:
-            parts.append(mixed(h[:-k] * np.uint64(0xC2B2AE3D27D4EB4F) + h[k:] + np.uint64(k)) if len(h) > k else h[:0])
+            parts.append(mixed(mixed(h[: -k - 1] * self.STEP) + h[k + 1 :] + np.uint64(64 + k)) if len(h) > k + 1 else h[:0])
         return (np.concatenate(parts) >> np.uint64(64 - self.s.bits)).astype(np.int64)
 
 
@@ -116,40 +113,42 @@ def train(docs: DataFrame, labels: DataFrame, where=None, s: Settings = Settings
     Executors turn the sampled texts into numbers; only these reach the driver. Without labels all scores are 0.5.
     """
     small_batches(docs.sparkSession)
-    sample = labelled_sample(docs, labels, label, s.sample_rows, s.seed, where).select("doc_id", "label", F.coalesce("text", F.lit("")).alias("text"))
+    sample = labelled_sample(docs, labels, label, s.sample_rows, s.seed, where)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = Grams(s)
         for batch in batches:
-            made = [np.unique(grams.of(t)).astype(np.int32).tobytes() for t in batch.columns[2].to_pylist()]
+            made = [np.unique(grams.of(decoded(t))).astype(np.int32).tobytes() for t in batch.columns[2].to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(made, pa.binary())], ["doc_id", "label", "grams"])
 
-    rows = sample.mapInArrow(run, "doc_id long, label int, grams binary").toPandas().sort_values(["doc_id", "grams"], kind="stable")
+    kind = sample.schema["doc_id"].dataType.simpleString()
+    rows = sample.select("doc_id", "label", raw(sample, "text")).mapInArrow(run, f"doc_id {kind}, label int, grams binary").toPandas().sort_values("doc_id", kind="stable")
     return fit([np.frombuffer(g, np.int32) for g in rows["grams"]], rows["label"].to_numpy(), s)
 
 
 def score(df: DataFrame, model: tuple[np.ndarray, np.ndarray, float], s: Settings = Settings(), text: str = "text") -> DataFrame:
-    """Adds score (0 to 1) and predicted (1 if score >= 0.5) to every row; equal-named columns are replaced.
+    """Adds score (0 to 1) and predicted (1 if score >= 0.5) to every row; equal-named columns are replaced, all others pass through.
 
-    Null and empty texts get the intercept's probability.
+    Null and empty texts get the intercept's probability. Texts are read whole, however long; bytes that are no UTF-8 count as
+    U+FFFD. Repeated rows and equal texts get equal scores. An empty table gives an empty result.
     """
-    small_batches(df.sparkSession)
     sent = df.sparkSession.sparkContext.broadcast(model)
-    rest = [c for c in df.columns if c not in ("score", "predicted")]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def start():
         found, w, bias = sent.value
         dense = np.zeros(1 << s.bits, np.float32)
         dense[found] = w
         grams = Grams(s)
-        for batch in batches:
+
+        def call(contents: pa.Array) -> list[pa.Array]:
             sums = []
-            for t in batch.columns[-1].to_pylist():
-                at = grams.of(t)
+            for t in contents.to_pylist():
+                at = grams.of(decoded(t))
                 own = np.unique(at[dense[at] != 0])
                 sums.append(float(dense[own].sum(dtype=np.float64)) + bias)
             p = 1 / (1 + np.exp(-np.clip(np.array(sums, dtype=np.float64), -30, 30)))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(p), pa.array((p >= 0.5).astype(np.int32))], [*rest, "score", "predicted"])
+            return [pa.array(p), pa.array((p >= 0.5).astype(np.int32))]
+
+        return call
 
-    taken = df.select(*quoted(rest), F.coalesce(F.col(text), F.lit("")).alias("_in"))
-    return taken.mapInArrow(run, T.StructType([*(df.schema[c] for c in rest), T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]))
+    return with_columns(df, raw(df, text), [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())], start)

@@ -584,3 +584,102 @@ def test_substring_dedup_other_ids(spark):
     p = passage(60, 60)
     got = substring_dedup.substring_dedup(spark.createDataFrame([("b", "x " + p), ("a", p + " y"), (None, p)], "name string, text string"), ident="name").collect()
     assert sorted((r.doc_id or "", r.n_removed, r.kept_text) for r in got) == [("", 0, p), ("a", 0, p + " y"), ("b", 60, "x")]
+
+
+AWKWARD = "doc_id long, text binary, source string, url string, " + ", ".join(f"{c} string" for c in (
+    "c0", "made0", "_in", "_uid", "_hash", "_host", "uid", "hash", "fp", "id", "part", "at", "u", "range", "key", "name", "ahead", "start", "row", "known", "n"))
+
+
+@pytest.fixture(scope="module")
+def awkward(spark):
+    """Invalid UTF-8, texts of megabytes with and without spaces, repeated rows, null ids and texts, and names that operators use themselves."""
+    bad, long = b"caf\xe9 \xff\xfe und \xc3( \x80 " * 4 + b"eleven words more so that it is long enough to be judged by all", passage(80, 300_000).encode()
+    texts = [bad, bad, b"\xff", long, long + b" end", "漢".encode() * 700_000, None, b"", b" ", b"plain text of a few words"]
+    rows = [(k, t, ("s1", None)[k % 2], f"http://h{k}.org/é/{k}") for k, t in enumerate(texts)]
+    rows += [rows[0]] * 30 + [(None, None, None, None)] * 30 + [(None, bad, "s1", None)]
+    frame = spark.createDataFrame([r + ("mine",) * 21 for r in rows], AWKWARD).repartition(3)
+    # Read as text, bytes that are no UTF-8 stay as they are.
+    return shared.written(frame.withColumn("text", F.col("text").cast("string")), "awkward")
+
+
+def _fitted(train):
+    return lambda spark, df: train(df.limit(0).select("doc_id", "text"), spark.createDataFrame([], "doc_id long, quality int, toxic int"))
+
+
+OPERATORS = {
+    "op1": lambda spark, df: (codec := bpe.Bpe(spark, P.path(queries.VOCABULARY), P.PATTERN)).decode(codec.encode(df)),
+    "op2": lambda spark, df: exact_dedup.exact_dedup(df),
+    "op3": lambda spark, df: url_filter.filter_urls(df),
+    "op4": lambda spark, df: quality_rules.judge(df, _fitted(quality_rules.train)(spark, df)),
+    "op5": lambda spark, df: sharding.shard_rows(df, 5, carry=tuple(c for c in df.columns if c not in ("doc_id", "text"))),
+    "op6": lambda spark, df: toxicity.score(df, _fitted(toxicity.train)(spark, df)),
+    "op7": lambda spark, df: mixing.mix(df, carry=tuple(c for c in df.columns if c not in ("doc_id", "text"))),
+    "op8": lambda spark, df: substring_dedup.substring_dedup(df),
+    "op9": lambda spark, df: simhash.near_dedup(df),
+    "op10": lambda spark, df: gam.score(df, _fitted(gam.train)(spark, df)),
+}
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_awkward_rows(spark, awkward, name):
+    got = OPERATORS[name](spark, awkward)
+    assert got.count() == awkward.count()
+    if name not in ("op8", "op9"):
+        others = [c for c in awkward.columns if c not in ("doc_id", "text")]
+        assert set(others) <= set(got.columns) and {tuple(r) for r in got.select(*others[2:]).distinct().collect()} == {("mine",) * 21}
+    assert OPERATORS[name](spark, awkward.limit(0)).count() == 0
+
+
+def test_awkward_results(spark, awkward, encoding):
+    """What invalid bytes count as, by operator: U+FFFD where characters matter, themselves where bytes do."""
+    texts = {r.doc_id: r.t for r in awkward.where("doc_id IN (0, 1, 2, 9)").select("doc_id", F.col("text").cast("binary").alias("t")).collect()}
+    few = awkward.where("doc_id IN (0, 1, 2, 9)")
+    for r in OPERATORS["op1"](spark, few).select("doc_id", "tokens").collect():
+        assert r.tokens == encoding.encode_ordinary(texts[r.doc_id].decode("utf-8", "replace"))
+    for r in OPERATORS["op4"](spark, few).select("doc_id", "n_words", "word_chars").collect():
+        assert (r.n_words, r.word_chars) == _base(texts[r.doc_id].decode("utf-8", "replace"))[:2]
+    for r in OPERATORS["op8"](spark, few).select("doc_id", F.col("kept_text").cast("binary").alias("k")).collect():
+        assert r.k == b" ".join(texts[r.doc_id].split())
+    assert {r.component_id for r in OPERATORS["op9"](spark, few).where("doc_id < 2").collect()} == {0}
+    assert {r.keep_id for r in OPERATORS["op2"](spark, few).where("doc_id < 2").collect()} == {0}
+
+
+def test_hot_keys_are_spread(spark):
+    """A third of all rows alike: no logical partition, range or join key gathers them."""
+    rows = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, None).otherwise(F.col("id")).alias("doc_id"), F.lit("s").alias("source"), F.lit("a b").alias("text"))
+    out = sharding.shard_rows(rows, 4)
+    assert sorted(r["count"] for r in out.groupBy("shard").count().collect()) == [7500] * 4
+    shares = [r.c for r in out.where("doc_id IS NULL").groupBy("shard").agg(F.count("*").alias("c")).collect()]
+    assert max(abs(c - 2500) for c in shares) < 250
+    mixed = mixing.mix(rows).toPandas()
+    assert mixed.taken.sum() == round(mixed.target[0]) and (mixed.taken <= 6).all()
+
+
+def test_sharding_ignores_settings(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    key = "spark.sql.shuffle.partitions"
+    before, got = spark.conf.get(key), []
+    for n in ("4", "40"):
+        spark.conf.set(key, n)
+        got.append(sorted(map(tuple, sharding.shard_rows(docs, 24).select("doc_id", "shard", "slot").collect())))
+    spark.conf.set(key, before)
+    assert got[0] == got[1]
+
+
+def test_labelled_sample_is_bounded(spark):
+    docs = spark.createDataFrame([(1, f"t{k}") for k in range(500)] + [(k, "x") for k in range(2, 30)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(1000)], "doc_id long, quality int")
+    got = shared.labelled_sample(docs, labels, "quality", 10, 3).collect()
+    assert len(got) == 10 == len({r.doc_id for r in got}) and all(1 <= r.doc_id < 30 for r in got)
+
+
+def test_shared_folder_is_asked_for_on_clusters():
+    class Context:
+        master = "spark://host:7077"
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(ValueError):
+        shared.shared_dir(Session())
