@@ -27,6 +27,9 @@ HOT = 10_000
 BUCKET = 128 << 20
 
 
+_temporary: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``). Where it is unset, a local session gets a temporary folder; a
     cluster has no folder of its own that all executors see, so there it is an error."""
@@ -34,8 +37,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not where:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        where = "file://" + tempfile.mkdtemp(prefix="colloquy-")
-        spark.conf.set("spark.checkpoint.dir", where)
+        where = _temporary.setdefault(spark.sparkContext.applicationId, "file://" + tempfile.mkdtemp(prefix="colloquy-"))
     return where.rstrip("/")
 
 
