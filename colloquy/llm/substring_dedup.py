@@ -209,9 +209,9 @@ def copies_of(rows: DataFrame, own: DataFrame) -> DataFrame:
     """
     first = F.min(F.struct("doc_id", "uid")).alias("first")
     groups = own.groupBy("w1", "w2", "n_words").agg(first, F.count("*").alias("n")).where("n > 1")
-    groups = groups.select("w1", "w2", "n_words", F.col("first.uid").alias("first"), "n")
-    pairs = written(own.select("uid", "w1", "w2", "n_words").join(groups, ["w1", "w2", "n_words"]).where("uid != first").select(
-        "uid", "first", F.expr(f"pmod(xxhash64(uid), n div {HOT} + 1)").alias("salt"), (F.col("n") / HOT).cast("long").alias("salts")), "substring-copies")
+    groups = written(groups.select("w1", "w2", "n_words", F.col("first.uid").alias("first"), "n", F.expr(f"n div {HOT}").alias("salts")), "substring-groups")
+    pairs = spread_join(own.select("uid", "w1", "w2", "n_words"), groups, ["w1", "w2", "n_words"]).where("uid != first")
+    pairs = written(pairs.select("uid", "first", F.expr("pmod(xxhash64(uid), salts + 1)").alias("salt"), "salts"), "substring-copies")
     asked = pairs.groupBy("first").agg(F.max("salts").alias("salts"))
     there = rows.select(F.col("uid").alias("first"), F.col("text").alias("tb")).join(asked, "first")
     there = there.select("first", "tb", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts"))).alias("salt"))
