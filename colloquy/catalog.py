@@ -15,6 +15,7 @@ from colloquy.sources import files
 
 AUDIO_US, SNAP_US, PAUSE_US, ISLAND_US = 720_000_000, 800_000, 600_000, 24_000_000
 THIRD_MAX, EPS = 0.10, 0.05
+RULES = align.Rules(snap_us=SNAP_US, island_us=ISLAND_US, pause_us=PAUSE_US, third_max=THIRD_MAX, eps=EPS)
 
 Q = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Q] = {}
@@ -258,16 +259,15 @@ def word_stats(spark, sf_dir):
     return align.word_stats(b.words(spark, sf_dir))
 
 
-@query("d AS (SELECT doc_id::VARCHAR AS id, lang || '/' || doc_id || '.wav' AS path, n_chars / 100.0::DOUBLE AS duration_sec FROM documents WHERE n_chars > 0) SELECT *, row_number() OVER (ORDER BY duration_sec, path) AS rank FROM d ORDER BY duration_sec, path LIMIT 500")
+@query("d AS (SELECT doc_id::VARCHAR AS id, lang || '/' || doc_id || '.wav' AS path, n_chars / 100.0::DOUBLE AS duration_sec FROM documents WHERE n_chars > 0) SELECT * FROM d")
 def manifest_by_duration(spark, sf_dir):
     d = b.table(spark, sf_dir, "documents").where("n_chars > 0").selectExpr("cast(doc_id AS string) AS id", "concat(lang, '/', doc_id, '.wav') AS path", "n_chars / 100D AS duration_sec")
-    top = d.orderBy("duration_sec", "path").limit(500)
-    return top.selectExpr("*", "cast(row_number() OVER (ORDER BY duration_sec, path) AS bigint) AS rank")
+    return d.orderBy("duration_sec", "path")
 
 
 @query("SELECT conv_id AS file_id, count(*) AS turns FROM conversations GROUP BY conv_id ORDER BY turns DESC, file_id LIMIT 20".replace("SELECT conv_id", "t AS (SELECT 1) SELECT conv_id", 1))
 def topk_by_turns(spark, sf_dir):
-    return b.turns(spark, sf_dir).groupBy("file_id").agg(F.count("*").alias("turns")).orderBy(F.desc("turns"), "file_id").limit(20)
+    return files.most_turns(b.turns(spark, sf_dir).groupBy("file_id").agg(F.count("*").alias("turns")), 20)
 
 
 @query(WORDS + """ SELECT file_id, pos, CASE WHEN start_us >= 3600000000 THEN CASE WHEN start_us // 3600000000 < 10 THEN '0' ELSE '' END || (start_us // 3600000000) || ':' ELSE '' END
@@ -299,7 +299,7 @@ ALIGNED = (WORDS + "," + SEGS + "," + SHARES + "," + VERDICT + """, okay AS (SEL
 
 @query(ALIGNED + " SELECT * FROM built")
 def full_align(spark, sf_dir):
-    return align.full_align(b.words(spark, sf_dir).drop("event_id"), b.segments(spark, sf_dir), AUDIO_US, third_max=THIRD_MAX, eps=EPS)
+    return align.full_align(b.words(spark, sf_dir).drop("event_id"), b.segments(spark, sf_dir), AUDIO_US, RULES)
 
 
 @query(WORDS + "," + SEGS + """, w AS (SELECT file_id, (pos - 1) // 3 + 1 AS seg_ix, pos AS word_ix, word, (pos % 3) * 200000 AS a, (pos % 3) * 200000 + 150000 AS e FROM words),
@@ -341,7 +341,7 @@ def _ms(c: str) -> str:
   FROM verdict v JOIN sh USING (file_id) LEFT JOIN ns ON v.status = 'OK' AND ns.file_id = v.file_id LEFT JOIN sg ON sg.file_id = v.file_id LEFT JOIN ts ON ts.file_id = v.file_id LEFT JOIN ws ON ws.file_id = v.file_id""")
 def result_documents(spark, sf_dir):
     """The nested documents of every file, flattened for comparison; rejected files have empty turns and zeros."""
-    d = documents.documents(b.words(spark, sf_dir).drop("event_id"), b.segments(spark, sf_dir), AUDIO_US, third_max=THIRD_MAX, eps=EPS)
+    d = documents.documents(b.words(spark, sf_dir).drop("event_id"), b.segments(spark, sf_dir), AUDIO_US, RULES)
     ms = lambda x: F.round(x * 1000).cast("long").cast("string")
     span = lambda x, name: F.concat(x[name], F.lit("@"), ms(x["start"]), F.lit("-"), ms(x["end"]))
     pairs = lambda entries, text: F.array_join(F.transform(F.array_sort(entries), text), ",")

@@ -9,7 +9,7 @@ from dataclasses import dataclass, fields, replace
 #: Keys of sections that would clash, keys that mean something else, and settings that are paths.
 RENAMED = {("resume", "enabled"): "resume_enabled", ("speaker_rules", "enabled"): "rules_enabled"}
 ELSEWHERE = {("diarizer", "batch_size")}
-PATHS = ("manifest_path", "transcripts_dir", "meta_asr_dir", "meta_diar_dir")
+PATHS = ("audio_dir", "out_dir", "manifest_path", "transcripts_dir", "meta_asr_dir", "meta_diar_dir")
 MODES = ("full_asr_then_align", "diar_cut_then_asr")
 
 
@@ -33,6 +33,8 @@ class Config:
     resume_enabled: bool = True
     retry_failed: bool = False
     skip_if_outputs_exist: bool = True
+    audio_dir: str = "."
+    out_dir: str = "out"
     manifest_path: str | None = None
     glob: str = "*.mp3"
     transcripts_dir: str = "transcripts"

@@ -6,10 +6,12 @@ they hit, as status and reason, and a batch that fails is tried again item by it
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -26,6 +28,13 @@ class Stage:
 _loaded: dict[str, Callable] = {}
 
 
+def _provider(key: str, load: Callable[[], Callable]) -> Callable:
+    """The worker process's own provider. Tasks get this function by its name, so all of them see one cache."""
+    if key not in _loaded:
+        _loaded[key] = load()
+    return _loaded[key]
+
+
 def apply(df: DataFrame, stage: Stage) -> DataFrame:
     """Rows of the stage for all rows of ``df``, with status (SUCCESS or FAILED) and reason; failures have nulls elsewhere.
 
@@ -33,13 +42,14 @@ def apply(df: DataFrame, stage: Stage) -> DataFrame:
     """
     schema = T.StructType([*T.StructType.fromDDL(stage.schema).fields, T.StructField("status", T.StringType()), T.StructField("reason", T.StringType())])
     names = [f.name for f in schema.fields]
+    # Stages of one factory differ in what they have captured, so what is sent to the tasks is the key.
+    name = hashlib.sha256(cloudpickle.dumps(stage.load)).hexdigest()
 
     def one(run, batch: pd.DataFrame) -> pd.DataFrame:
         return run(batch).assign(status="SUCCESS", reason=None)
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        name = f"{stage.load.__module__}.{stage.load.__qualname__}"
-        run = _loaded[name] = _loaded.get(name) or stage.load()
+        run = _provider(name, stage.load)
         for batch in batches:
             try:
                 yield one(run, batch)[names]

@@ -11,12 +11,16 @@ def numbered(segments: DataFrame) -> DataFrame:
     return segments.withColumn("seg_ix", F.row_number().over(Window.partitionBy("file_id").orderBy("start_us", "end_us", "spk")).cast("long"))
 
 
-def speaker_shares(segments: DataFrame, audio_us: int) -> DataFrame:
-    """(file_id, spk, dur_us, share, first_seg_ix): a speaker's part of the audio, at most 1; 0 for audio without length."""
-    share = F.least(F.lit(1.0), F.col("dur_us") / F.lit(float(audio_us))) if audio_us > 0 else F.lit(0.0)
-    return numbered(segments).groupBy("file_id", "spk").agg(
-        F.sum(F.greatest(F.lit(0), F.col("end_us") - F.col("start_us"))).alias("dur_us"), F.min("seg_ix").alias("first_seg_ix")
-    ).select("file_id", "spk", "dur_us", share.alias("share"), "first_seg_ix")
+def speaker_shares(segments: DataFrame, audio_us: int | DataFrame) -> DataFrame:
+    """(file_id, spk, dur_us, share, first_seg_ix): a speaker's part of the audio, at most 1; 0 for audio without length.
+
+    ``audio_us`` is the length of all files or a table (file_id, audio_us) of their lengths.
+    """
+    sums = numbered(segments).groupBy("file_id", "spk").agg(
+        F.sum(F.greatest(F.lit(0), F.col("end_us") - F.col("start_us"))).alias("dur_us"), F.min("seg_ix").alias("first_seg_ix"))
+    sums = sums.join(audio_us, "file_id", "left") if isinstance(audio_us, DataFrame) else sums.withColumn("audio_us", F.lit(audio_us))
+    share = F.when(F.col("audio_us") > 0, F.least(F.lit(1.0), F.col("dur_us") / F.col("audio_us").cast("double"))).otherwise(0.0)
+    return sums.select("file_id", "spk", "dur_us", share.alias("share"), "first_seg_ix")
 
 
 def merged(intervals: DataFrame) -> DataFrame:

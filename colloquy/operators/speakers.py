@@ -6,13 +6,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def verdict(shares: DataFrame, third_max: float = 0.10, eps: float = 0.05, min_dominant: float = 0.0, max_speakers: int = 3, enabled: bool = True) -> DataFrame:
+def verdict(shares: DataFrame, third_max: float = 0.10, eps: float = 0.05, min_dominant: float = 0.0, max_speakers: int = 3, enabled: bool = True, files: DataFrame | None = None) -> DataFrame:
     """(file_id, n_speakers, status, reason, keep, dropped) with keep and dropped as sorted names joined by commas.
 
     One or two speakers are kept if the larger share reaches ``min_dominant``. Of three, shares within ``eps`` (exclusive)
     reject the file; else the smallest, the later one at ties, is dropped if it is at most ``third_max``, or the file is
-    rejected. More than three, or than ``max_speakers``, reject it. Disabled, all are kept with the reason ``disabled``.
+    rejected. More than three, or than ``max_speakers``, reject it. Disabled, all are kept with the reason ``disabled``. Of
+    ``files`` (file_id), those that have no speaker are rejected too, with no_speakers.
     """
+    if files is not None:
+        ruled = verdict(shares, third_max, eps, min_dominant, max_speakers, enabled)
+        n, okay = F.coalesce("n_speakers", F.lit(0)), F.lit(not enabled)
+        status = F.coalesce("status", F.when(okay, "OK").otherwise("BAD_SAMPLE"))
+        reason = F.when(F.col("status").isNotNull(), F.col("reason")).when(okay, "disabled").otherwise("no_speakers")
+        empty = (F.coalesce(c, F.lit("")).alias(c) for c in ("keep", "dropped"))
+        return files.select("file_id").join(ruled, "file_id", "left").select("file_id", n.alias("n_speakers"), status.alias("status"), reason.alias("reason"), *empty)
     ranked = shares.withColumn("k", F.row_number().over(Window.partitionBy("file_id").orderBy(F.desc("share"), "first_seg_ix")))
     files = ranked.groupBy("file_id").agg(
         F.count("*").alias("n"), F.max("share").alias("hi"), F.min("share").alias("lo"),

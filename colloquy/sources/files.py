@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import io
 import re
+import uuid
 import wave
 from collections.abc import Iterator
+from datetime import datetime, timezone
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -50,14 +52,28 @@ def resolved(rows: DataFrame, folder: str) -> DataFrame:
 
 
 def read_journal(spark: SparkSession, path: str) -> DataFrame:
-    """(line_no, input_path, status, reason) of an append-only JSON-lines journal."""
-    return _lines(spark, path).select("line_no", F.from_json("value", "input_path string, status string, reason string").alias("x")).select("line_no", "x.*")
+    """(line_no, input_path, status, reason) of an append-only JSON-lines journal; line_no has an order, that of the lines.
+
+    Lines say in which run they were written and as which of its lines. Journals without that are in the order of their files'
+    times and, within a file, of its lines.
+    """
+    fields = "input_path string, status string, reason string, run string, ordinal long"
+    lines = spark.read.text(path).select(F.col("_metadata.file_modification_time").alias("t"), F.monotonically_increasing_id().alias("i"), F.from_json("value", fields).alias("x"))
+    at = F.struct(F.coalesce("x.run", F.lit("")).alias("run"), F.when(F.col("x.run").isNull(), F.col("t")).alias("time"), F.coalesce("x.ordinal", "i").alias("ordinal"))
+    return lines.where("x.input_path IS NOT NULL").select(at.alias("line_no"), "x.input_path", "x.status", "x.reason")
 
 
 def append_journal(rows: DataFrame, path: str) -> None:
-    """Appends lines; the configuration is not among them, so no secret is stored. Columns other than these are optional."""
+    """Appends lines; the configuration is not among them, so no secret is stored. Columns other than these are optional.
+
+    Each call is a run: its id begins with the time, so ids sort as runs do. Lines without times get the run's, in UTC.
+    """
+    now = datetime.now(timezone.utc).isoformat(timespec="microseconds")
     own = ["input_path", "id", "started_at", "finished_at", "status", "reason", "shares", "speakers"]
-    rows.select(*(c for c in own if c in rows.columns)).write.mode("append").json(path)
+    stamps = {c: F.coalesce(*([F.col(c)] if c in rows.columns else []), F.lit(now)) for c in ("started_at", "finished_at")}
+    rows = rows.withColumns(stamps)
+    lines = rows.select(F.lit(f"{now}-{uuid.uuid4().hex[:8]}").alias("run"), F.monotonically_increasing_id().alias("ordinal"), *(c for c in own if c in rows.columns))
+    lines.write.mode("append").json(path)
 
 
 def read_transcripts(spark: SparkSession, path: str) -> DataFrame:
@@ -67,19 +83,34 @@ def read_transcripts(spark: SparkSession, path: str) -> DataFrame:
     return docs.select(F.coalesce("file_id", name).alias("file_id"), F.posexplode("turns").alias("pos", "t")).select("file_id", "pos", "t.speaker", "t.text")
 
 
+def turn_counts(spark: SparkSession, path: str) -> DataFrame:
+    """(file_id, turns) of every document, 0 where it has no list of turns."""
+    docs = spark.read.schema(TRANSCRIPT).option("multiLine", "true").json(path)
+    name = stem(F.col("_metadata.file_path"))
+    return docs.select(F.coalesce("file_id", name).alias("file_id"), F.coalesce(F.size("turns"), F.lit(0)).alias("turns")).withColumn("turns", F.greatest("turns", F.lit(0)).cast("long"))
+
+
+def most_turns(counts: DataFrame, limit: int | None = None) -> DataFrame:
+    """(file_id, turns) with most turns first, ties by id; the first ``limit`` of them, all for None. Negative limits are errors."""
+    if limit is not None and limit < 0:
+        raise ValueError("the limit must be at least 0")
+    ordered = counts.orderBy(F.desc("turns"), "file_id")
+    return ordered if limit is None else ordered.limit(limit)
+
+
 #: The documents of a successful item, by column and folder.
 OUTPUTS = {"transcript": "transcripts", "meta_asr": "meta_asr", "meta_diar": "meta_diar"}
 
 
-def write_results(results: DataFrame, folder: str) -> None:
-    """A SUCCESS row's documents, those of OUTPUTS that are columns, under their folders; every row's status in ``journal``.
+def write_results(results: DataFrame, folder: str, places: dict[str, str] | None = None) -> None:
+    """A SUCCESS row's documents, those of OUTPUTS that are columns, under their folders or those of ``places``; every row's status in ``journal``.
 
     BAD_SAMPLE lines carry shares and speakers, where there is a meta_diar. The frame is evaluated once for each output: write
     model results to a table first. A commit covers one output; the journal comes last, so what it names exists.
     """
     for column, name in OUTPUTS.items():
         if column in results.columns:
-            results.where("status = 'SUCCESS'").select("id", f"{column}.*").write.mode("append").json(f"{folder}/{name}")
+            results.where("status = 'SUCCESS'").select("id", f"{column}.*").write.mode("append").json((places or {}).get(column) or f"{folder}/{name}")
     if "meta_diar" in results.columns:
         bad = F.col("status") == "BAD_SAMPLE"
         results = results.withColumns({c: F.when(bad, F.col(f"meta_diar.{c}")) for c in ("shares", "speakers")})

@@ -297,3 +297,103 @@ def test_stage_isolates_failures(spark):
 def test_empty(spark):
     w, s = spark.createDataFrame([], WORD), spark.createDataFrame([], SEG)
     assert align.full_align(w, s, 1).count() == 0 and islands.stitch_words(w).count() == 0 and intervals.pack_chunks(s.drop("spk")).count() == 0
+
+
+def _stages():
+    """Functions within a function travel to the workers by value."""
+
+    def _diarize():
+        import os
+
+        def run(batch):
+            if any("broken" in p for p in batch["input_path"]):
+                raise RuntimeError("no audio")
+            told = {"two": [("b", 0, 3_000_000), ("a", 3_000_000, 9_000_000)], "equal": [("a", 0, 3), ("b", 3, 6), ("c", 6, 9)], "mute": []}
+            rows = [[{"spk": s, "start_us": a, "end_us": e} for s, a, e in told["".join(filter(str.isalpha, os.path.basename(p).split(".")[0]))]] for p in batch["input_path"]]
+            return pd.DataFrame({"input_path": batch["input_path"].to_numpy(), "duration_us": [10_000_000] * len(rows), "segments": rows})
+
+        return run
+
+    def _recognise():
+        def run(batch):
+            rows = []
+            for p, segments in zip(batch["input_path"], batch["segments"], strict=True):
+                if "deaf" in p:
+                    raise ValueError("deaf")
+                if segments is None:
+                    rows.append([{"seg_ix": None, "word": w, "start_us": a, "end_us": a + 500_000} for w, a in (("hi", 100_000), ("there", 700_000), ("you", 4_000_000))])
+                else:
+                    rows.append([{"seg_ix": int(s["seg_ix"]), "word": f"w{s['seg_ix']}", "start_us": 100_000, "end_us": 400_000} for s in segments])
+            return pd.DataFrame({"input_path": batch["input_path"].to_numpy(), "words": rows})
+
+        return run
+
+    return _diarize, _recognise
+
+
+@pytest.mark.parametrize("mode", ["full_asr_then_align", "diar_cut_then_asr"])
+def test_run_end_to_end(spark, tmp_path, mode):
+    from colloquy.plans import run as flow
+
+    names = ["two1.wav", "two2.wav", "equal.wav", "mute.wav", "broken.wav"]
+    (tmp_path / "in.txt").write_text("\n".join(names) + f"\n{tmp_path}/two3.wav\n")
+    c = Config.of({"mode": mode, "audio_dir": "/audio", "out_dir": str(tmp_path / "out"), "manifest_path": str(tmp_path / "in.txt"), "chunk_batch_size": 2})
+    loads = _stages()
+    stages = models.Stage(loads[0], flow.DIARIZED, "input_path"), models.Stage(loads[1], flow.HEARD, "input_path")
+    first = flow.run(spark, c, *stages)
+    assert first.status == "done_with_errors" and first.exit_code == 1 and dict(first.counts) == {"SUCCESS": 3, "BAD_SAMPLE": 2, "FAILED": 1}
+    lines = {r.input_path: (r.status, r.reason) for r in files.read_journal(spark, f"{tmp_path}/out/journal").collect()}
+    assert lines["/audio/mute.wav"] == ("BAD_SAMPLE", "no_speakers") and lines["/audio/equal.wav"][1] == "three_speakers_equal_shares" and "no audio" in lines["/audio/broken.wav"][1]
+    doc = {r.id: r for r in spark.read.json(f"{tmp_path}/out/transcripts").collect()}["two1"]
+    texts = [(t.speaker, t.text) for t in doc.turns]
+    assert texts == ([("Spk1", "hi there"), ("Spk0", "you")] if mode == "full_asr_then_align" else [("Spk1", "w1"), ("Spk0", "w2")]) and doc.file_id == "two1"
+    asr = spark.read.json(f"{tmp_path}/out/meta_asr").first()
+    assert asr.mode == mode and (mode == "full_asr_then_align" or [(i.segment_id, i.num_words, i.num_chunks_after_split) for i in asr.asr_batch_items] == [(0, 1, 1), (1, 1, 1)])
+    # All again: what is final is skipped, the failure only without retry; then outputs alone decide.
+    assert dict(flow.run(spark, c, *stages).counts) == {"SKIPPED": 6}
+    other = Config.of({**c.__dict__, "resume_enabled": False})
+    assert dict(flow.run(spark, other, *stages).counts) == {"SKIPPED": 3, "BAD_SAMPLE": 2, "FAILED": 1}
+    with pytest.raises(ValueError):
+        (tmp_path / "in.txt").write_text("a/x.wav\nb/x.wav\n")
+        flow.run(spark, c, *stages)
+
+
+def test_provider_is_loaded_once_per_worker(spark, tmp_path):
+    def factory(mark):
+        def load():
+            with open(tmp_path / mark, "a") as f:
+                f.write(f"{__import__('os').getpid()}\n")
+            return lambda batch: batch[["file_id"]].assign(mark=mark)
+        return load
+
+    for mark in ("one", "two"):
+        out = models.apply(spark.range(60).repartition(12).withColumnRenamed("id", "file_id"), models.Stage(factory(mark), "file_id long, mark string"))
+        assert {r.mark for r in out.collect()} == {mark}
+        pids = (tmp_path / mark).read_text().split()
+        assert len(pids) == len(set(pids))
+
+
+def test_journal_order_over_runs(spark, tmp_path):
+    path = str(tmp_path / "journal")
+    many = spark.range(5000).select(F.concat(F.lit("/o/"), "id").alias("input_path"), F.lit("SUCCESS").alias("status"))
+    one = lambda status: spark.createDataFrame([("/a", status)], "input_path string, status string")
+    for rows in (one("FAILED"), many.union(one("SUCCESS")), one("FAILED"), many.limit(10).union(one("SUCCESS"))):
+        files.append_journal(rows, path)
+    lines = files.read_journal(spark, path)
+    assert journal.latest(lines).where("input_path = '/a'").first().status == "SUCCESS"
+    assert spark.read.json(path).where("started_at IS NULL OR finished_at NOT LIKE '%+00:00'").count() == 0
+    plain = tmp_path / "plain.jsonl"
+    plain.write_text('{"input_path": "/a", "status": "SUCCESS"}\n\n{"input_path": "/a", "status": "FAILED"}\n')
+    assert journal.latest(files.read_journal(spark, str(plain))).first().status == "FAILED"
+
+
+def test_turn_counts_and_top(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"turns": [{"speaker": "x", "text": "t"}, {"speaker": "", "text": ""}]}')
+    (tmp_path / "b.json").write_text('{"status": "SUCCESS"}')
+    (tmp_path / "c.json").write_text('{"file_id": "own", "turns": [{"speaker": "x", "text": "t"}, {"speaker": "y", "text": "u"}]}')
+    counts = files.turn_counts(spark, str(tmp_path))
+    assert [tuple(r) for r in files.most_turns(counts).collect()] == [("a", 2), ("own", 2), ("b", 0)]
+    assert files.most_turns(counts, 0).count() == 0 and len(files.most_turns(counts, 1).collect()) == 1
+    with pytest.raises(ValueError):
+        files.most_turns(counts, -1)
+    assert files.read_transcripts(spark, str(tmp_path)).where("file_id = 'own'").count() == 2
