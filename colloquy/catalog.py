@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,8 +11,9 @@ from pyspark.sql import functions as F
 from colloquy.functions import clock
 from colloquy.operators import intervals, islands, journal, speakers
 from colloquy.plans import align, documents
+from colloquy.plans.tables import checkpoint_folder
 from colloquy.sources import bindings as b
-from colloquy.sources import files
+from colloquy.sources import audio, files
 
 AUDIO_US, SNAP_US, PAUSE_US, ISLAND_US = 720_000_000, 800_000, 600_000, 24_000_000
 THIRD_MAX, EPS = 0.10, 0.05
@@ -32,6 +34,11 @@ def query(sql: str | None = None):
     return put
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path below the shared folder, for queries that write files and read them again."""
+    return f"{checkpoint_folder(spark)}/colloquy-{name}-{uuid.uuid4().hex}"
+
+
 # Shared pieces of the SQL side.
 EVENTS = "ev AS (SELECT *, date_diff('microsecond', TIMESTAMP '2024-01-01 00:00:00', ts) // 3600 AS t FROM events)"
 WORDS = EVENTS + """, words AS (SELECT user_id AS file_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos, event_type AS word,
@@ -395,3 +402,79 @@ def duration_manifest(spark, sf_dir):
 @query(FILES + " SELECT count(*) FILTER (NOT bad AND d > 0) AS written, count(*) FILTER (bad OR d = 0) AS dropped_zero FROM g")
 def manifest_counts(spark, sf_dir):
     return files.manifest_counts(_audio_files(spark, sf_dir), drop_zero=True)
+
+
+#: The cut flow: words of every segment that the rules leave, with its speaker.
+CUT = (WORDS + "," + SEGS + "," + SHARES + "," + VERDICT + """, okay AS (SELECT file_id, dropped FROM verdict WHERE status = 'OK'),
+  segs_in AS (SELECT segs.* FROM segs JOIN okay USING (file_id)), dropped_in AS (SELECT file_id, dropped AS spk FROM okay WHERE dropped <> ''),""" + REASSIGNED + """,
+  names AS (SELECT file_id, spk, 'Spk' || (row_number() OVER (PARTITION BY file_id ORDER BY share DESC, spk) - 1) AS norm FROM shares JOIN okay USING (file_id) ANTI JOIN dropped_in USING (file_id, spk)),
+  w AS (SELECT file_id, (pos - 1) // 3 + 1 AS seg_ix, pos AS word_ix, word, (pos % 3) * 200000 AS a, (pos % 3) * 200000 + 150000 AS e FROM words),
+  own AS (SELECT w.file_id, seg_ix, row_number() OVER (PARTITION BY w.file_id ORDER BY seg_ix, word_ix) AS pos, word, a + start_us AS start_us, e + start_us AS end_us, n.norm AS spk
+    FROM w JOIN reassigned r USING (file_id, seg_ix) LEFT JOIN names n ON n.file_id = w.file_id AND n.spk = r.spk),""" + turns_sql("own", "built"))
+
+
+@query(CUT + f""", ts AS (SELECT file_id, count(*) AS num_turns, string_agg(speaker || '@' || {_ms("start_us")} || ' ' || text, '|' ORDER BY turn_ix) AS turns FROM built GROUP BY file_id),
+  ws AS (SELECT file_id, count(*) AS num_words, string_agg((seg_ix - 1) || spk, ',' ORDER BY pos) AS words FROM own GROUP BY file_id),
+  sc AS (SELECT file_id, seg_ix, count(*) AS k FROM own GROUP BY ALL),
+  it AS (SELECT r.file_id, string_agg((r.seg_ix - 1) || r.spk || '@' || {_ms("r.start_us")} || '-' || {_ms("r.end_us")} || 'x' || CASE WHEN end_us - start_us <= 22000000 THEN 1 ELSE (end_us - start_us) // 22000000 + 1 END || ':' || coalesce(k, 0), '|' ORDER BY r.seg_ix) AS items
+    FROM reassigned r LEFT JOIN sc ON sc.file_id = r.file_id AND sc.seg_ix = r.seg_ix GROUP BY r.file_id)
+  SELECT v.file_id, CASE WHEN v.status = 'OK' THEN 'SUCCESS' ELSE 'BAD_SAMPLE' END AS status, v.reason, coalesce(ts.turns, '') AS turns, coalesce(num_turns, 0) AS num_turns, coalesce(num_words, 0) AS num_words, coalesce(ws.words, '') AS words, coalesce(it.items, '') AS items
+  FROM verdict v LEFT JOIN ts USING (file_id) LEFT JOIN ws USING (file_id) LEFT JOIN it USING (file_id)""")
+def cut_documents(spark, sf_dir):
+    """The documents of the cut flow, flattened for comparison."""
+    w = b.words(spark, sf_dir).selectExpr("file_id", "(pos - 1) div 3 + 1 AS seg_ix", "pos AS word_ix", "word", "(pos % 3) * 200000 AS start_us", "(pos % 3) * 200000 + 150000 AS end_us")
+    d = documents.documents(w, b.segments(spark, sf_dir), AUDIO_US, RULES, cut_us=22_000_000)
+    text = lambda *parts: F.concat(*(F.lit(p) if isinstance(p, str) else p for p in parts))
+    ms = lambda x: F.round(x * 1000).cast("long").cast("string")
+    joined = lambda name, by, f: F.coalesce(F.array_join(F.transform(name, f), by), F.lit(""))
+    number = lambda x: x.cast("string")
+    return d.select(
+        "file_id", "status", "reason", joined("transcript.turns", "|", lambda t: text(t["speaker"], "@", ms(t["start"]), " ", t["text"])).alias("turns"),
+        *(F.coalesce(f"transcript.stats.{c}", F.lit(0)).alias(c) for c in ("num_turns", "num_words")),
+        joined("meta_asr.words", ",", lambda x: text(number(x["segment_id"]), x["speaker_id"])).alias("words"),
+        joined("meta_asr.asr_batch_items", "|", lambda x: text(number(x["segment_id"]), x["spk"], "@", ms(x["start"]), "-", ms(x["end"]), "x", number(x["num_chunks_after_split"]), ":", number(x["num_words"]))).alias("items"))
+
+
+@query(JOURNAL + ", p AS (SELECT input_path, arg_min(status, line_no) AS a, arg_max(status, line_no) AS z, min(line_no) AS f FROM j GROUP BY input_path) SELECT input_path, CASE WHEN f % 2 = 0 THEN z ELSE a END AS status FROM p")
+def journal_files(spark, sf_dir):
+    """Two runs append to a journal: every path, then some of them again; their last lines, read from the files."""
+    ends = b.journal(spark, sf_dir).groupBy("input_path").agg(F.min_by("status", "line_no").alias("a"), F.max_by("status", "line_no").alias("z"), F.min("line_no").alias("f"))
+    path = scratch(spark, "journal")
+    files.append_journal(ends.select("input_path", F.col("a").alias("status")), path)
+    files.append_journal(ends.where("f % 2 = 0").select("input_path", F.col("z").alias("status")), path)
+    return journal.latest(files.read_journal(spark, path)).select("input_path", "status")
+
+
+@query("d AS (SELECT lang || '/' || doc_id || '.wav' AS path, CASE WHEN doc_id % 3 = 0 THEN doc_id::VARCHAR ELSE 'own' || doc_id END AS id, n_chars / 100.0::DOUBLE AS duration_sec FROM documents) SELECT CASE WHEN path LIKE 'e%' THEN '/' || path ELSE '/audio/' || path END AS path, id, duration_sec FROM d")
+def manifest_files(spark, sf_dir):
+    """Documents play as a manifest that is written as JSON lines, read, and resolved below a folder; empty ids become stems."""
+    d = b.table(spark, sf_dir, "documents").selectExpr("concat(if(lang LIKE 'e%', '/', ''), lang, '/', doc_id, '.wav') AS path", "if(doc_id % 3 = 0, '', concat('own', doc_id)) AS id", "n_chars / 100D AS duration_sec")
+    path = scratch(spark, "manifest")
+    files.write_manifest(d.orderBy("duration_sec", "path"), path)
+    return files.resolved(files.read_manifest(spark, path), "/audio").select("path", "id", "duration_sec")
+
+
+@query("t AS (SELECT 1) SELECT event_id, 'speaker_' || event_id % 3 AS spk, event_id * 1000000 + 500000 AS start_us, (event_id + event_id % 4) * 1000000 + 250000 AS end_us FROM events WHERE event_id % 4 > 0 AND event_id % 5 > 0")
+def segment_lines(spark, sf_dir):
+    """Events play as lines of a diarizer; what is no line or ends before it begins is dropped."""
+    e = b.table(spark, sf_dir, "events").select("event_id", F.expr("if(event_id % 5 = 0, 'no line', concat(' ', event_id, '.5  ', event_id + event_id % 4, '.25 speaker_', event_id % 3))").alias("line"))
+    return e.select("event_id", files.parse_segment_line(F.col("line")).alias("x")).where("x IS NOT NULL").select("event_id", "x.*")
+
+
+@query(SQL["dialog_rows"].removeprefix("WITH RECURSIVE ").replace("SELECT file_id, row_ix, speaker, string_agg", ", out AS (SELECT file_id, row_ix, speaker, string_agg", 1)
+       + ") SELECT file_id, count(DISTINCT row_ix) AS n_rows, count(*) AS n_entries, sum(length(text))::BIGINT AS n_chars FROM out GROUP BY file_id")
+def dialog_files(spark, sf_dir):
+    """Dialog rows written as an array of maps for each dialog, and read again."""
+    path = scratch(spark, "dialogs")
+    files.write_dialogs(islands.dialog_rows(b.turns(spark, sf_dir)), path)
+    read = spark.read.schema("file_id long, rows array<string>").json(path)
+    maps = read.select("file_id", F.posexplode("rows").alias("row_ix", "row")).select("file_id", "row_ix", F.explode(F.from_json("row", "map<string,string>")).alias("speaker", "text"))
+    return maps.groupBy("file_id").agg(F.count_distinct("row_ix").alias("n_rows"), F.count("*").alias("n_entries"), F.sum(F.char_length("text")).alias("n_chars"))
+
+
+@query("s AS (SELECT vec_id, round_even(greatest(-1, least(1, unnest(embedding)))::FLOAT * 32767::FLOAT, 0)::BIGINT AS x FROM embeddings) SELECT vec_id, count(*) / 16000.0::DOUBLE AS duration_sec, sum(x)::BIGINT AS total, max(x) AS top FROM s GROUP BY vec_id")
+def wav_files(spark, sf_dir):
+    """Vectors play as samples that are written as WAV contents, and decoded again."""
+    e = b.table(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("string").alias("path"), F.col("embedding").alias("samples"))
+    x = audio.decode(audio.encode(e)).withColumn("xs", F.transform("samples", lambda v: F.round(v * 32768).cast("long")))
+    return x.select(F.col("path").cast("long").alias("vec_id"), "duration_sec", F.aggregate("xs", F.lit(0).cast("long"), lambda s, v: s + v).alias("total"), F.array_max("xs").alias("top"))

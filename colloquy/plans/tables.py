@@ -4,17 +4,20 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """``df`` computed once and read back from the checkpoint folder, with its partitioning: what follows plans from there.
-
-    The folder is the cluster's (``spark.checkpoint.dir``); only a local session without one gets a temporary folder.
-    """
-    context = df.sparkSession.sparkContext
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The cluster's shared folder (``spark.checkpoint.dir``); only a local session without one gets a temporary folder."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="colloquy-"))
+    return context.getCheckpointDir()
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` computed once and read back from the checkpoint folder, with its partitioning: what follows plans from there."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint()

@@ -38,6 +38,16 @@ def write_wav(samples: np.ndarray) -> bytes:
     return out.getvalue()
 
 
+def encode(audio: DataFrame) -> DataFrame:
+    """(path, samples) -> (path, content): WAV contents."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield pd.DataFrame({"path": frame["path"], "content": [write_wav(np.asarray(x, np.float32)) for x in frame["samples"]]})
+
+    return audio.select("path", "samples").mapInPandas(run, "path string, content binary")
+
+
 def decode(files: DataFrame) -> DataFrame:
     """(path, content) -> (path, samples, duration_sec, reason): what cannot be decoded has its reason, and nulls elsewhere."""
 
