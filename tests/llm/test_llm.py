@@ -546,6 +546,37 @@ def test_near_copies_equal_brute_force(spark, copied):
     assert near_copies.near_copies(rows.limit(0)).count() == 0
 
 
+def test_bitmaps_drop_no_linked_pair(spark):
+    """The bound holds for all pairs of sets, and drops most that are just too far apart."""
+    rng = np.random.default_rng(1)
+    draw = lambda n: rng.integers(0, 1 << 64, n, dtype=np.uint64)
+    rows, alike = [], {}
+    for k in range(600):
+        base = draw(int(rng.choice([1, 4, 9, 150, 400, 6000])))
+        change = int(len(base) * rng.choice([0, 0.05, 0.11, 0.112, 0.15, 0.2]))
+        other = np.concatenate([base[change:], draw(int(change * rng.choice([0, 1, 1, 1])))])
+        one, two = np.unique(base), np.unique(other)
+        common = len(np.intersect1d(one, two))
+        alike[k] = 5 * common >= 4 * (len(one) + len(two) - common), len(one)
+        rows.append((k, len(one), len(two), *(np.frombuffer(near_copies.bitmap(s), np.int64).tolist() for s in (one, two))))
+    df = spark.createDataFrame(rows, "k int, na long, nb long, bits_a array<long>, bits_b array<long>")
+    kept = {r.k for r in df.where(near_copies._fit()).select("k").collect()}
+    linked = {k for k, (yes, _) in alike.items() if yes}
+    far = {k for k, (yes, n) in alike.items() if not yes and n < 1000}
+    assert linked and linked <= kept
+    assert len(far & kept) < 0.3 * len(far)
+
+
+def test_near_copies_in_a_split_band(spark, copied, monkeypatch):
+    """Large bands are compared in blocks, with the same result."""
+    rows = shared.written(copied.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "text"), "test-rows")
+    table = {r.uid: r.text for r in rows.collect()}
+    monkeypatch.setattr(near_copies, "GROUP", 2)
+    got = {r.uid: r.component for r in near_copies.near_copies(rows).collect()}
+    want = dict(zip(table, _near_groups(list(table.values())), strict=True))
+    assert len(set(zip(map(got.get, table), map(want.get, table), strict=True))) == len(set(want.values())) == len(set(got.values()))
+
+
 def test_pipeline_near_stage_equals_brute_force(spark, copied, sf):
     table = [(r.doc_id, r.text) for r in copied.collect()]
     groups = {}
