@@ -577,6 +577,22 @@ def test_near_copies_in_a_split_band(spark, copied, monkeypatch):
     assert len(set(zip(map(got.get, table), map(want.get, table), strict=True))) == len(set(want.values())) == len(set(got.values()))
 
 
+@pytest.mark.parametrize("group", [2, 1000])
+def test_all_pairs_of_split_bands(spark, monkeypatch, group):
+    """Each pair of one band and different roots that fits, once, whatever the blocks."""
+    rng = np.random.default_rng(2)
+    base = rng.integers(0, 1 << 64, 60, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([base[k:], rng.integers(0, 1 << 64, k, dtype=np.uint64)])) for k in range(14)]
+    bits = [np.frombuffer(near_copies.bitmap(s), np.int64) for s in sets]
+    nodes = spark.createDataFrame([(k, len(s), b.tolist()) for k, (s, b) in enumerate(zip(sets, bits, strict=True))], "uid long, n long, bits array<long>")
+    members = [(1, k, min(k, 10), 14) for k in range(14)] + [(2, k, min(k, 10), 5) for k in range(5)]
+    monkeypatch.setattr(near_copies, "GROUP", group)
+    got = near_copies._all_pairs(spark.createDataFrame(members, "key long, node long, root long, size long"), nodes).collect()
+    far = lambda a, b: sum(int(x).bit_count() for x in (bits[a] ^ bits[b]).view(np.uint64).tolist())
+    want = {(a, b) for b in range(14) for a in range(b) if a < 10 and 9 * far(a, b) <= len(sets[a]) + len(sets[b])}
+    assert want and sorted(map(tuple, got)) == sorted(want)
+
+
 def test_pipeline_near_stage_equals_brute_force(spark, copied, sf):
     table = [(r.doc_id, r.text) for r in copied.collect()]
     groups = {}
