@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.llm import bpe, exact_dedup, gam, mixing, quality_rules, sharding, simhash, substring_dedup, toxicity, url_filter
+from colloquy.llm import bpe, exact_dedup, gam, hard_negatives, mixing, periodic_runs, quality_rules, sharding, simhash, substring_dedup, toxicity, url_filter
+from colloquy.llm.shared import WORD
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -80,9 +81,30 @@ def op10_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (_remainder(3) == 1).alias("held_out"), "score", "predicted")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"), F.col("vec_id") % 100 == 0, label=label)
+
+
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """The words of every tenth document by a checksum of its id, from a place on, replaced by repeats of the first few of them."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(f"({WORD})"), F.lit(1))
+    planned = "transform(array(g % size(w)), a -> struct(a AS a, 1 + (size(w) - a) div (3 + g % 8) AS p))[0]"
+    chosen = docs.withColumn("h", h).withColumn("w", F.when(F.col("h") % 10 == 0, words)).withColumn("g", F.expr("h div 10"))
+    chosen = chosen.withColumn("plan", F.when(F.size("w") > 0, F.expr(planned)))
+    repeated = "array_join(transform(sequence(0, size(w) - 1), i -> w[int(if(i < plan.a, i, plan.a + (i - plan.a) % plan.p))]), ' ')"
+    return chosen.withColumn("text", F.when(F.col("plan").isNotNull(), F.expr(repeated)).otherwise(F.col("text"))).drop("h", "w", "g", "plan")
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return periodic_runs.digests(periodic_runs.find_runs(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_bpe, op2_exact_dedup, op3_url_filter, op4_quality_rules, op5_sharding, op6_toxicity, op7_mixing, op8_substring_dedup, op9_simhash, op10_gam)
+    for f in (op1_bpe, op2_exact_dedup, op3_url_filter, op4_quality_rules, op5_sharding, op6_toxicity, op7_mixing, op8_substring_dedup, op9_simhash, op10_gam, op11_hard_negatives, op13_periodic_runs)
 }
 
 EXACT_SQL = r"""
@@ -91,4 +113,4 @@ m AS (SELECT doc_id, t, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) O
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM m
 """
 
-SQL: dict[str, str] = {"op2_exact_dedup": EXACT_SQL, "op7_mixing": mixing.SQL, "op8_substring_dedup": substring_dedup.SQL}
+SQL: dict[str, str] = {"op2_exact_dedup": EXACT_SQL, "op7_mixing": mixing.SQL, "op8_substring_dedup": substring_dedup.SQL, "op11_hard_negatives": hard_negatives.SQL}
