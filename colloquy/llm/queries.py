@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.llm import bpe, exact_dedup, gam, hard_negatives, mixing, periodic_runs, quality_rules, sharding, simhash, substring_dedup, toxicity, url_filter
-from colloquy.llm.shared import WORD
+from colloquy.llm import bpe, exact_dedup, gam, hard_negatives, mixing, periodic_runs, quality_rules, sharding, simhash, substring_dedup, toxicity, url_filter, warc
+from colloquy.llm.shared import WORD, shared_dir
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -86,6 +87,12 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"), F.col("vec_id") % 100 == 0, label=label)
 
 
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    where = f"{shared_dir(spark)}/colloquy/{spark.sparkContext.applicationId}/warc-{uuid.uuid4().hex}"
+    warc.write_warc(_table(spark, sf_dir, "pages").select("page_id", "url", "html"), where)
+    return warc.pages_of(warc.read_warc(spark, where, contents=False)).withColumnRenamed("id", "page_id")
+
+
 def with_repeats(docs: DataFrame) -> DataFrame:
     """The words of every tenth document by a checksum of its id, from a place on, replaced by repeats of the first few of them."""
     h = F.crc32(F.col("doc_id").cast("string"))
@@ -104,7 +111,7 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_bpe, op2_exact_dedup, op3_url_filter, op4_quality_rules, op5_sharding, op6_toxicity, op7_mixing, op8_substring_dedup, op9_simhash, op10_gam, op11_hard_negatives, op13_periodic_runs)
+    for f in (op1_bpe, op2_exact_dedup, op3_url_filter, op4_quality_rules, op5_sharding, op6_toxicity, op7_mixing, op8_substring_dedup, op9_simhash, op10_gam, op11_hard_negatives, op12_warc, op13_periodic_runs)
 }
 
 EXACT_SQL = r"""
@@ -113,4 +120,4 @@ m AS (SELECT doc_id, t, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) O
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM m
 """
 
-SQL: dict[str, str] = {"op2_exact_dedup": EXACT_SQL, "op7_mixing": mixing.SQL, "op8_substring_dedup": substring_dedup.SQL, "op11_hard_negatives": hard_negatives.SQL}
+SQL: dict[str, str] = {"op2_exact_dedup": EXACT_SQL, "op7_mixing": mixing.SQL, "op8_substring_dedup": substring_dedup.SQL, "op11_hard_negatives": hard_negatives.SQL, "op12_warc": warc.SQL}

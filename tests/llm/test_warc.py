@@ -1,0 +1,119 @@
+"""The WARC writer: bytes that do not depend on the layout, roles of records, rolling, commits, and damage."""
+
+import gzip
+import hashlib
+import os
+import random
+
+import pytest
+
+from colloquy.llm import shared, warc
+
+SCHEMA = "page_id long, url string, html string, sha256 string, `Shard` int"
+
+
+def rows_of(seed=1):
+    rng = random.Random(seed)
+    big = "".join(rng.choice("abcdef \n") for _ in range(5000))
+    same = big[:1000]
+    rows = [(k, f"http://h{k % 7}.org/é {k}\r\nx", big[k : k + rng.randint(0, 2500)]) for k in range(150)]
+    rows += [(1000 + k, f"http://copy/{k}", same) for k in range(90)] + [(7, "http://again", same)] * 40 + [(2000, "http://again", same)] * 3
+    rows += [(None, None, same), (None, None, None), (None, None, None), (5, None, ""), (6, "u", big[:999]), (6, "u", big[:999]), (8, "u", big[1:1001]), (8, "u", big[1:1001])]
+    rng.shuffle(rows)
+    return [(*r, "mine", 3) for r in rows]
+
+
+def expected(rows):
+    groups, out = {}, []
+    for i, u, h, *_ in rows:
+        groups.setdefault((h or "").encode(), []).append(i)
+    for h, ids in groups.items():
+        digest = hashlib.sha1(h).hexdigest()
+        top = max((i for i in ids if i is not None), default=None)
+        first = ids.index(top)
+        for k, i in enumerate(ids):
+            revisit = len(h) >= 1000 and k != first
+            out.append((i, len(h), digest, "revisit" if revisit else "response", top if revisit else None))
+    return sorted(out, key=str)
+
+
+def got(spark, where):
+    return sorted((tuple(r) for r in warc.pages_of(warc.read_warc(spark, where, contents=False)).collect()), key=str)
+
+
+def files(where):
+    return {n: open(os.path.join(where, n), "rb").read() for n in sorted(os.listdir(where)) if n.endswith(".gz")}
+
+
+def test_roles_rolling_and_layout(spark, tmp_path, monkeypatch):
+    """Small shards, files and chunks: the result is that of the rows, and all bytes are alike for any order and number of partitions."""
+    monkeypatch.setattr(warc, "CHUNK", 7)
+    rows, made = rows_of(), []
+    for k, n in enumerate((1, 5)):
+        df = spark.createDataFrame(rows if k else sorted(rows, key=str), SCHEMA).repartition(n)
+        where = f"{tmp_path}/{k}"
+        listed = warc.write_warc(df, where, shard=40_000, roll=9_000).orderBy("name").collect()
+        assert got(spark, where) == expected(rows)
+        made.append(files(where))
+        assert [r.name for r in listed] == list(made[k]) and not os.path.exists(f"{where}/_temporary")
+        assert len({r.shard for r in listed}) > 3 and max(r.part for r in listed) > 0 and sum(r.records for r in listed) == len(rows)
+        for r in listed:
+            assert r.bytes == len(made[k][r.name]) and r.sha256 == hashlib.sha256(made[k][r.name]).hexdigest()
+        # Full files end with the record that filled them.
+        assert all(r.bytes < 9_000 + 4_000 for r in listed)
+    assert made[0] == made[1]
+    # Records run on in order from shard to shard, and the text of one archive reads as the standard says.
+    order = [r.id for r in warc.read_warc(spark, where).orderBy("name").collect()]
+    assert sorted(x for x in order if x is not None) == [x for x in order if x is not None]
+    text = gzip.decompress(next(iter(made[0].values())))
+    assert text.startswith(b"WARC/1.1\r\nWARC-Type: warcinfo\r\n") and text.endswith(b"\r\n\r\n") and b"%C3%A9%20" in b"".join(map(gzip.decompress, made[0].values()))
+
+
+def test_payloads_come_back(spark, tmp_path):
+    raw = [(k, f"u{k}", bytearray(bytes(random.Random(k).randrange(256) for _ in range(900 * k)) + b"\r\n\r\n")) for k in range(5)] + [(9, "u9", bytearray(b"x" * 3_000_000))]
+    df = spark.createDataFrame(raw, "page_id long, url string, html binary")
+    warc.write_warc(df, f"{tmp_path}/a")
+    assert {(r.id, bytes(r.payload)) for r in warc.read_warc(spark, f"{tmp_path}/a").collect()} == {(i, bytes(h)) for i, _, h in raw}
+
+
+def test_commits(spark, tmp_path):
+    df = spark.createDataFrame(rows_of(2), SCHEMA)
+    where = f"{tmp_path}/a"
+    # What a run that died has left: an attempt's folder, and a file without a manifest.
+    os.makedirs(f"{where}/_temporary/old")
+    for name in ("_temporary/old/pages-00000-00000.warc.gz", "pages-00000-00000.warc.gz"):
+        open(f"{where}/{name}", "wb").write(b"half")
+    warc.write_warc(df, where)
+    assert got(spark, where) == expected(rows_of(2))
+    with pytest.raises(FileExistsError):
+        warc.write_warc(df, where)
+    name, content = next(iter(files(where).items()))
+    for damaged in (content[:-9], content[:200] + bytes([content[200] ^ 1]) + content[201:], content + content):
+        open(f"{where}/{name}", "wb").write(damaged)
+        with pytest.raises(Exception):
+            got(spark, where)
+
+
+def test_a_task_that_is_run_again(spark, tmp_path):
+    """Two attempts of one task never share a temporary file, and only one's is moved."""
+    one, two = (warc.Files(str(tmp_path), "p", 1000, warc.DATE) for _ in range(2))
+    for files_of in (one, two):
+        files_of.put(0, b"x")
+        files_of.close()
+    a, b = one.take().to_pylist()[0], two.take().to_pylist()[0]
+    assert a["temporary"] != b["temporary"] and a["sha256"] == b["sha256"] and a["name"] == b["name"] == "p-00000-00000.warc.gz"
+
+
+def test_changing_input_is_noticed(spark, tmp_path):
+    """Rows that the second reading lacks are an error, not a lost record."""
+    df = spark.createDataFrame([(k, "u", str(k) * 2000) for k in range(20)], "page_id long, url string, html string")
+    plan, hot, pages = warc._planned(df, "page_id", "url", "html", 1 << 20)
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(warc, "_planned", lambda *a: (plan, hot, pages.where("id != 13")))
+        with pytest.raises(Exception, match="changed"):
+            warc.write_warc(df, f"{tmp_path}/a")
+
+
+def test_empty(spark, tmp_path):
+    df = shared.written(spark.createDataFrame([], SCHEMA), "warc-empty")
+    assert warc.write_warc(df, f"{tmp_path}/a").count() == 0 and got(spark, f"{tmp_path}/a") == []
