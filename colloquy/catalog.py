@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +10,7 @@ from pyspark.sql import functions as F
 from colloquy.functions import clock
 from colloquy.operators import intervals, islands, journal, speakers
 from colloquy.plans import align, documents
-from colloquy.plans.tables import checkpoint_folder
+from colloquy.plans.tables import scratch
 from colloquy.sources import bindings as b
 from colloquy.sources import audio, files
 
@@ -34,11 +33,6 @@ def query(sql: str | None = None):
     return put
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder, for queries that write files and read them again."""
-    return f"{checkpoint_folder(spark)}/colloquy-{name}-{uuid.uuid4().hex}"
-
-
 # Shared pieces of the SQL side.
 EVENTS = "ev AS (SELECT *, date_diff('microsecond', TIMESTAMP '2024-01-01 00:00:00', ts) // 3600 AS t FROM events)"
 WORDS = EVENTS + """, words AS (SELECT user_id AS file_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos, event_type AS word,

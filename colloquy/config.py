@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import json
 import os
-from dataclasses import dataclass, fields, replace
+from dataclasses import asdict, dataclass, fields, replace
 
-#: Keys of sections that would clash, keys that mean something else, and settings that are paths.
+#: Keys of sections that would clash, keys that mean something else, settings that are paths, and modes.
 RENAMED = {("resume", "enabled"): "resume_enabled", ("speaker_rules", "enabled"): "rules_enabled"}
 ELSEWHERE = {("diarizer", "batch_size")}
 PATHS = ("audio_dir", "out_dir", "manifest_path", "transcripts_dir", "meta_asr_dir", "meta_diar_dir")
@@ -41,6 +41,11 @@ class Config:
     meta_asr_dir: str = "meta_asr"
     meta_diar_dir: str = "meta_diar"
     num_instances: int = 1
+    item_files: bool = False
+
+    def json(self) -> str:
+        """All settings, for a journal; there is no secret among them."""
+        return json.dumps(asdict(self), ensure_ascii=False, sort_keys=True)
 
     @classmethod
     def of(cls, given: dict) -> Config:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import os
 import re
 import uuid
 import wave
@@ -10,23 +11,37 @@ from collections.abc import Iterator
 from datetime import datetime, timezone
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from colloquy.functions import SPACE, stem, stripped
+from colloquy.sources.items import write_items
 
 MANIFEST = "path string, id string, duration_sec double"
 TRANSCRIPT = "file_id string, audio_path string, status string, turns array<struct<speaker:string,start:double,`end`:double,text:string>>"
 
 
-def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """(line_no, value): the text reader keeps a file's lines in order and this id grows with it."""
-    return spark.read.text(path).select(F.monotonically_increasing_id().alias("line_no"), "value").where(stripped(F.col("value")) != "")
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, line_no, value) of the lines that are not blank: line_no numbers them from 0, in the order of file names and, within a file, of lines.
+
+    A file's splits are read in parallel and each of them in order, so a line's place is that in its split plus the lines of
+    all splits before it: one row a split is summed, and no line is sorted.
+    """
+    order = ["file", "block"]
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")).where(stripped(F.col("value")) != "")
+    lines = lines.withColumn("at", F.monotonically_increasing_id())
+    splits = lines.groupBy(*order).agg(F.min("at").alias("first"), F.count("*").alias("n"))
+    before = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)  # one row for each split of a file
+    splits = splits.select(*order, (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("start"))
+    return lines.join(splits, order).select("file", (F.col("start") + F.col("at")).alias("line_no"), "value")
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """(source_index, path, id, duration_sec): a path per line in .txt, else JSON lines; an empty id becomes the path's stem."""
-    lines = _lines(spark, path)
+    """(source_index, path, id, duration_sec): a path per line in .txt, else JSON lines; an empty id becomes the path's stem.
+
+    ``path`` is a file or a folder, whose files follow each other by name; source_index numbers the items from 0.
+    """
+    lines = read_lines(spark, path)
     if path.endswith(".txt"):
         rows = lines.select("line_no", stripped(F.col("value")).alias("path"), F.lit(None).cast("string").alias("id"), F.lit(None).cast("double").alias("duration_sec"))
     else:
@@ -55,25 +70,30 @@ def read_journal(spark: SparkSession, path: str) -> DataFrame:
     """(line_no, input_path, status, reason) of an append-only JSON-lines journal; line_no has an order, that of the lines.
 
     Lines say in which run they were written and as which of its lines. Journals without that are in the order of their files'
-    times and, within a file, of its lines.
+    times, which copying may change, then names and, within a file, of its lines.
     """
     fields = "input_path string, status string, reason string, run string, ordinal long"
-    lines = spark.read.text(path).select(F.col("_metadata.file_modification_time").alias("t"), F.monotonically_increasing_id().alias("i"), F.from_json("value", fields).alias("x"))
+    place = F.struct(F.col("_metadata.file_modification_time").alias("time"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    lines = spark.read.text(path).select(place.alias("t"), F.monotonically_increasing_id().alias("i"), F.from_json("value", fields).alias("x"))
     at = F.struct(F.coalesce("x.run", F.lit("")).alias("run"), F.when(F.col("x.run").isNull(), F.col("t")).alias("time"), F.coalesce("x.ordinal", "i").alias("ordinal"))
     return lines.where("x.input_path IS NOT NULL").select(at.alias("line_no"), "x.input_path", "x.status", "x.reason")
 
 
-def append_journal(rows: DataFrame, path: str) -> None:
-    """Appends lines; the configuration is not among them, so no secret is stored. Columns other than these are optional.
+def append_journal(rows: DataFrame, path: str, config: str | None = None) -> dict[str, int]:
+    """Appends a line for every row, and gives the number of lines by status. Columns other than these are optional.
 
-    Each call is a run: its id begins with the time, so ids sort as runs do. Lines without times get the run's, in UTC.
+    Each call is a run: its id begins with the time, so ids sort as runs do. Lines without times get the run's, in UTC. ``config``
+    is the run's configuration as JSON, which must hold no secret. Lines are counted while they are written.
     """
     now = datetime.now(timezone.utc).isoformat(timespec="microseconds")
     own = ["input_path", "id", "started_at", "finished_at", "status", "reason", "shares", "speakers"]
     stamps = {c: F.coalesce(*([F.col(c)] if c in rows.columns else []), F.lit(now)) for c in ("started_at", "finished_at")}
     rows = rows.withColumns(stamps)
-    lines = rows.select(F.lit(f"{now}-{uuid.uuid4().hex[:8]}").alias("run"), F.monotonically_increasing_id().alias("ordinal"), *(c for c in own if c in rows.columns))
-    lines.write.mode("append").json(path)
+    more = [F.from_json(F.lit(config), F.schema_of_json(F.lit(config))).alias("config")] if config else []
+    lines = rows.select(F.lit(f"{now}-{uuid.uuid4().hex[:8]}").alias("run"), F.monotonically_increasing_id().alias("ordinal"), *(c for c in own if c in rows.columns), *more)
+    seen = Observation()
+    lines.observe(seen, *(F.count_if(F.col("status") == s).alias(s) for s in STATES)).write.mode("append").json(path)
+    return {s: n for s, n in sorted(seen.get.items()) if n}
 
 
 def read_transcripts(spark: SparkSession, path: str) -> DataFrame:
@@ -98,23 +118,30 @@ def most_turns(counts: DataFrame, limit: int | None = None) -> DataFrame:
     return ordered if limit is None else ordered.limit(limit)
 
 
-#: The documents of a successful item, by column and folder.
+#: An item's states, and the documents of a successful item, by column and folder.
+STATES = ("SUCCESS", "BAD_SAMPLE", "FAILED", "SKIPPED")
 OUTPUTS = {"transcript": "transcripts", "meta_asr": "meta_asr", "meta_diar": "meta_diar"}
 
 
-def write_results(results: DataFrame, folder: str, places: dict[str, str] | None = None) -> None:
+def write_results(results: DataFrame, folder: str, places: dict[str, str] | None = None, config: str | None = None, item_files: bool = False) -> dict[str, int]:
     """A SUCCESS row's documents, those of OUTPUTS that are columns, under their folders or those of ``places``; every row's status in ``journal``.
 
+    Documents are JSON lines in part files or, with ``item_files``, a file for each item and output (see ``colloquy.sources.items``).
     BAD_SAMPLE lines carry shares and speakers, where there is a meta_diar. The frame is evaluated once for each output: write
-    model results to a table first. A commit covers one output; the journal comes last, so what it names exists.
+    model results to a table first. A commit covers one output, or with ``item_files`` all of them; the journal comes last, so what
+    it names exists. Gives the number of rows by status.
     """
-    for column, name in OUTPUTS.items():
-        if column in results.columns:
-            results.where("status = 'SUCCESS'").select("id", f"{column}.*").write.mode("append").json((places or {}).get(column) or f"{folder}/{name}")
+    folders = {column: (places or {}).get(column) or f"{folder}/{name}" for column, name in OUTPUTS.items() if column in results.columns}
+    good = results.where("status = 'SUCCESS'")
+    if item_files:
+        write_items(good, {c: os.path.relpath(p, folder) for c, p in folders.items()}, folder)
+    else:
+        for column, place in folders.items():
+            good.select("id", f"{column}.*").write.mode("append").json(place)
     if "meta_diar" in results.columns:
         bad = F.col("status") == "BAD_SAMPLE"
         results = results.withColumns({c: F.when(bad, F.col(f"meta_diar.{c}")) for c in ("shares", "speakers")})
-    append_journal(results, f"{folder}/journal")
+    return append_journal(results, f"{folder}/journal", config)
 
 
 def duration_manifest(files: DataFrame, drop_zero: bool = False) -> DataFrame:
