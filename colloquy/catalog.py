@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colloquy.functions import clock
+from colloquy.models import Stage
 from colloquy.operators import intervals, islands, journal, speakers
-from colloquy.plans import align, documents
+from colloquy.operators.batches import Batches, padded
+from colloquy.plans import align, documents, recognise
 from colloquy.plans.tables import scratch
 from colloquy.sources import bindings as b
 from colloquy.sources import audio, files
@@ -472,3 +474,72 @@ def wav_files(spark, sf_dir):
     e = b.table(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("string").alias("path"), F.col("embedding").alias("samples"))
     x = audio.decode(audio.encode(e)).withColumn("xs", F.transform("samples", lambda v: F.round(v * 32768).cast("long")))
     return x.select(F.col("path").cast("long").alias("vec_id"), "duration_sec", F.aggregate("xs", F.lit(0).cast("long"), lambda s, v: s + v).alias("total"), F.array_max("xs").alias("top"))
+
+
+#: Eight vectors play as a file of samples; every four of them are a frame whose label is the place of the first largest; label 3 is blank.
+HEARD = """au AS (SELECT vec_id // 8 AS file_id, flatten(list(embedding ORDER BY vec_id)) AS xs FROM embeddings GROUP BY ALL),
+  ln AS (SELECT file_id, xs, len(xs) AS n, len(xs) * 1000000 // 16000 AS total FROM au)"""
+WORDS_OF_CHUNKS = """cs AS (SELECT *, (a * 32000 + 1000000) // 2000000 AS s0, least((b * 32000 + 1000000) // 2000000, n) AS s1 FROM bd),
+  cf AS (SELECT *, (s1 - s0) // 4 AS frames FROM cs WHERE s1 > s0),
+  ft AS (SELECT *, unnest(range(0, frames)) AS t FROM cf),
+  fl AS (SELECT file_id, k, a, b, frames, t, list_position(list_slice(xs, s0 + 4 * t + 1, s0 + 4 * t + 4), list_max(list_slice(xs, s0 + 4 * t + 1, s0 + 4 * t + 4))) - 1 AS label FROM ft),
+  fr AS (SELECT *, sum(CASE WHEN before IS NULL OR before <> label THEN 1 ELSE 0 END) OVER (PARTITION BY file_id, k ORDER BY t) AS run FROM (SELECT *, lag(label) OVER (PARTITION BY file_id, k ORDER BY t) AS before FROM fl)),
+  sp AS (SELECT file_id, k, a, b, frames, run, any_value(label) AS label, min(t) AS t0, max(t) + 1 AS t1 FROM fr WHERE label <> 3 GROUP BY ALL),
+  si AS (SELECT *, sum(CASE WHEN label = 2 THEN 1 ELSE 0 END) OVER (PARTITION BY file_id, k ORDER BY run) AS island FROM sp),
+  sw AS (SELECT file_id, k, a, b, frames, island, string_agg(CASE label WHEN 0 THEN 'a' ELSE 'b' END, '' ORDER BY run) AS word, min(t0) AS t0, max(t1) AS t1 FROM si WHERE label <> 2 GROUP BY ALL),
+  hw AS (SELECT file_id, row_number() OVER (PARTITION BY file_id ORDER BY k, island) AS pos, word, a + t0 * (b - a) // frames AS start_us, a + t1 * (b - a) // frames AS end_us FROM sw)"""
+
+
+def _samples(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    one = F.sort_array(F.collect_list(F.struct("vec_id", "embedding")))
+    audio_of = b.table(spark, sf_dir, "embeddings").groupBy(F.expr("vec_id div 8").alias("file_id")).agg(F.flatten(F.transform(one, lambda x: x["embedding"])).alias("samples"))
+    return audio_of, audio_of.select("file_id", F.expr("size(samples) * 1000000L div 16000").alias("total_us"))
+
+
+def _loudest() -> Callable:
+    """A stand-in for a model: a chunk's frames are four samples each, and a frame's label is the place of its first largest."""
+
+    def run(batch):
+        import pandas as pd
+
+        x, n = padded(list(batch["samples"]))
+        labels = x[:, : x.shape[1] // 4 * 4].reshape(len(x), -1, 4).argmax(axis=2)
+        return pd.DataFrame({"chunk": batch["chunk"].to_numpy(), "labels": list(labels), "frames": n // 4})
+
+    return run
+
+
+def _recognised(audio_of: DataFrame, bounds: DataFrame) -> DataFrame:
+    heard = recognise.recognised(audio_of, bounds, Stage(_loudest, recognise.LABELS), recognise.Alphabet(("a", "b", "|"), 3), Batches("n_samples", 4096, 64), 600, 100)
+    return heard.words
+
+
+@query(HEARD + ", bd AS (SELECT file_id, xs, n, k, k * 4000 AS a, least(total, k * 4000 + 6000) AS b FROM (SELECT *, unnest(range(0, greatest(0, ceil((total - 6000) / 4000.0))::BIGINT + 1)) AS k FROM ln)), " + WORDS_OF_CHUNKS + """,
+  st AS (SELECT file_id, pos, word, start_us, end_us, pos AS kp, start_us AS ks, end_us AS ke FROM hw WHERE pos = 1
+    UNION ALL SELECT w.file_id, w.pos, w.word, w.start_us, w.end_us,
+      CASE WHEN w.word = f.word AND (abs(w.start_us - f.ks) < 600 OR abs(w.end_us - f.ke) < 100) THEN f.kp ELSE w.pos END,
+      CASE WHEN w.word = f.word AND (abs(w.start_us - f.ks) < 600 OR abs(w.end_us - f.ke) < 100) THEN f.ks ELSE w.start_us END,
+      CASE WHEN w.word = f.word AND abs(w.start_us - f.ks) < 600 THEN greatest(f.ke, w.end_us) WHEN w.word = f.word AND abs(w.end_us - f.ke) < 100 THEN f.ke ELSE w.end_us END
+    FROM st f JOIN hw w ON w.file_id = f.file_id AND w.pos = f.pos + 1)
+  SELECT file_id, kp AS pos, any_value(word) AS word, any_value(ks) AS start_us, max(ke) AS end_us FROM st GROUP BY file_id, kp""")
+def recognise_fixed(spark, sf_dir):
+    """Samples in chunks of a fixed length that overlap, in batches over all files, to words that are stitched."""
+    audio_of, lengths = _samples(spark, sf_dir)
+    return _recognised(audio_of, recognise.fixed_bounds(lengths, 6_000, 2_000))
+
+
+@query(HEARD + """, vp AS (SELECT file_id, total, 2000 * j AS x, 2000 * j + 2000 AS y FROM (SELECT *, unnest(range(0, n // 32)) AS j FROM ln) WHERE xs[32 * j + 1] > 0),
+  vm AS (SELECT *, sum(CASE WHEN before = x THEN 0 ELSE 1 END) OVER (PARTITION BY file_id ORDER BY x) AS run FROM (SELECT *, lag(y) OVER (PARTITION BY file_id ORDER BY x) AS before FROM vp)),
+  u AS (SELECT file_id, row_number() OVER (PARTITION BY file_id ORDER BY run) AS k, min(x) AS x, least(max(y), any_value(total)) AS y FROM vm GROUP BY file_id, run),
+  f AS (SELECT file_id, k, 0 AS c, 0::BIGINT AS a, y AS e, false AS cut, 0::BIGINT AS pa, 0::BIGINT AS pb FROM u WHERE k = 1
+    UNION ALL SELECT u.file_id, u.k, CASE WHEN z THEN f.c + 1 ELSE f.c END, CASE WHEN z THEN u.x ELSE f.a END, u.y, z, f.a, f.e
+      FROM f JOIN u ON u.file_id = f.file_id AND u.k = f.k + 1, LATERAL (SELECT f.e - f.a > 100 AND (u.y - f.a > 9000 OR f.e - f.a > 6000) AS z)),
+  pc AS (SELECT file_id, c - 1 AS c, pa AS a, pb AS b FROM f WHERE cut UNION ALL SELECT file_id, c, a, e FROM f WHERE e - a > 100 QUALIFY row_number() OVER (PARTITION BY file_id ORDER BY k DESC) = 1 AND k = (SELECT max(k) FROM u WHERE u.file_id = f.file_id)),
+  pn AS (SELECT *, CASE WHEN b - a > 12000 THEN (b - a) // 12000 + 1 ELSE 1 END AS m FROM pc), pp AS (SELECT *, unnest(range(0, m)) AS part FROM pn),
+  bd AS (SELECT pp.file_id, xs, n, pp.c * 1000 + part AS k, a + (b - a) * part // m AS a, a + (b - a) * (part + 1) // m AS b FROM pp JOIN ln USING (file_id)), """ + WORDS_OF_CHUNKS + " SELECT * FROM hw")
+def recognise_packed(spark, sf_dir):
+    """Samples in chunks packed from speech, where the first of 32 samples is above 0, to words."""
+    audio_of, lengths = _samples(spark, sf_dir)
+    at = F.explode(F.filter(F.sequence(F.lit(0), F.expr("size(samples) div 32 - 1")), lambda j: F.get("samples", 32 * j) > 0)).alias("j")
+    speech = audio_of.where("size(samples) >= 32").select("file_id", at).selectExpr("file_id", "j * 2000L AS start_us", "j * 2000L + 2000 AS end_us")
+    return _recognised(audio_of, recognise.packed_bounds(speech, lengths, max_us=9_000, min_us=6_000, strict_us=12_000, least_us=100))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from colloquy.operators.scans import scanned
+
 
 def numbered(segments: DataFrame) -> DataFrame:
     """Adds seg_ix from 1 in the order (start, end, speaker)."""
@@ -137,21 +139,28 @@ def reassign_dropped(segments: DataFrame, dropped: DataFrame) -> DataFrame:
     return numbered(out)
 
 
-def pack_chunks(intervals: DataFrame, max_us: int = 22_000_000, min_us: int = 15_000_000, strict_us: int = 30_000_000, least_us: int = 200_000) -> DataFrame:
+def pack_chunks(intervals: DataFrame, max_us: int = 22_000_000, min_us: int = 15_000_000, strict_us: int = 30_000_000, least_us: int = 200_000, lengths: DataFrame | None = None) -> DataFrame:
     """(file_id, chunk_ix, part_ix, start_us, end_us) from merged speech intervals, in order.
 
     A chunk closes before an interval that would make it longer than ``max_us``, or once it is longer than ``min_us``; it
     starts at 0 in a file, and later at its first interval. Chunks over ``strict_us`` are cut into equal parts, with ends
-    rounded down to whole microseconds; one of at most ``least_us`` that would be the last is dropped. One file's intervals
-    are folded in order inside the JVM.
+    rounded down to whole microseconds; one of at most ``least_us`` that would be the last is dropped. With ``lengths`` (file_id,
+    total_us) intervals end where their file's audio does at the latest.
     """
-    files = intervals.groupBy("file_id").agg(F.array_sort(F.collect_list(F.struct("start_us", "end_us"))).alias("xs"))
-    state = "named_struct('a', 0L, 'b', 0L, 'd', 0L, 'out', cast(array() as array<struct<a:bigint,b:bigint>>))"
-    fold = f"""aggregate(xs, {state}, (s, x) -> if(s.d > {least_us} and (s.d + x.end_us - s.b > {max_us} or s.d > {min_us}),
-            named_struct('a', greatest(0L, x.start_us), 'b', x.end_us, 'd', x.end_us - greatest(0L, x.start_us), 'out', array_append(s.out, named_struct('a', s.a, 'b', s.b))),
-            named_struct('a', s.a, 'b', x.end_us, 'd', x.end_us - s.a, 'out', s.out)),
-        s -> if(s.d > {least_us}, array_append(s.out, named_struct('a', s.a, 'b', s.b)), s.out))"""
-    chunks = files.select("file_id", F.posexplode(F.expr(fold)).alias("chunk_ix", "c")).select("file_id", "chunk_ix", "c.*")
+    if lengths is not None:
+        intervals = intervals.join(lengths.select("file_id", "total_us"), "file_id").withColumn("end_us", F.least("end_us", "total_us"))
+
+    def step(state: tuple[int, int, int] | None, values: tuple) -> tuple[tuple[int, int, int], tuple]:
+        chunk, a, b = state or (0, 0, 0)
+        start, end = values
+        if b - a > least_us and (end - a > max_us or b - a > min_us):
+            chunk, a = chunk + 1, max(0, start)
+        return (chunk, a, end), (chunk, a)
+
+    each = scanned(intervals.select("file_id", "start_us", "end_us"), "file_id", ["start_us", "end_us"], ["start_us", "end_us"], step, "chunk_ix int, a long")
+    chunks = each.groupBy("file_id", "chunk_ix", "a").agg(F.max_by("end_us", F.struct("start_us", "end_us")).alias("b"))
+    # Only the last chunk of a file can be as short as this: others were closed because they were longer.
+    chunks = chunks.where(F.col("b") - F.col("a") > least_us)
     n = F.when(F.col("b") - F.col("a") > strict_us, F.expr(f"(b - a) div {strict_us} + 1")).otherwise(1)
     parts = chunks.withColumn("n", n).withColumn("part_ix", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n").cast("long") - 1)))
     return parts.select("file_id", "chunk_ix", "part_ix", F.expr("a + (b - a) * part_ix div n").alias("start_us"), F.expr("a + (b - a) * (part_ix + 1) div n").alias("end_us"))

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from colloquy.functions import stripped
+from colloquy.operators.scans import scanned
 
 
 def _by(*keys: str):
@@ -37,15 +38,17 @@ def merge_adjacent(turns: DataFrame) -> DataFrame:
 def dialog_rows(turns: DataFrame) -> DataFrame:
     """(file_id, row_ix, speaker, text): a row of a dialog ends before a speaker who already is in it, if it has two or more.
 
-    The row of a turn depends on all turns before it, so one dialog's turns are folded in order inside the JVM.
+    The row of a turn depends on all turns before it; one dialog's turns are gone through in order, with the row's speakers as state.
     """
-    merged = merge_adjacent(turns).groupBy("file_id").agg(F.array_sort(F.collect_list(F.struct("run", "speaker", "text"))).alias("turns"))
-    fold = """aggregate(turns, named_struct('row', 0, 'here', cast(array() as array<string>), 'out', cast(array() as array<int>)),
-        (s, t) -> if(array_contains(s.here, t.speaker) and size(s.here) >= 2,
-            named_struct('row', s.row + 1, 'here', array(t.speaker), 'out', array_append(s.out, s.row + 1)),
-            named_struct('row', s.row, 'here', array_union(s.here, array(t.speaker)), 'out', array_append(s.out, s.row))), s -> s.out)"""
-    each = merged.select("file_id", F.explode(F.arrays_zip("turns", F.expr(fold).alias("row_ix"))).alias("z"))
-    each = each.select("file_id", "z.row_ix", "z.turns.run", "z.turns.speaker", "z.turns.text")
+
+    def step(state: tuple[int, set] | None, values: tuple) -> tuple[tuple[int, set], tuple]:
+        row, here = state or (0, set())
+        if values[0] in here and len(here) >= 2:
+            row, here = row + 1, set()
+        here.add(values[0])
+        return (row, here), (row,)
+
+    each = scanned(merge_adjacent(turns).select("file_id", "run", "speaker", "text"), "file_id", ["run"], ["speaker"], step, "row_ix int")
     return each.groupBy("file_id", "row_ix", "speaker").agg(ordered_text("run", "text").alias("text"))
 
 
@@ -89,15 +92,20 @@ def smooth_islands(words: DataFrame, max_words: int, max_us: int) -> DataFrame:
 
 def stitch_words(words: DataFrame, max_gap_us: int = 250_000, same_end_us: int = 1_000) -> DataFrame:
     """Words without those that repeat the last kept one: the same word starting within the gap extends its end; the same
-    word ending within ``same_end_us`` goes. Only equal neighbours can interact, so a fold runs inside each run of one word."""
-    w = _by("file_id").orderBy("pos")
-    runs = run_ids(words.withColumn("_b", F.lag("word").over(w)), "file_id", "pos", F.col("_b").isNull() | (F.col("_b") != F.col("word")))
-    groups = runs.groupBy("file_id", "run", "word").agg(F.array_sort(F.collect_list(F.struct("pos", "start_us", "end_us"))).alias("xs"))
-    fold = f"""aggregate(slice(xs, 2, size(xs)), array(xs[0]), (out, x) ->
-        if(abs(x.start_us - element_at(out, -1).start_us) < {max_gap_us},
-            array_append(slice(out, 1, size(out) - 1), named_struct('pos', element_at(out, -1).pos, 'start_us', element_at(out, -1).start_us, 'end_us', greatest(element_at(out, -1).end_us, x.end_us))),
-            if(abs(x.end_us - element_at(out, -1).end_us) < {same_end_us}, out, array_append(out, x))))"""
-    return groups.select("file_id", "word", F.explode(F.expr(fold)).alias("k")).select("file_id", "k.pos", "word", "k.start_us", "k.end_us")
+    word ending within ``same_end_us`` goes. (file_id, pos, word, start_us, end_us) of the words kept."""
+
+    def step(state: tuple | None, values: tuple) -> tuple[tuple, tuple]:
+        pos, word, start, end = values
+        if state and word == state[1]:
+            if abs(start - state[2]) < max_gap_us:
+                return (*state[:3], max(state[3], end)), (state[0], end)
+            if abs(end - state[3]) < same_end_us:
+                return state, (state[0], None)
+        return values, (pos, end)
+
+    kept = scanned(words.select("file_id", "pos", "word", "start_us", "end_us"), "file_id", ["pos"], ["pos", "word", "start_us", "end_us"], step, "kept long, reach long")
+    return kept.groupBy("file_id", F.col("kept").alias("pos")).agg(
+        F.min_by("word", kept["pos"]).alias("word"), F.min_by("start_us", kept["pos"]).alias("start_us"), F.max("reach").alias("end_us"))
 
 
 def collapse(labels: Column, blank: int) -> Column:

@@ -14,6 +14,7 @@ from colloquy.models import Stage, apply
 from colloquy.operators import journal
 from colloquy.plans.align import Rules, ruled_segments
 from colloquy.plans.documents import documents
+from colloquy.plans.recognise import Chunked
 from colloquy.plans.tables import settled
 from colloquy.sources import files
 from colloquy.sources.items import item_ids, recover
@@ -70,10 +71,11 @@ def _lost(asked: DataFrame, answered: DataFrame) -> DataFrame:
     return asked.select("input_path").join(answered.select("input_path"), "input_path", "left_anti").select("input_path", F.lit("no result").alias("reason"))
 
 
-def results_of(items: DataFrame, c: Config, diarize: Stage, recognise: Stage, tell: Tell | None = None) -> DataFrame:
+def results_of(items: DataFrame, c: Config, diarize: Stage, recognise: Stage | Chunked, tell: Tell | None = None) -> DataFrame:
     """(input_path, id, source_index, status, reason, times, transcript, meta_asr, meta_diar) of every item: SUCCESS, BAD_SAMPLE or FAILED.
 
-    ``diarize`` gets input_path and id, ``recognise`` also segments (of the rules, in the cut flow; else null). An item that
+    ``diarize`` gets input_path and id, ``recognise`` also segments (of the rules, in the cut flow; else null); a ``Chunked``
+    recogniser gets samples in chunks by the settings' lengths and overlaps. An item that
     either fails on, or gives no result for, is FAILED with that reason; the others go on. Every item has exactly one row.
     """
     told = _staged(items, replace(diarize, name="diarize"), c.chunk_batch_size, tell)
@@ -88,7 +90,12 @@ def results_of(items: DataFrame, c: Config, diarize: Stage, recognise: Stage, te
     parts = ruled.kept.groupBy(F.col("file_id").alias("input_path")).agg(F.array_sort(F.collect_list(one)).alias("segments"))
     asked = asked.join(parts, "input_path", "left") if cut else asked.withColumn("segments", F.lit(None).cast(parts.schema["segments"].dataType))
     asked = settled(asked)
-    heard = _staged(asked, replace(recognise, name="recognise"), c.chunk_batch_size, tell)
+    if isinstance(recognise, Chunked):
+        heard = recognise.words(asked, c)
+        if tell:
+            tell("recognise", {r.status: r["count"] for r in heard.groupBy("status").count().collect()})
+    else:
+        heard = _staged(asked, replace(recognise, name="recognise"), c.chunk_batch_size, tell)
     words = heard.where("status = 'SUCCESS'").select(F.col("input_path").alias("file_id"), F.posexplode("words").alias("pos", "w")).select("file_id", F.col("pos").cast("long").alias("pos"), "w.*")
     words = words.withColumnRenamed("pos", "word_ix") if cut else words.drop("seg_ix")
     made = documents(words, segments, lengths, rules, round(c.segment_max_sec * 1_000_000) if cut else None, lengths.select("file_id"), ruled)
@@ -105,7 +112,7 @@ def results_of(items: DataFrame, c: Config, diarize: Stage, recognise: Stage, te
     return done.select(*items.columns, F.when(broken, "FAILED").otherwise(F.col("status")).alias("status"), F.coalesce("why", "reason").alias("reason"), "started_at", "finished_at", *(v.alias(k) for k, v in named.items()))
 
 
-def run(spark: SparkSession, c: Config, diarize: Stage, recognise: Stage, tell: Tell | None = None) -> Row:
+def run(spark: SparkSession, c: Config, diarize: Stage, recognise: Stage | Chunked, tell: Tell | None = None) -> Row:
     """Works on what is pending, writes documents and journal below ``c.out_dir``, and returns the summary of all inputs.
 
     The journal's lines are in the order of the inputs. The summary counts the lines as they are written; ``tell`` hears of each step.
