@@ -2,8 +2,13 @@
 
 Per host, path segments that vary (numbers, long hexadecimal or mixed names; then, by counts, rare children of a node with
 many children) become wildcards, and sibling branches whose labelled shares do not differ by more than chance are merged.
-A template is rejected if its share of bad labels, smoothed by those of its ancestors, reaches a threshold. Counts are DataFrame
-aggregations over (host, template), and hot keys are joined by broadcast, so nothing gathers a host or a template in one task.
+A template is rejected if its share of bad labels, smoothed by those of its ancestors, reaches a threshold; to an ancestor
+each of its labelled branches counts once, however many urls are in it, so one branch decides nothing about its siblings.
+
+All nodes of all depths are settled together: urls become lines, one for each prefix of their path, and prefixes are told apart by
+two 64-bit hashes that run along the path, so a url costs its length. The number of jobs does not depend on how deep paths are.
+Counts are DataFrame aggregations over (host, prefix), and hot keys are joined by broadcast, so nothing gathers a host or a
+template in one task.
 """
 
 from __future__ import annotations
@@ -23,7 +28,8 @@ RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com"
 class Settings:
     """many and rare: a node with over ``many`` children makes those below a ``rare`` share of its urls a wildcard; z: standard
     errors within which siblings merge; prior_bad of prior_n: the smoothing at a host, and prior_n its weight further down;
-    reject: the least smoothed share of bad labels of a rejected template."""
+    reject: the least smoothed share of bad labels of a rejected template; passes: how often the tree is generalised, each
+    time from what the pass before has made of it."""
 
     many: int = 12
     rare: float = 0.05
@@ -31,6 +37,7 @@ class Settings:
     prior_bad: float = 1.0
     prior_n: float = 4.0
     reject: float = 0.75
+    passes: int = 2
 
 
 def host_of(url: Column) -> Column:
@@ -64,69 +71,65 @@ def segments(path: Column) -> Column:
     return F.transform(F.split(F.regexp_replace(path, "^/", ""), "/"), general)
 
 
-def _with(shape: Column, k: int, value: Column) -> Column:
-    return F.transform(shape, lambda x, i: F.when(i == k, value).otherwise(x))
+#: The running hashes of a path's prefixes, from that of no segment on: an array of (h1, h2), one longer than the path.
+_PREFIXES = """aggregate(shape, array(named_struct('h1', 17L, 'h2', 31L)), (hs, x) ->
+    array_append(hs, named_struct('h1', xxhash64(element_at(hs, -1).h1, x), 'h2', xxhash64(x, element_at(hs, -1).h2))))"""
+
+
+def _lines(paths: DataFrame, *columns: str) -> DataFrame:
+    """A line for each segment of each path: its number k, how it was written, the node that ends with it, and the node before that."""
+    at = F.explode(F.transform(F.sequence(F.lit(1), F.size("shape")), lambda k: F.struct((k - 1).alias("k"), F.element_at("raw", k).alias("segment"), F.element_at("hs", k).alias("parent"), F.element_at("hs", k + 1).alias("node"))))
+    return paths.withColumn("hs", F.expr(_PREFIXES)).select("host", *columns, at.alias("x")).select("host", *columns, "x.*")
 
 
-def _level(paths: DataFrame, k: int, total: int, s: Settings) -> DataFrame:
-    """Paths with over ``k`` segments, (host, raw, n, bad, good, shape), with that segment of their shape settled."""
-    # Children of a node: rare ones of many become a wildcard.
-    paths = paths.withColumns({"parent": F.slice("shape", 1, k), "child": F.get("shape", F.lit(k))})
-    kids = written(paths.groupBy("host", "parent", "child").agg(F.sum("n").alias("urls"), F.count("*").alias("n")), "url-kids")
-    node = written(kids.groupBy("host", "parent").agg(F.sum("urls").alias("all"), F.count("*").alias("kids")).withColumn("n", F.col("kids")), "url-nodes")
+def _general(paths: DataFrame, s: Settings) -> DataFrame:
+    """Paths (host, raw, n, bad, good, path, shape) with the shapes that one pass over the tree gives them."""
+    lines = written(_lines(paths, "path", "n", "bad", "good"), "url-lines")
+    nodes = lines.groupBy("host", "parent", "node").agg(F.sum("n").alias("urls"), F.sum("bad").alias("b"), F.sum("good").alias("g"), F.count("*").alias("lines"))
+    nodes = written(nodes.withColumn("m", F.col("b") + F.col("g")), "url-nodes")
+    family = nodes.groupBy("host", "parent").agg(F.sum("urls").alias("all"), F.count("*").alias("n"), F.sum("b").alias("bs"), F.sum("m").alias("ms"), F.count_if(F.col("m") > 0).alias("labelled"))
+    judged = spread_join(nodes, written(family.withColumn("kids", F.col("n")), "url-families"), ["host", "parent"])
+    # Rare children of many become a wildcard, and so do branches that are labelled alike, within chance.
     wild = (F.col("kids") > s.many) & (F.col("urls") < s.rare * F.col("all"))
-    wild = spread_join(kids.withColumnRenamed("n", "paths"), node, ["host", "parent"], total=total).select("host", "parent", "child", F.col("paths").alias("n_paths"), wild.alias("wild"))
-    paths = spread_join(paths, written(wild, "url-wild"), ["host", "parent", "child"], "n_paths", total)
-    shape = F.when(F.col("wild"), _with(F.col("shape"), k, F.lit("*"))).otherwise(F.col("shape"))
-    paths = written(paths.withColumn("shape", shape).drop("parent", "child", "wild"), "url-paths")
-    # Branches that differ in this segment alone: those labelled alike, within chance, are one.
-    family = F.array_join(_with(F.col("shape"), k, F.lit("\x00")), "/")
-    paths = paths.withColumns({"family": family, "child": F.get("shape", F.lit(k))})
-    branch = written(paths.groupBy("host", "family", "child").agg(F.sum("bad").alias("b"), F.sum("good").alias("g"), F.count("*").alias("n_paths")), "url-branches")
-    labelled = F.col("b") + F.col("g")
-    pool = branch.groupBy("host", "family").agg(F.sum("b").alias("bs"), F.sum(labelled).alias("m"), F.count_if(labelled > 0).alias("kids"), F.count("*").alias("n"))
-    own = (F.col("b") + s.prior_bad) / (labelled + s.prior_n)
-    all_of = (F.col("bs") + s.prior_bad) / (F.col("m") + s.prior_n)
-    alike = (labelled > 0) & (F.col("kids") > 1) & (F.abs(own - all_of) <= s.z * F.sqrt(all_of * (1 - all_of) / F.greatest(labelled, F.lit(1))))
-    alike = spread_join(branch, written(pool, "url-pools"), ["host", "family"], total=total).select("host", "family", "child", "n_paths", alike.alias("alike"))
-    paths = spread_join(paths, written(alike, "url-alike"), ["host", "family", "child"], "n_paths", total)
-    shape = F.when(F.col("alike"), _with(F.col("shape"), k, F.lit("*"))).otherwise(F.col("shape"))
-    return paths.withColumn("shape", shape).drop("family", "child", "alike")
-
-
-def _merged(paths: DataFrame, s: Settings) -> DataFrame:
-    """(host, raw, n, bad, good, shape): the template of each (host, raw segments), a level of the tree at a time, as deep as it is."""
-    paths = paths.withColumn("shape", F.col("raw"))
-    total, depth = paths.agg(F.count("*"), F.coalesce(F.max(F.size("raw")), F.lit(0))).first()
-    for k in range(depth):
-        deep = _level(paths.where(F.size("shape") > k), k, total, s)
-        paths = written(deep.unionByName(paths.where(F.size("shape") <= k)), f"url-level{k}")
-    return paths
+    own, pool = F.col("b") / F.greatest(F.col("m"), F.lit(1)), (F.col("bs") + s.prior_bad) / (F.col("ms") + s.prior_n)
+    alike = (F.col("m") > 0) & (F.col("labelled") > 1) & (F.abs(own - pool) <= s.z * F.sqrt(pool * (1 - pool) / F.greatest(F.col("m"), F.lit(1))))
+    starred = written(judged.where(wild | alike).select("host", "node", F.col("lines").alias("n")), "url-wild")
+    places = spread_join(lines.select("host", "path", "k", "node"), starred, ["host", "node"]).groupBy("path").agg(F.collect_set("k").alias("wild"))
+    shape = F.transform("shape", lambda x, i: F.when(F.array_contains("wild", i), F.lit("*")).otherwise(x))
+    return written(paths.join(places, "path", "left").withColumn("shape", F.when(F.col("wild").isNull(), F.col("shape")).otherwise(shape)).drop("wild"), "url-paths")
 
 
 def _shares(tree: DataFrame, s: Settings) -> DataFrame:
     """(host, shape, bad_share, n): a template's share of bad labels, smoothed by that of its parent, and so on up to the host.
 
-    A node without labels of its own therefore has the share of its nearest ancestor that has some; without any, the prior.
+    A template counts its own labelled urls. A node above it counts its labelled branches, each once, by the share of bad
+    labels in it; branches that were merged count as often as they were different. Without any it has the share of its
+    parent, and a host without any the prior.
     """
-    templates = written(tree.groupBy("host", "shape").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"), F.count("*").alias("n")), "url-templates")
-    up = F.explode(F.transform(F.sequence(F.lit(0), F.size("shape")), lambda k: F.struct(k.alias("k"), F.slice("shape", F.lit(1), k).alias("node"))))
-    lines = written(templates.select("host", "shape", "bad", "good", up.alias("x")).select("host", "shape", "bad", "good", "x.*"), "url-lines")
-    nodes = written(lines.groupBy("host", "node").agg(F.sum("bad").alias("b"), F.sum("good").alias("g"), F.count("*").alias("n")), "url-tree")
-    found = spread_join(lines.select("host", "shape", "k", "node"), nodes, ["host", "node"])
-    found = found.groupBy("host", "shape").agg(F.array_sort(F.collect_list(F.struct("k", "b", "g"))).alias("line"))
-    fold = F.aggregate("line", F.lit(s.prior_bad / s.prior_n), lambda share, x: (x["b"] + s.prior_n * share) / (x["b"] + x["g"] + s.prior_n))
-    return templates.select("host", "shape", "n").join(found.select("host", "shape", fold.alias("bad_share")), ["host", "shape"])
+    branches = _lines(tree.where("bad + good > 0"), "bad", "good").groupBy("host", "parent", "segment").agg(F.sum("bad").alias("b"), (F.sum("bad") + F.sum("good")).alias("m"))
+    above = branches.groupBy("host", "parent").agg(F.sum(F.col("b") / F.col("m")).alias("s"), F.count("*").alias("d"))
+    templates = tree.groupBy("host", "shape").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"), F.count("*").alias("n")).withColumn("path", F.monotonically_increasing_id())
+    templates = written(templates, "url-templates")
+    lines = written(_lines(templates.withColumn("raw", F.col("shape")), "path").select("host", "path", "k", "parent"), "url-lines")
+    asked = lines.groupBy("host", "parent").agg(F.count("*").alias("n"))
+    found = spread_join(lines, written(above.join(asked, ["host", "parent"]), "url-above"), ["host", "parent"])
+    found = found.groupBy("path").agg(F.array_sort(F.collect_list(F.struct("k", "s", "d"))).alias("line"))
+    one = lambda share, x: (x["s"] + s.prior_n * share) / (x["d"] + s.prior_n)
+    line = F.coalesce("line", F.expr("cast(array() as array<struct<k:int,s:double,d:bigint>>)"))
+    # A host's own smoothing is the prior, which has the weight prior_n as well.
+    fold = F.aggregate(line, F.lit(s.prior_bad / s.prior_n), one)
+    share = (F.col("bad") + s.prior_n * fold) / (F.col("bad") + F.col("good") + s.prior_n)
+    return templates.join(found, "path", "left").select("host", "shape", share.alias("bad_share"), "n")
 
 
 def filter_urls(df: DataFrame, url: str = "url", rules=RULES, label: Column | None = None, s: Settings = Settings()) -> DataFrame:
     """Adds host, path, rule, verdict, template and bad_share to every row; equal-named columns are replaced, all others pass
     through whatever their names.
 
-    Labels of the tree are ``label`` (1 bad, 0 good, else null), by default the verdicts of the rules themselves: where rules
-    block all that they know of a host or a branch, what they do not know of it is blocked too. A url that a rule fits gets the
-    rule's verdict; others are blocked if their template's smoothed share of bad labels reaches ``s.reject``. A template
-    without labels has the share of its nearest labelled ancestor in the tree of its host; without any it is allowed.
+    Labels of the tree are ``label`` (1 bad, 0 good, else null), by default the verdicts of the rules themselves. A url that a
+    rule fits gets the rule's verdict; others are blocked if their template's smoothed share of bad labels reaches ``s.reject``.
+    A template without labels has the share of the branches around it: several that are bad reject it, one does not, so where a rule
+    handles one branch of a host the others are allowed. Without any labels urls are allowed.
     Null urls and those without ``://`` have an empty host and path. Equal urls, and equal rows, get equal results; they count
     as often as they occur. Urls of any length and depth are taken whole. An empty table gives an empty result.
     """
@@ -139,7 +142,9 @@ def filter_urls(df: DataFrame, url: str = "url", rules=RULES, label: Column | No
     rows = rows.withColumns({"rule": rule, "says": says, "raw": segments(F.col("path"))}).drop("url")
     y = F.col("known") if label is not None else F.when(F.col("says") == "block", 1).when(F.col("says") == "allow", 0)
     seen = rows.groupBy("host", "raw").agg(F.count("*").alias("n"), F.count_if(y == 1).alias("bad"), F.count_if(y == 0).alias("good"))
-    tree = _merged(written(seen, "url-paths"), s)
+    tree = written(seen.withColumns({"shape": F.col("raw"), "path": F.monotonically_increasing_id()}), "url-paths")
+    for _ in range(s.passes):
+        tree = _general(tree, s)
     judged = spread_join(tree.select("host", "raw", "shape", F.col("n").alias("urls")), written(_shares(tree, s), "url-shares"), ["host", "shape"])
     judged = judged.select("host", "raw", F.concat(F.lit("/"), F.array_join("shape", "/")).alias("template"), "bad_share", F.col("urls").alias("n"))
     verdict = F.coalesce(F.col("says"), F.when(F.col("bad_share") >= s.reject, "block").otherwise("allow"))
