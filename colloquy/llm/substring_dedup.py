@@ -102,16 +102,16 @@ def window_keys(docs: DataFrame, key_bits: int) -> DataFrame:
     return docs.select("uid", "doc_id", "text", "shared").mapInArrow(run, f"uid long, doc_id {_kind(docs)}, starts array<int>, k1 array<long>, k2 array<long>")
 
 
-def factors(known: list[tuple[int, int, int]], window: int = WINDOW) -> list[tuple[int, int, int, int]]:
-    """(start, reference, place in it) of known windows, in any order -> (first word, end, reference, place): each factor grows
-    while the next window continues in the same block."""
-    out: list[tuple[int, int, int, int]] = []
-    for start, ref, at in sorted(known):
-        if out and start + window == out[-1][1] + 1 and ref == out[-1][2] and start - out[-1][0] == at - out[-1][3]:
-            out[-1] = (out[-1][0], start + window, ref, out[-1][3])
-        else:
-            out.append((start, start + window, ref, at))
-    return out
+def factors(starts: np.ndarray, refs: np.ndarray, places: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Starts of known windows, their references and places in these, in any order -> first word, end, reference and place of factors:
+    each grows while the next window continues in the same block."""
+    order = np.lexsort((places, refs, starts))
+    starts, refs, places = starts[order].astype(np.int64), refs[order], places[order].astype(np.int64)
+    new = np.ones(len(starts), dtype=bool)
+    new[1:] = (starts[1:] != starts[:-1] + 1) | (refs[1:] != refs[:-1]) | (places[1:] != places[:-1] + 1)
+    at = np.flatnonzero(new)
+    ends = starts[np.append(at[1:], len(starts))[: len(at)] - 1] + window
+    return starts[at], ends, refs[at], places[at]
 
 
 def spans(covered: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -128,8 +128,12 @@ def spans(covered: list[tuple[int, int]]) -> list[tuple[int, int]]:
 _KNOWN = "array<struct<start:int,ref:long,place:int>>"
 
 
-def _listed(column: pa.Array) -> list[list[tuple[int, int, int]]]:
-    return [[(x["start"], x["ref"], x["place"]) for x in own or ()] for own in column.to_pylist()]
+def _factors(column: pa.Array, k: int) -> tuple[np.ndarray, ...]:
+    """The factors of a row's known windows, without a Python object for each window."""
+    own = column[k].values
+    if own is None:
+        return (np.empty(0, np.int64),) * 4
+    return factors(*(own.field(n).to_numpy(zero_copy_only=False) for n in ("start", "ref", "place")))
 
 
 def requests(docs: DataFrame) -> DataFrame:
@@ -138,9 +142,9 @@ def requests(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             refs, places, contents = [], [], []
-            for t, known in zip(batch.columns[1].to_pylist(), _listed(batch.columns[2]), strict=True):
+            for k, t in enumerate(batch.columns[1].to_pylist()):
                 words = t.split()
-                for a, b, ref, place in factors(known):
+                for a, b, ref, place in zip(*(x.tolist() for x in _factors(batch.columns[2], k)), strict=True):
                     refs.append(ref)
                     places.append(place)
                     contents.append(b" ".join(words[a:b]))
@@ -279,9 +283,9 @@ def substring_dedup(df: DataFrame, ident: str = "doc_id", text: str = "text", ke
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, gone, found, left = [], [], [], []
-            for t, known, whole in zip(batch.columns[1].to_pylist(), _listed(batch.columns[2]), batch.columns[3].to_pylist(), strict=True):
+            for k, (t, whole) in enumerate(zip(batch.columns[1].to_pylist(), batch.columns[3].to_pylist(), strict=True)):
                 words = t.split()
-                covered = [(0, len(words))] if whole else spans([f[:2] for f in factors(known)])
+                covered = [(0, len(words))] if whole else spans(list(zip(*(x.tolist() for x in _factors(batch.columns[2], k)[:2]), strict=True)))
                 stay, at = [], 0
                 for a, b in covered:
                     stay += words[at:a]
