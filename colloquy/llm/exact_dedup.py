@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from colloquy.llm.shared import WHITE, aside, quoted, small_batches, spread_join, written
+from colloquy.llm.shared import WHITE, aside, must_differ, names_but, plain_name, quoted, small_batches, spread_join, written
 
 #: Bytes of distinct contents in a table before its bucket is split.
 TABLE_BYTES = 48 << 20
@@ -163,17 +163,16 @@ def exact_dedup(df: DataFrame, ident: str = "doc_id", text: str = "text", limit:
     null ids last; of repeated rows with one id the first read stays, and exactly one row of each group is kept. Whole texts
     are compared, however long, in UTF-8, where bytes that are none count as U+FFFD. An empty table gives an empty result.
     """
-    if text in ("keep_id", "group_size", "kept", "text_sha256"):
-        raise ValueError("the text cannot have the name of a result")
-    small_batches(df.sparkSession)
     added = ["keep_id", "group_size", "kept", "text_sha256"]
+    must_differ(df, text, *added)
+    small_batches(df.sparkSession)
     there, back = aside(df, added)
     plain = F.regexp_replace(F.coalesce(F.col("plain"), F.lit("")), WHITE, " ")
     # The rows get their ids once, in a table: later stages agree on them even if a task runs again.
     source = df.select(*there, *(c.alias(n) for c, n in zip(quoted([ident, text]), ("id", "plain"), strict=True))).withColumn("plain", plain)
     names = [f"c{k}" for k in range(len(there))]
     rows = written(source.select(*names, "id", F.monotonically_increasing_id().alias("uid"), F.sha2("plain", 256).alias("text_sha256"), F.xxhash64("plain").alias("hash")), "exact-rows")
-    content = F.col(names[[c for c in df.columns if c not in added].index(text)])
+    content = F.col(names[[plain_name(df, c) for c in names_but(df, added)].index(plain_name(df, text))])
     record = rows.withColumn("plain", content).select("hash", F.col("uid").alias("ident"), F.encode(plain, "UTF-8").alias("content"))
     local = written(_grouped(record, limit, True), "exact-local")
     record = local.where("ident = least").select("hash", "ident", "content")

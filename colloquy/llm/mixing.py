@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from colloquy.llm.shared import WORD, aside, quoted, written
+from colloquy.llm.shared import WORD, aside, must_differ, quoted, written
 
 #: Weights of the sources in code-point order, repeating; a target stops at this many times its source's size.
 WEIGHTS, MOST_EPOCHS = (5, 2, 1), 3
@@ -54,12 +54,11 @@ def mix(df: DataFrame, ident: str = "doc_id", text: str = "text", source: str =
     Null sources are one source, after all others. Sources without words get 0. Rows are in the order of a hash of id and size,
     ties by id and size; rows that repeat both may swap places, so reruns take the same words. Repeated ids, null ids among
     them, spread by size, and equal rows are tallied by input partition before they are shuffled, so none is a hot key.
-    Texts of any length and with any bytes are read whole. Columns in ``carry`` may have any name that is no result's. An empty
+    Texts of any length and with any bytes are read whole. Columns in ``carry`` may have any name that is no result's to the session, which may ignore capitals. An empty
     table gives an empty result.
     """
     results = ["size", "source_size", "target", "taken"]
-    if len({ident, *carry, *results}) < len(carry) + len(results) + 1:
-        raise ValueError("id and carried columns must differ from each other and from the results")
+    must_differ(df, ident, *carry, *results)
     there, back = aside(df.select(*quoted([ident, *carry])))
     rows = df.select(*quoted([ident, *carry, text, source]))
     names = [f"c{k}" for k in range(len(there))] + ["text", "source"]

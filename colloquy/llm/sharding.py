@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from colloquy.llm.shared import aside, quoted, written
+from colloquy.llm.shared import aside, must_differ, quoted, written
 
 #: Children of a tree node, and rows of a logical partition: their number follows from the number of rows alone.
 FAN, PARTITION_ROWS = 16, 20_000
@@ -78,12 +78,11 @@ def shard_rows(df: DataFrame, shards: int, ident: str = "doc_id", text: str = "t
     exact sizes and a uniform shuffle leave no room to keep groups together. The result follows from the rows and ``seed``,
     not from the session's settings; only where rows repeat id, size and checksum do places depend on how the input was
     split, as such rows are told apart by where they were read. So they spread like others, null ids and null texts too.
-    Texts of any length and with any bytes are read whole. Columns in ``carry`` may have any name that is no result's. Empty
+    Texts of any length and with any bytes are read whole. Columns in ``carry`` may have any name that is no result's to the session, which may ignore capitals. Empty
     tables give empty results.
     """
     results = ["size", "text_crc32", "law", "shard", "slot", "grown_shard"]
-    if len({ident, *carry, *results}) < len(carry) + len(results) + 1:
-        raise ValueError("id and carried columns must differ from each other and from the results")
+    must_differ(df, ident, *carry, *results)
     there, back = aside(df.select(*quoted([ident, *carry])))
     content = F.coalesce(F.col("text").cast("binary"), F.expr("X''"))
     base = df.select(*quoted([ident, *carry, text])).toDF(*(f"c{k}" for k in range(len(there))), "text").select(

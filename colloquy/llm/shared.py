@@ -96,12 +96,28 @@ def quoted(names: list[str]) -> list:
     return [F.col(f"`{n.replace('`', '``')}`") for n in names]
 
 
+def plain_name(df: DataFrame, name: str) -> str:
+    """What the session tells names apart by: capitals count only where it says so."""
+    return name if df.sparkSession.conf.get("spark.sql.caseSensitive") == "true" else name.lower()
+
+
+def names_but(df: DataFrame, but: tuple[str, ...] | list[str]) -> list[str]:
+    """The names of ``df`` that are none of ``but`` to the session."""
+    gone = {plain_name(df, n) for n in but}
+    return [c for c in df.columns if plain_name(df, c) not in gone]
+
+
+def must_differ(df: DataFrame, *names: str) -> None:
+    if len({plain_name(df, n) for n in names}) < len(names):
+        raise ValueError("columns must differ from each other and from the results: " + ", ".join(names))
+
+
 def aside(df: DataFrame, but: tuple[str, ...] | list[str] = ()) -> tuple[list[Column], list[Column]]:
     """The columns of ``df`` other than ``but`` under the names c0, c1, …, and back from there.
 
     Operators name their own columns otherwise, so no column of a user's can clash with them.
     """
-    names = [c for c in df.columns if c not in but]
+    names = names_but(df, but)
     there = [c.alias(f"c{k}") for k, c in enumerate(quoted(names))]
     return there, [F.col(f"c{k}").alias(name) for k, name in enumerate(names)]
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colloquy.llm.components import components
-from colloquy.llm.shared import quoted, raw, small_batches, spread_join, written
+from colloquy.llm.shared import must_differ, quoted, raw, small_batches, spread_join, written
 
 BITS, SHINGLE, SEED, WITHIN = 64, 4, 42, 4
 #: For the lossless sieve: blocks of 8 bits of which four differing bits leave at least four untouched.
@@ -101,8 +101,7 @@ def near_dedup(df: DataFrame, ident: str = "doc_id", text: str = "text") -> Data
     belong to their component and get its smallest id, null if it has none. Repeated rows are rows. Whole texts are read,
     however long, as bytes, so invalid UTF-8 is no error. Other columns are ignored. Empty tables give none.
     """
-    if ident in ("fp", "component_id"):
-        raise ValueError("the id cannot have the name of a result")
+    must_differ(df, ident, "fp", "component_id")
     rows = written(fingerprints(df, ident, text), "simhash-rows")
     distinct = written(rows.groupBy("fp").agg(F.min("id").alias("least"), F.count("*").alias("n")), "simhash-distinct")
     kept = written(sieve(distinct.select("fp")), "simhash-sieved")
