@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colloquy.functions import clock
-from colloquy.models import Stage
-from colloquy.operators import intervals, islands, journal, speakers
-from colloquy.operators.batches import Batches, padded
+from colloquy.models import Stage, apply
+from colloquy.operators import intervals, islands, journal, speakers, transducer
+from colloquy.operators.batches import Batches, padded, planned
 from colloquy.plans import align, documents, recognise
 from colloquy.plans.tables import scratch
 from colloquy.sources import bindings as b
@@ -543,3 +543,43 @@ def recognise_packed(spark, sf_dir):
     at = F.explode(F.filter(F.sequence(F.lit(0), F.expr("size(samples) div 32 - 1")), lambda j: F.get("samples", 32 * j) > 0)).alias("j")
     speech = audio_of.where("size(samples) >= 32").select("file_id", at).selectExpr("file_id", "j * 2000L AS start_us", "j * 2000L + 2000 AS end_us")
     return _recognised(audio_of, recognise.packed_bounds(speech, lengths, max_us=9_000, min_us=6_000, strict_us=12_000, least_us=100))
+
+
+#: A predictor's outputs by the last label and by the one before it, for no label (first) and labels 0 to 2; the joint adds them to a frame.
+LAST, BEFORE = ((0, 0, 0, 10), (-40, 10, 5, 20), (15, -45, 0, 10), (5, 10, -50, 25)), ((0, 0, 0, 0), (-5, 0, 10, 5), (0, -10, 5, 0), (10, 0, -5, 10))
+
+
+def _tables() -> tuple:
+    """A stand-in for a transducer's predictor and joint, in whole numbers; the state is the last label."""
+    import numpy as np
+
+    last, before = np.array(LAST, dtype=float), np.array(BEFORE, dtype=float)
+    return lambda labels, states: (last[labels + 1] + before[states + 1], labels), lambda frames, outputs: frames + outputs, np.int64(-1)
+
+
+def _sql_list(rows: tuple) -> str:
+    return "[" + ", ".join(f"[{', '.join(map(str, r))}]" for r in rows) + "]"
+
+
+@query(f"""fv AS (SELECT vec_id, list_transform(embedding, lambda x: floor(100 * x::DOUBLE)::BIGINT) AS xs FROM embeddings),
+  d AS (SELECT vec_id, xs, 0 AS t, 0 AS n, 0 AS p, 0 AS q, '' AS labels, len(xs) // 4 AS frames FROM fv
+    UNION ALL SELECT vec_id, xs, CASE WHEN go THEN t ELSE t + 1 END, CASE WHEN go THEN n + 1 ELSE 0 END, CASE WHEN go THEN k ELSE p END, CASE WHEN go THEN p ELSE q END,
+      CASE WHEN go THEN labels || CASE WHEN labels = '' THEN '' ELSE ',' END || (k - 1) ELSE labels END, frames
+    FROM (SELECT *, n < 3 AND k < 4 AS go FROM (SELECT *, list_position(s, list_max(s)) AS k FROM (SELECT *, [{', '.join(f"xs[4 * t + {c}] + l[p + 1][{c}] + b[q + 1][{c}]" for c in (1, 2, 3, 4))}] AS s
+      FROM (SELECT *, {_sql_list(LAST)} AS l, {_sql_list(BEFORE)} AS b FROM d) WHERE t < frames))))
+  SELECT vec_id, labels FROM d WHERE t = frames""")
+def transducer_labels(spark, sf_dir):
+    """Vectors play as 16 frames of four numbers; the predictor remembers two labels, and a frame emits three at most."""
+    e = b.table(spark, sf_dir, "embeddings").select("vec_id", F.transform("embedding", lambda x: F.floor(x.cast("double") * 100).cast("double")).alias("frames"))
+    got = apply(e, transducer.stage(_tables, 3, 4, "vec_id", "long", most=3))
+    return got.select("vec_id", F.array_join(F.col("labels").cast("array<string>"), ",").alias("labels"))
+
+
+@query("""it AS (SELECT doc_id % 16 AS part, doc_id, coalesce(n_chars, 0)::BIGINT AS length, row_number() OVER (PARTITION BY doc_id % 16 ORDER BY coalesce(n_chars, 0), doc_id) AS k FROM documents),
+  bt AS (SELECT part, k, doc_id, length, 0 AS batch, 0 AS nth FROM it WHERE k = 1
+    UNION ALL SELECT i.part, i.k, i.doc_id, i.length, CASE WHEN z THEN f.batch + 1 ELSE f.batch END, CASE WHEN z THEN 0 ELSE f.nth + 1 END
+      FROM bt f JOIN it i ON i.part = f.part AND i.k = f.k + 1, LATERAL (SELECT f.nth + 1 >= 24 OR (f.nth + 2) * i.length > 20000 AS z))
+  SELECT part, batch::BIGINT AS batch, nth::BIGINT AS nth, doc_id, length, max(length) OVER (PARTITION BY part, batch) AS padded_to FROM bt""")
+def length_batches(spark, sf_dir):
+    """Documents play as recordings of their number of characters, dealt by length into padded batches of 16 workers."""
+    return planned(b.table(spark, sf_dir, "documents"), "doc_id", Batches("n_chars", 20_000, 24), F.col("doc_id") % 16)

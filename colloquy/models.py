@@ -107,21 +107,3 @@ def apply(df: DataFrame, stage: Stage, batches: Batches | None = None) -> DataFr
     if batches:
         df = df.sortWithinPartitions(batches.length)
     return df.mapInPandas(work, schema)
-
-
-def greedy_transducer(frames, predict: Callable, joint: Callable, blank: int, most: int = 10) -> list[int]:
-    """Greedy labels of a transducer, for use inside a stage's provider.
-
-    ``predict(label, state)`` gives (output, state) after a label (None at first); ``joint(frame, output)`` gives scores. A frame
-    emits labels until blank wins or it has ``most``; only labels move the predictor's state.
-    """
-    labels: list[int] = []
-    output, state = predict(None, None)
-    for frame in frames:
-        for _ in range(most):
-            best = max(enumerate(joint(frame, output)), key=lambda x: (x[1], -x[0]))[0]
-            if best == blank:
-                break
-            labels.append(best)
-            output, state = predict(best, state)
-    return labels

@@ -10,7 +10,7 @@ import pytest
 from colloquy import models
 from colloquy.config import Config
 from colloquy.functions import clock, stem, token_text
-from colloquy.operators import intervals, islands, journal, speakers
+from colloquy.operators import intervals, islands, journal, speakers, transducer
 from colloquy.plans import align, documents
 from colloquy.sources import audio, files
 from colloquy.streaming import manifest_stream, run_new
@@ -243,12 +243,40 @@ def test_audio(spark):
         spark.range(1).select(audio.short_enough(F.array_repeat(F.lit(0.0), 400_001))).collect()
 
 
-def test_transducer_and_tokens(spark):
-    """Labels move the predictor's state, and a frame stops at its most labels."""
-    predict = lambda label, state: ((state or 0) + (label is not None),) * 2
-    joint = lambda frame, out: [1.0, 0.0] if out < frame else [0.0, 0.0 if frame < 9 else 1.0]
-    assert models.greedy_transducer([1, 1, 3], predict, lambda f, o: [1.0, 0.0] if o < f else [0.0, 1.0], 1) == [0, 0, 0]
-    assert models.greedy_transducer([5], predict, joint, 1, most=3) == [0, 0, 0]
+def plain_transducer(frames, predict, joint, blank, most):
+    """One item, step by step."""
+    labels = []
+    output, state = predict(-1, 0)
+    for frame in frames:
+        for _ in range(most):
+            scores = joint(frame, output)
+            if (best := scores.index(max(scores))) == blank:
+                break
+            labels.append(best)
+            output, state = predict(best, state)
+    return labels
+
+
+@pytest.mark.parametrize("most", [1, 3, 10])
+def test_transducer_equals_loop(most):
+    rng = np.random.default_rng(most)
+    table = rng.integers(-9, 9, (5, 7, 4))
+
+    def predict(labels, states):
+        """The output depends on the last label and on how many there were."""
+        states = states + (labels >= 0)
+        return table[labels, states % 7], states
+
+    joint = lambda frames, outputs: frames + outputs
+    frames, lengths = rng.integers(-9, 9, (60, 12, 4)).astype(float), rng.integers(0, 13, 60)
+    got = transducer.greedy(frames, lengths, predict, joint, np.int64(0), 3, most)
+    one = lambda label, state: (table[label, (state + (label >= 0)) % 7], state + (label >= 0))
+    want = [plain_transducer(f[:n], one, lambda f, o: list(f + o), 3, most) for f, n in zip(frames, lengths, strict=True)]
+    assert [list(x) for x in got] == want and max(map(len, want)) > (12 if most > 1 else 5)
+    assert transducer.greedy(frames[:0], lengths[:0], predict, joint, np.int64(0), 3) == []
+
+
+def test_token_text(spark):
     ids = spark.createDataFrame([([0, 1, 2, 9, 3],), ([],)], "ids array<int>")
     assert [r[0] for r in ids.select(token_text(F.col("ids"), ["▁a", "b", "▁c", "d"])).collect()] == ["ab cd", ""]
 
