@@ -14,7 +14,7 @@ from colloquy.operators.batches import Batches, padded, planned
 from colloquy.plans import align, documents, recognise
 from colloquy.plans.tables import scratch
 from colloquy.sources import bindings as b
-from colloquy.sources import audio, files
+from colloquy.sources import audio, containers, files
 
 AUDIO_US, SNAP_US, PAUSE_US, ISLAND_US = 720_000_000, 800_000, 600_000, 24_000_000
 THIRD_MAX, EPS = 0.10, 0.05
@@ -583,3 +583,29 @@ def transducer_labels(spark, sf_dir):
 def length_batches(spark, sf_dir):
     """Documents play as recordings of their number of characters, dealt by length into padded batches of 16 workers."""
     return planned(b.table(spark, sf_dir, "documents"), "doc_id", Batches("n_chars", 20_000, 24), F.col("doc_id") % 16)
+
+
+@query("t AS (SELECT 1) SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN NULL WHEN vec_id % 2 = 0 THEN len(embedding) / 16000.0::DOUBLE ELSE (vec_id * 37 + 1) / 44100.0::DOUBLE END AS duration_sec, CASE WHEN vec_id % 7 = 0 THEN 'none' WHEN vec_id % 2 = 0 THEN 'riff' ELSE 'flac' END AS duration_source FROM embeddings")
+def container_durations(spark, sf_dir):
+    """Even vectors play as samples in WAV files, odd ones as lengths in FLAC headers, every seventh as no audio; durations without decoding."""
+    e = b.table(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("string").alias("path"), F.col("embedding").alias("samples"), "vec_id")
+    stream = F.concat(F.expr("unhex('664C614300000022')"), F.expr("unhex(repeat('00', 10))"), F.expr("unhex(lpad(hex(shiftleft(44100L, 44) + shiftleft(1L, 41) + shiftleft(15L, 36) + vec_id * 37 + 1), 16, '0'))"), F.expr("unhex(repeat('00', 16))"))
+    heads = e.where("vec_id % 2 = 1").select("path", F.when(F.col("vec_id") % 7 == 0, F.lit("no audio").cast("binary")).otherwise(stream).alias("content"))
+    waves = audio.encode(e.where("vec_id % 2 = 0")).select("path", F.when(F.col("path").cast("long") % 7 == 0, F.substring("content", 1, 20)).otherwise(F.col("content")).alias("content"))
+    rows = files.duration_manifest(containers.durations(waves.unionByName(heads)).withColumns({"bytes": F.lit(0), "mtime": F.lit(0), "id": F.col("path")}))
+    return rows.select(F.col("path").cast("long").alias("vec_id"), F.when(F.col("duration_source") != "none", F.col("duration_sec")).alias("duration_sec"), "duration_source")
+
+
+@query("w AS (SELECT " + repr([[float(x) for x in row] for row in audio.mel_filters(4, 32)]) + """ AS mel),
+  fr AS (SELECT vec_id, embedding AS xs, unnest(range(0, (len(embedding) - 32) // 16 + 1)) AS f FROM embeddings),
+  fk AS (SELECT *, unnest(range(0, 17)) AS k FROM fr), fn AS (SELECT *, unnest(range(0, 32)) AS n FROM fk),
+  ft AS (SELECT vec_id, f, k, sum(xs[16 * f + n + 1]::DOUBLE * (0.5 - 0.5 * cos(2 * pi() * n / 32)) * cos(2 * pi() * k * n / 32)) AS re, sum(xs[16 * f + n + 1]::DOUBLE * (0.5 - 0.5 * cos(2 * pi() * n / 32)) * sin(2 * pi() * k * n / 32)) AS im FROM fn GROUP BY ALL),
+  mb AS (SELECT *, unnest(range(0, 4)) AS band FROM ft)
+  SELECT vec_id, f::BIGINT AS frame, band::INTEGER AS band, round(ln(greatest(1e-9::DOUBLE, least(1e9::DOUBLE, sum((re * re + im * im) * mel[k + 1][band + 1])))), 4) AS value FROM mb, w GROUP BY vec_id, f, band""")
+def log_mel_frames(spark, sf_dir):
+    """Vectors play as samples that come in three parts; their features are those of the whole."""
+    e = b.table(spark, sf_dir, "embeddings")
+    cuts = F.array(F.slice("embedding", 1, 21), F.slice("embedding", 22, 5), F.slice("embedding", 27, 1_000_000))
+    parts = e.select(F.col("vec_id").alias("path"), F.posexplode(cuts).alias("part_ix", "samples"))
+    got = audio.feature_parts(parts, 4, "double", hop=16, window=32, center=False).select("path", "first_frame", F.posexplode("features").alias("k", "bands"))
+    return got.select(F.col("path").alias("vec_id"), (F.col("first_frame") + F.col("k")).alias("frame"), F.posexplode("bands").alias("band", "value")).withColumn("value", F.round("value", 4))

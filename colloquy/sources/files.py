@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-import io
 import os
 import re
 import uuid
-import wave
-from collections.abc import Iterator
 from datetime import datetime, timezone
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -180,20 +176,3 @@ def parse_segment_line(line: Column) -> Column:
     a, b = F.regexp_extract(line, pattern, 1), F.regexp_extract(line, pattern, 2)
     micros = lambda x: F.round(x.try_cast("decimal(20,9)") * 1_000_000).cast("long")
     return F.when(micros(b) > micros(a), F.struct(F.regexp_extract(line, pattern, 3).alias("spk"), micros(a).alias("start_us"), micros(b).alias("end_us")))
-
-
-def probe_wav(files: DataFrame) -> DataFrame:
-    """(path, content) -> (path, duration_sec): of WAV contents; null for what cannot be read."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            out = []
-            for content in frame["content"]:
-                try:
-                    with wave.open(io.BytesIO(content)) as w:
-                        out.append(w.getnframes() / w.getframerate())
-                except (wave.Error, EOFError, ZeroDivisionError):
-                    out.append(None)
-            yield pd.DataFrame({"path": frame["path"], "duration_sec": pd.array(out, dtype="Float64")})
-
-    return files.select("path", "content").mapInPandas(run, "path string, duration_sec double")

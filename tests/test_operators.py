@@ -12,7 +12,7 @@ from colloquy.config import Config
 from colloquy.functions import clock, stem, token_text
 from colloquy.operators import intervals, islands, journal, speakers, transducer
 from colloquy.plans import align, documents
-from colloquy.sources import audio, files
+from colloquy.sources import audio, containers, files
 from colloquy.streaming import manifest_stream, run_new
 from pyspark.sql import functions as F
 
@@ -163,7 +163,7 @@ def test_files(spark, tmp_path):
         w.setnchannels(1), w.setsampwidth(2), w.setframerate(16000), w.writeframes(b"\0\0" * 8000)
     (tmp_path / "t.wav").write_bytes(b"no audio")
     found = spark.read.format("binaryFile").option("pathGlobFilter", "*.wav").load(str(tmp_path))
-    assert sorted((r.path[-5:], r.duration_sec) for r in files.probe_wav(found).collect()) == [("s.wav", 0.5), ("t.wav", None)]
+    assert sorted((r.path[-5:], r.duration_sec) for r in containers.durations(found).collect()) == [("s.wav", 0.5), ("t.wav", None)]
     assert sorted(r.id for r in files.read_glob(spark, str(tmp_path), "*.wav").collect()) == ["s", "t"]
     lines = spark.createDataFrame([("0.5 1.25 spk_0",), ("2 1 x",), ("junk",)], "v string").select(files.parse_segment_line(F.col("v")).alias("s"))
     assert [r.s and tuple(r.s) for r in lines.collect()] == [("spk_0", 500_000, 1_250_000), None, None]
