@@ -14,7 +14,7 @@ from colloquy.operators.batches import Batches, padded, planned
 from colloquy.plans import align, documents, recognise
 from colloquy.plans.tables import scratch
 from colloquy.sources import bindings as b
-from colloquy.sources import audio, containers, files
+from colloquy.sources import audio, containers, files, items
 
 AUDIO_US, SNAP_US, PAUSE_US, ISLAND_US = 720_000_000, 800_000, 600_000, 24_000_000
 THIRD_MAX, EPS = 0.10, 0.05
@@ -609,3 +609,25 @@ def log_mel_frames(spark, sf_dir):
     parts = e.select(F.col("vec_id").alias("path"), F.posexplode(cuts).alias("part_ix", "samples"))
     got = audio.feature_parts(parts, 4, "double", hop=16, window=32, center=False).select("path", "first_frame", F.posexplode("features").alias("k", "bands"))
     return got.select(F.col("path").alias("vec_id"), (F.col("first_frame") + F.col("k")).alias("frame"), F.posexplode("bands").alias("band", "value")).withColumn("value", F.round("value", 4))
+
+
+@query(HEARD + ", bd AS (SELECT file_id, xs, n, k, k * 4000 AS a, least(total, k * 4000 + 6000) AS b FROM (SELECT *, unnest(range(0, greatest(0, ceil((total - 6000) / 4000.0))::BIGINT + 1)) AS k FROM ln)), " + WORDS_OF_CHUNKS + """
+  SELECT c.file_id, c.k AS chunk_ix, c.a / 1000000.0::DOUBLE AS start_sec, c.b / 1000000.0::DOUBLE AS end_sec, coalesce(t.text, '') AS transcription
+  FROM cf c LEFT JOIN (SELECT file_id, k, string_agg(['a', 'b', '|'][label + 1], '' ORDER BY run) AS text FROM sp GROUP BY ALL) t USING (file_id, k)""")
+def longform_chunks(spark, sf_dir):
+    """A text and its boundaries for every chunk."""
+    audio_of, lengths = _samples(spark, sf_dir)
+    got = recognise.longform(audio_of, recognise.fixed_bounds(lengths, 6_000, 2_000), Stage(_loudest, recognise.LABELS), recognise.Alphabet(("a", "b", "|"), 3), Batches("n_samples", 4096, 64))
+    return got.select("file_id", "chunk_ix", F.col("boundaries.start").alias("start_sec"), F.col("boundaries.end").alias("end_sec"), "transcription")
+
+
+@query(WORDS + """ SELECT file_id, count(*) AS n_words, string_agg(word, ' ' ORDER BY pos) AS said, round(sum(((start_us + 500) // 1000) / 1000.0::DOUBLE), 3) AS starts, round(sum(((end_us + 500) // 1000) / 1000.0::DOUBLE), 3) AS ends FROM words GROUP BY file_id""")
+def words_documents(spark, sf_dir):
+    """Words as a JSON document for each file, written as files of items and read again."""
+    made = documents.words_documents(b.words(spark, sf_dir).drop("event_id"), "m").withColumn("id", F.col("file_id").cast("string"))
+    path = scratch(spark, "words")
+    kind = "audio_path string, model string, sample_rate int, words array<struct<word:string,start:double,`end`:double>>"
+    items.write_items(made.select("id", F.from_json("content", kind).alias("doc")), {"doc": "words"}, path)
+    read = spark.read.schema(kind).option("multiLine", "true").json(f"{path}/words")
+    total = lambda c: F.round(F.aggregate(f"words.{c}", F.lit(0.0), lambda s, x: s + x), 3)
+    return read.select(F.col("audio_path").cast("long").alias("file_id"), F.size("words").cast("long").alias("n_words"), F.array_join("words.word", " ").alias("said"), total("start").alias("starts"), total("end").alias("ends"))

@@ -82,3 +82,10 @@ def documents(words: DataFrame, segments: DataFrame, audio_us: int | DataFrame,
         F.struct(F.transform(or_empty("shares"), lambda x: x["spk"]).alias("speakers"), F.map_from_entries(or_empty("shares")).alias("shares"), or_empty("segments").alias("postprocessed_segments"),
                  gone.alias("dropped_speakers"), why.alias("drop_reason")).alias("meta_diar"),
     )
+
+
+def words_documents(words: DataFrame, model: str, sample_rate: int = 16_000) -> DataFrame:
+    """(file_id, content): a file's words (file_id, pos, word, start_us, end_us) as one JSON document, times to three places."""
+    listed = _listed(words, "pos", "words", word="word", start=millis(F.col("start_us")), end=millis(F.col("end_us")))
+    whole = F.struct(F.col("file_id").cast("string").alias("audio_path"), F.lit(model).alias("model"), F.lit(sample_rate).alias("sample_rate"), "words")
+    return listed.select("file_id", F.to_json(whole).alias("content"))

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from colloquy.config import MODES, Config
+from colloquy.functions import stripped
 from colloquy.models import Stage, apply
 from colloquy.operators import intervals, islands
 from colloquy.operators.batches import Batches
@@ -125,6 +126,22 @@ def recognised(audio: DataFrame, bounds: DataFrame, stage: Stage, alphabet: Alph
     return Heard(words.where("NOT stitch").drop("stitch").unionByName(joined), failed, times)
 
 
+def longform(audio: DataFrame, bounds: DataFrame, stage: Stage, alphabet: Alphabet, batches: Batches | None = None) -> DataFrame:
+    """(file_id, chunk_ix, transcription, boundaries, status, reason), a row for every chunk with samples: its text and (start, end) in seconds.
+
+    Characters keep their own spaces, pieces are joined as words; a chunk that failed has a null text and its reason.
+    """
+    bounds = bounds.withColumn("chunk", chunk_key("file_id", "chunk_ix"))
+    heard = settled(apply(slices(audio, bounds), replace(stage, key="chunk"), batches))
+    own = F.slice("labels", F.lit(1), F.greatest(F.lit(0), F.least(F.size("labels"), F.col("frames"))))
+    texts = F.filter(F.transform(islands.collapse(own, alphabet.blank), alphabet.text), lambda x: x.isNotNull())
+    joined = F.array_join(texts, "")
+    text = stripped(F.replace(joined, F.lit("▁"), F.lit(" "))) if alphabet.pieces else joined
+    seconds = F.struct((F.col("start_us") / 1_000_000).alias("start"), (F.col("end_us") / 1_000_000).alias("end")).alias("boundaries")
+    said = heard.select("chunk", F.when(F.col("status") == "SUCCESS", text).alias("transcription"), "status", "reason")
+    return bounds.join(said, "chunk").select("file_id", "chunk_ix", "transcription", seconds, "status", "reason")
+
+
 def fixed_bounds(lengths: DataFrame, size_us: int, overlap_us: int) -> DataFrame:
     """Bounds of (file_id, total_us) in steps of size - overlap; overlapping chunks are stitched."""
     return intervals.hopping_chunks(lengths, size_us, overlap_us).withColumn("stitch", F.lit(overlap_us > 0))

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 import re
 import uuid
+from collections.abc import Iterator
 from datetime import datetime, timezone
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from colloquy.functions import SPACE, stem, stripped
-from colloquy.sources.items import write_items
+from colloquy.sources.items import system_of, write_items
 
 MANIFEST = "path string, id string, duration_sec double"
 TRANSCRIPT = "file_id string, audio_path string, status string, turns array<struct<speaker:string,start:double,`end`:double,text:string>>"
@@ -57,6 +61,28 @@ def read_glob(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
     return files.orderBy("path").select(plain.alias("path"), below.alias("relative"), stem(plain).alias("id"), F.col("length").alias("bytes"), F.col("modificationTime").alias("mtime"))
 
 
+def with_digests(files: DataFrame) -> DataFrame:
+    """Adds md5, that of a file's whole content, to (path, …), and reads each file once, in pieces of a MiB; null for what cannot be read."""
+    names = files.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = []
+            for path in batch.column("path").to_pylist():
+                system, place = system_of(path)
+                digest = hashlib.md5(usedforsecurity=False)
+                try:
+                    with system.open_input_stream(place, compression=None) as f:
+                        while piece := f.read(1 << 20):
+                            digest.update(piece)
+                    made.append(digest.hexdigest())
+                except OSError:
+                    made.append(None)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.string())], [*names, "md5"])
+
+    return files.mapInArrow(run, T.StructType([*files.schema.fields, T.StructField("md5", T.StringType())]))
+
+
 def resolved(rows: DataFrame, folder: str) -> DataFrame:
     """Relative paths under ``folder``."""
     return rows.withColumn("path", F.when(F.col("path").startswith("/"), F.col("path")).otherwise(F.concat(F.lit(folder.rstrip("/") + "/"), F.col("path"))))

@@ -183,3 +183,49 @@ def test_flow_tables_can_be_cleared(spark):
     assert df.count() == 5 and os.listdir(place)
     tables.clear(spark)
     assert not os.path.exists(place)
+
+
+MODELS = '''
+import pandas as pd
+from colloquy import models
+from colloquy.plans import run as flow
+
+
+def stages(settings):
+    def diarize():
+        return lambda batch: pd.DataFrame({"input_path": batch["input_path"].to_numpy(), "duration_us": 9, "segments": [[{"spk": "a", "start_us": 0, "end_us": 9}]] * len(batch)})
+
+    def recognise():
+        def run(batch):
+            if batch["input_path"].str.contains("deaf").any():
+                raise ValueError("deaf")
+            return pd.DataFrame({"input_path": batch["input_path"].to_numpy(), "words": [[{"seg_ix": None, "word": "hi", "start_us": 1, "end_us": 5}]] * len(batch)})
+
+        return run
+
+    return models.Stage(diarize, flow.DIARIZED, "input_path"), models.Stage(recognise, flow.HEARD, "input_path")
+'''
+
+
+def test_command_line(spark, tmp_path, capsys, monkeypatch):
+    from colloquy.__main__ import main
+
+    (tmp_path / "own_models.py").write_text(MODELS)
+    (tmp_path / "in.txt").write_text("a.wav\nb.wav\n")
+    (tmp_path / "settings.json").write_text(json.dumps({"manifest_path": "in.txt", "out_dir": "out", "audio_dir": "/audio"}))
+    monkeypatch.syspath_prepend(tmp_path)
+    assert main([f"{tmp_path}/settings.json", "own_models:stages"]) == 0
+    told = json.loads(capsys.readouterr().out)
+    assert told["status"] == "done" and told["num_items"] == 2 and told["counts"] == {"SUCCESS": 2}
+    (tmp_path / "in.txt").write_text("a.wav\ndeaf.wav\n")
+    assert main([f"{tmp_path}/settings.json", "own_models:stages"]) == 1 and json.loads(capsys.readouterr().out)["counts"] == {"FAILED": 1, "SKIPPED": 1}
+    assert main([]) == 2
+
+
+def test_file_digests(spark, tmp_path):
+    import hashlib
+
+    content = os.urandom(3 << 20)
+    (tmp_path / "a.gz").write_bytes(content)
+    rows = spark.createDataFrame([(f"{tmp_path}/a.gz", 1), (f"{tmp_path}/none", 2)], "path string, x int")
+    assert {r.x: r.md5 for r in files.with_digests(rows).collect()} == {1: hashlib.md5(content).hexdigest(), 2: None}
