@@ -51,11 +51,12 @@ def inputs_of(spark: SparkSession, c: Config) -> DataFrame:
 Tell = Callable[[str, dict[str, int]], None]
 
 
-def _staged(df: DataFrame, stage: Stage, rows: int, tell: Tell | None = None) -> DataFrame:
-    """The stage's rows, computed once, in batches of ``rows`` items; they are counted as they are written."""
+def _staged(df: DataFrame, stage: Stage, c: Config, tell: Tell | None = None) -> DataFrame:
+    """The stage's rows, computed once, in batches of the settings' size and by as many tasks as they ask for; they are counted as they are written."""
+    df = df.repartition(c.num_instances) if c.num_instances > 1 else df
     conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = conf.get(key)
-    conf.set(key, str(rows))
+    conf.set(key, str(c.chunk_batch_size))
     try:
         seen = Observation()
         out = settled(apply(df, stage).observe(seen, *(F.count_if(F.col("status") == s).alias(s) for s in ("SUCCESS", "FAILED"))))
@@ -78,7 +79,7 @@ def results_of(items: DataFrame, c: Config, diarize: Stage, recognise: Stage | C
     recogniser gets samples in chunks by the settings' lengths and overlaps. An item that
     either fails on, or gives no result for, is FAILED with that reason; the others go on. Every item has exactly one row.
     """
-    told = _staged(items, replace(diarize, name="diarize"), c.chunk_batch_size, tell)
+    told = _staged(items, replace(diarize, name="diarize"), c, tell)
     good = told.where("status = 'SUCCESS'")
     segments = good.select(F.col("input_path").alias("file_id"), F.explode("segments").alias("s")).select("file_id", "s.*")
     lengths = good.select(F.col("input_path").alias("file_id"), F.col("duration_us").alias("audio_us"))
@@ -95,7 +96,7 @@ def results_of(items: DataFrame, c: Config, diarize: Stage, recognise: Stage | C
         if tell:
             tell("recognise", {r.status: r["count"] for r in heard.groupBy("status").count().collect()})
     else:
-        heard = _staged(asked, replace(recognise, name="recognise"), c.chunk_batch_size, tell)
+        heard = _staged(asked, replace(recognise, name="recognise"), c, tell)
     words = heard.where("status = 'SUCCESS'").select(F.col("input_path").alias("file_id"), F.posexplode("words").alias("pos", "w")).select("file_id", F.col("pos").cast("long").alias("pos"), "w.*")
     words = words.withColumnRenamed("pos", "word_ix") if cut else words.drop("seg_ix")
     made = documents(words, segments, lengths, rules, round(c.segment_max_sec * 1_000_000) if cut else None, lengths.select("file_id"), ruled)

@@ -145,7 +145,7 @@ def test_a_commit_that_died_is_ended(tmp_path):
 
 def test_run_with_item_files(spark, tmp_path):
     (tmp_path / "in.txt").write_text("\n".join(NAMES))
-    c = Config.of({"audio_dir": "/audio", "out_dir": f"{tmp_path}/out", "manifest_path": f"{tmp_path}/in.txt", "item_files": True})
+    c = Config.of({"audio_dir": "/audio", "out_dir": f"{tmp_path}/out", "manifest_path": f"{tmp_path}/in.txt", "item_files": True, "num_instances": 3})
     assert dict(flow.run(spark, c, *_stages("diarize")).counts) == {"FAILED": 4, "SUCCESS": 4}
     assert sorted(os.listdir(tmp_path / "out/transcripts")) == ["a.json", "b.json", "c.json", "d.json"]
     doc = json.loads((tmp_path / "out/transcripts/a.json").read_text())
