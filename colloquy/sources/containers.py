@@ -11,10 +11,11 @@ from collections import Counter
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from colloquy.sources.items import system_of
+
 #: ``read(offset, n)`` gives up to n bytes from there.
 Read = Callable[[int, int], bytes]
 
@@ -161,7 +162,7 @@ def durations(files: DataFrame) -> DataFrame:
                 if content is None:
                     raise ValueError("no content")
                 return *duration(lambda at, n: content[at : at + n], len(content)), None
-            system, place = fs.FileSystem.from_uri(path if ":" in path.split("/")[0] else f"file://{path}")
+            system, place = system_of(path)
             with system.open_input_file(place) as f:
                 return *duration(lambda at, n: f.read_at(max(0, min(n, f.size() - at)), min(at, f.size())), f.size()), None
         except Exception as error:  # noqa: BLE001  a bad file is that file's result

@@ -8,6 +8,7 @@ leaves all documents of its items or none, and running it again replaces files i
 from __future__ import annotations
 
 import json
+import os
 import uuid
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
@@ -24,8 +25,8 @@ STAGED, LIST, THREADS = "_staged", "moves.json", 32
 
 
 def system_of(folder: str) -> tuple[fs.FileSystem, str]:
-    """A shared folder as pyarrow reaches it: file, hdfs, s3, gs."""
-    return fs.FileSystem.from_uri(folder if ":" in folder.split("/")[0] else f"file://{folder}")
+    """A shared folder, or a file, as pyarrow reaches it: file, hdfs, s3, gs."""
+    return fs.FileSystem.from_uri(folder if ":" in folder.split("/")[0] else f"file://{os.path.abspath(folder)}")
 
 
 @dataclass
@@ -125,7 +126,7 @@ def write_items(rows: DataFrame, outputs: dict[str, str], folder: str) -> None:
     rows.sparkSession.dataSource.register(ItemSource)
     safe = F.when(F.col("id").rlike(r"^[^/]*[^/.][^/]*$"), F.col("id")).otherwise(F.raise_error(F.concat(F.lit("no name for a file: "), F.col("id"))))
     one = F.explode(F.array(*(F.struct(F.concat(F.lit(f"{place}/"), safe, F.lit(".json")).alias("name"), F.to_json(column).alias("content")) for column, place in outputs.items())))
-    rows.select(one.alias("x")).select("x.*").where("content IS NOT NULL").write.format("colloquy_items").mode("append").option("folder", folder).save()
+    rows.select(one.alias("x")).select("x.*").where("content IS NOT NULL").write.format("colloquy_items").mode("append").option("folder", folder if ":" in folder.split("/")[0] else os.path.abspath(folder)).save()
 
 
 def item_ids(spark: SparkSession, folder: str) -> DataFrame:
