@@ -7,6 +7,7 @@ encoders do. Normalisation is the identity. Pre-tokens are encoded one by one; d
 
 from __future__ import annotations
 
+import gc
 import base64
 import struct
 from itertools import chain
@@ -112,6 +113,16 @@ class ByteBpe:
             self.known[chunk] = tuple(chain.from_iterable(next(answers) for _ in tokens))
 
     def encode(self, texts: list[str]) -> list[list[int]]:
+        """Ids of each text. The collector of cycles, of which there are none here, would walk all that is remembered, again and again."""
+        collects = gc.isenabled()
+        gc.disable()
+        try:
+            return self._encode(texts)
+        finally:
+            if collects:
+                gc.enable()
+
+    def _encode(self, texts: list[str]) -> list[list[int]]:
         out = []
         for k in range(0, len(texts), 32):
             split = [self.chunks(text) for text in texts[k : k + 32]]
