@@ -7,8 +7,8 @@ encoders do. Normalisation is the identity. Pre-tokens are encoded one by one; d
 
 from __future__ import annotations
 
-import gc
 import base64
+import gc
 import struct
 from itertools import chain
 
