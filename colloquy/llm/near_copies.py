@@ -5,7 +5,8 @@ fewer. Of these, pairs go whose bitmaps differ in more bits than the sets may in
 classes of hashes, set if the set has an odd number of that class, so each differing bit takes a shingle that only one side
 has, and no link is lost. What is left is decided by its exact Jaccard. Only connectivity is asked for, so a band's members are
 first compared with one leader, that with most candidates; a band whose members are all connected needs no further pair.
-What stays apart is compared pair by pair, bitmaps first.
+What stays apart is compared pair by pair, bitmaps first. Groups that another method has found may be decided first, in the
+same way; bands then find only what these have not connected.
 """
 
 from __future__ import annotations
@@ -165,22 +166,34 @@ def _all_pairs(members: DataFrame, nodes: DataFrame) -> DataFrame:
     return one.join(other, ["key", "block"]).where(F.expr("a < b AND ra != rb") & _fit()).select("a", "b").distinct()
 
 
-def links(nodes: DataFrame, rows: DataFrame) -> DataFrame:
-    """(a, b) of nodes (uid, n, keys, bits) of distinct sets that are alike, enough of them to connect all that are."""
-    spread = nodes.select(F.col("uid").alias("node"), F.explode("keys").alias("key"))
+def links(spread: DataFrame, nodes: DataFrame, rows: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """(a, b) of nodes (uid, n, bits) of distinct sets that are alike, enough of them to connect all that are and share a key.
+
+    ``spread`` has the (node, key), each once. ``known`` links are part of the result, and what they connect is not compared again.
+    """
     shared = spread.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("b"), F.count("*").alias("size")).where("size > 1")
     shared = written(shared, "near-shared")
     members = written(spread_join(spread, shared.where("size > 2").select("key", "size", F.col("size").alias("n")), ["key"]), "near-members")
     # The leader of a band is its member with most candidates over all bands, most likely that which others were copied from.
     degree = members.groupBy("node").agg(F.sum("size").alias("degree"))
-    members = written(members.join(degree, "node").withColumn("root", F.col("node")), "near-members")
+    members, pairs = members.join(degree, "node"), shared.where("size = 2").select("a", "b")
+    if known is None:
+        members = members.withColumn("root", F.col("node"))
+    else:
+        roots = written(components(known), "near-roots")
+        members = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        for x in "ab":
+            pairs = pairs.join(roots.select(F.col("node").alias(x), F.col("root").alias(f"r{x}")), x, "left")
+        pairs = pairs.where("coalesce(ra, a) != coalesce(rb, b)").select("a", "b")
+    members = written(members, "near-members")
 
     def stars(of: DataFrame, order) -> DataFrame:
         lead = of.groupBy("key").agg(F.max(F.struct(order.alias("o"), F.col("node").alias("a"), F.col("root").alias("ra"))).alias("l"), F.count("*").alias("n")).select("key", "l.*", "n")
         return spread_join(of, written(lead, "near-leaders"), ["key"]).where("root != ra").select("a", F.col("node").alias("b"))
 
-    tested = written(_close(shared.where("size = 2").select("a", "b").union(stars(members, F.col("degree"))), nodes), "near-pairs")
+    tested = written(_close(pairs.union(stars(members, F.col("degree"))), nodes), "near-pairs")
     found = written(alike(tested, rows), "near-links")
+    found = found if known is None else known.union(found)
     turn, before = 0, None
     while True:
         members = _apart(members, found)
@@ -198,10 +211,19 @@ def links(nodes: DataFrame, rows: DataFrame) -> DataFrame:
             return found
 
 
-def near_copies(rows: DataFrame) -> DataFrame:
+def _grouped(groups: DataFrame, own: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, key), each once, of the groups (uid, key) with several members: every copy of a set brings its key to the set's node."""
+    sizes = written(groups.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "near-sizes")
+    sets = nodes.select("s1", "s2", "copies", F.col("uid").alias("node"))
+    of_row = spread_join(own.select("uid", "s1", "s2"), sets, ["s1", "s2"], "copies").select("uid", "node")
+    return spread_join(groups, sizes, ["key"]).join(of_row, "uid").select("node", "key").distinct()
+
+
+def near_copies(rows: DataFrame, groups: DataFrame | None = None) -> DataFrame:
     """(uid, doc_id, component) for every row of (uid, doc_id, text): component is a uid, the same for all that links connect.
 
-    ``rows`` is a written table with unique uids; its doc_ids may be null or repeated. Null texts count as empty; texts without words
+    ``groups`` are (uid, key) of rows that another method takes for near copies, keys being longs, one for each row: their texts
+    are compared first, links by their exact Jaccard alone, and bands then look for all that is not connected yet. ``rows`` is a written table with unique uids; its doc_ids may be null or repeated. Null texts count as empty; texts without words
     are one component, as are texts of equal shingle sets. Texts of any length and bytes are read whole. Empty tables give none.
     """
     small_batches(rows.sparkSession)
@@ -209,7 +231,11 @@ def near_copies(rows: DataFrame) -> DataFrame:
     own = written(profile(rows), "near-profile")
     nodes = own.groupBy("s1", "s2").agg(F.min(F.struct("uid", "n", "keys", "bits")).alias("m"), F.count("*").alias("copies")).select("s1", "s2", "copies", "m.*")
     nodes = written(nodes, "near-nodes")
-    roots = components(written(links(nodes, rows), "near-links")).withColumnRenamed("node", "uid")
+    known = None
+    if groups is not None:
+        known = written(links(written(_grouped(written(groups, "near-groups"), own, nodes), "near-grouped"), nodes, rows), "near-known")
+    spread = nodes.select(F.col("uid").alias("node"), F.explode("keys").alias("key"))
+    roots = components(written(links(spread, nodes, rows, known), "near-links")).withColumnRenamed("node", "uid")
     of_set = nodes.select("s1", "s2", "copies", "uid").join(roots, "uid", "left").select("s1", "s2", "copies", F.coalesce("root", "uid").alias("component"))
     of_set = written(of_set, "near-components")
     return spread_join(own.select("uid", "doc_id", "s1", "s2"), of_set, ["s1", "s2"], "copies").select("uid", "doc_id", "component")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.llm import bpe, exact_dedup, mixing, near_copies, quality_rules
+from colloquy.llm import bpe, exact_dedup, mixing, near_copies, quality_rules, simhash
 from colloquy.llm.queries import VOCABULARY
 from colloquy.llm.shared import aside, bucketed, names_but, plain_name, quoted, written
 
@@ -47,12 +47,15 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each component of near copies (five-word Jaccard of 0.8 or more) stays, that with the smallest doc_id.
 
+    SimHash groups all rows by balls around their fingerprints, and an exact check of the texts follows in each group. Copies with
+    more differing bits than balls reach are then looked for among what is not connected yet, by bands and the same exact check.
     Rows are told apart by an id of their own, so null and repeated doc_ids are compared by their texts like all others. A null
     doc_id stays only if its component has no other; of rows that repeat the smallest doc_id in one component, one stays.
     """
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     rows = bucketed(_packed(docs).withColumn("uid", F.monotonically_increasing_id()), "uid", "pipeline-near-rows", size)
-    found = near_copies.near_copies(rows.select("uid", "doc_id", "text"))
+    groups = simhash.near_dedup(rows.select("uid", "text"), "uid").select("uid", F.col("component_id").alias("key"))
+    found = near_copies.near_copies(rows.select("uid", "doc_id", "text"), groups)
     first = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "uid")).alias("first"))
     keep = written(first.select("first.uid"), "pipeline-near")
     return rows.join(keep, "uid", "left_semi").select(*_unpacked(docs))

@@ -650,6 +650,31 @@ def test_pipeline_near_stage_equals_brute_force(spark, copied, sf):
         assert len(stay) == 1 and stay[0][0] == min((i for i, _ in rows if i is not None), default=None)
 
 
+def test_pipeline_near_stage_goes_by_simhash(spark, sf, monkeypatch):
+    """SimHash's groups are enough to link the copies that balls reach; the texts decide, and bands bring only the rest."""
+    base = passage(400, 2000)
+    often = "often " * 300
+    texts = {1: base, 2: _edited(base, 1, 2), 3: _edited(base, 2, 2), 4: often + passage(401, 8), 5: often + passage(402, 8), 6: passage(403, 60)}
+    texts[7] = _edited(texts[6], 3, 1)
+    docs = spark.createDataFrame([(i, t, "s1") for i, t in texts.items()], "doc_id long, text string, source string")
+    fp = {i: simhash.fingerprint(t.encode()) for i, t in texts.items()}
+    assert all((fp[a] ^ fp[b]).bit_count() <= 4 for a, b in ((1, 2), (1, 3), (4, 5))) and (fp[6] ^ fp[7]).bit_count() > 4
+    assert _near_groups(list(texts.values())) == [0, 0, 0, 3, 4, 5, 5]
+    assert sorted(r.doc_id for r in corpus_pipeline.near(spark, docs, sf).collect()) == [1, 4, 5, 6]
+    profile = near_copies.profile
+    monkeypatch.setattr(near_copies, "profile", lambda rows: profile(rows).withColumn("keys", F.expr("cast(array() AS array<bigint>)")))
+    assert sorted(r.doc_id for r in corpus_pipeline.near(spark, docs, sf).collect()) == [1, 4, 5, 6, 7]
+
+
+def test_near_copies_compare_groups_first(spark, copied):
+    """Whatever groups are given, the components are those of the exact check."""
+    rows = shared.written(copied.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "text"), "test-rows")
+    table = {r.uid: r.text for r in rows.collect()}
+    want = dict(zip(table, _near_groups(list(table.values())), strict=True))
+    got = {r.uid: r.component for r in near_copies.near_copies(rows, rows.select("uid", F.expr("pmod(xxhash64(uid), 9L)").alias("key"))).collect()}
+    assert len(set(zip(map(got.get, table), map(want.get, table), strict=True))) == len(set(want.values())) == len(set(got.values()))
+
+
 def test_substring_dedup_compares_words(spark):
     """Texts built so that all window hashes agree share no window, and lose nothing; a true copy among them is still found."""
     bits = [k.bit_count() & 1 for k in range(2048)]
