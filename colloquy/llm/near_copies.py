@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colloquy.llm.components import components
-from colloquy.llm.shared import Rolling, WordHashes, mixed, raw, small_batches, spread_join, written
+from colloquy.llm.shared import Rolling, WordHashes, bounds, mixed, raw, small_batches, spread_join, written
 
 SHINGLE, BANDS, ROWS = 5, 32, 5
 #: A pair is linked if PARTS * common >= LEAST * all of its shingles.
@@ -93,8 +93,16 @@ def profile(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, f"uid long, doc_id {kind}, s1 long, s2 long, n long, keys array<long>, bits array<long>")
 
 
+def _sides(pairs: DataFrame) -> tuple[DataFrame, dict[str, tuple[int, int, int]]]:
+    """(side, node, n) of the (a, b), n being the pairs that have the node on that side, and the bounds of n by side; none for no pairs."""
+    sides = F.explode(F.array(*(F.struct(F.lit(x).alias("side"), F.col(x).alias("node")) for x in "ab"))).alias("s")
+    asked = written(pairs.select(sides).groupBy("s.side", "s.node").agg(F.count("*").alias("n")), "near-asked")
+    found = asked.groupBy("side").agg(F.sum("n"), F.max("n"), F.min("n")).collect()
+    return asked, {r[0]: tuple(r[1:]) for r in found}
+
+
 def alike(pairs: DataFrame, rows: DataFrame) -> DataFrame:
-    """Those of the (a, b) whose texts' Jaccard is large enough. Only texts that are asked for are moved."""
+    """Those of the (a, b) whose texts' Jaccard is large enough. Only texts that are asked for are moved. ``pairs`` are a table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, last, one = Shingles(), None, None
@@ -108,15 +116,20 @@ def alike(pairs: DataFrame, rows: DataFrame) -> DataFrame:
                 stay.append(PARTS * common >= LEAST * (len(one) + len(two) - common))
             yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(stay, pa.bool_()))
 
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("uid")).distinct()
-    texts = written(rows.select("uid", "text").join(nodes, "uid", "left_semi").withColumnRenamed("uid", "node"), "near-texts")
+    asked, known = _sides(pairs)
+    if not known:
+        return pairs
+    texts = written(rows.select("uid", "text").join(asked.select(F.col("node").alias("uid")), "uid", "left_semi").withColumnRenamed("uid", "node"), "near-texts")
     # A text that is asked for often, on either side, is repeated for every GROUP pairs, so that they do not meet in one task.
-    both, there = pairs, {}
+    both, there, on = pairs, {}, {"a": ["a"], "b": ["b"]}
     for x, other in ("a", "b"), ("b", "a"):
-        asked = written(pairs.groupBy(x).agg(F.count("*").alias("n"), F.expr(f"count(*) div {GROUP} + 1").alias("salts")), "near-asked")
-        both = written(spread_join(both, asked, [x]).withColumn(f"salt_{x}", F.expr(f"pmod(xxhash64({other}), salts)")).drop("salts"), "near-salted")
-        there[x] = texts.select(F.col("node").alias(x), F.col("text").alias(f"t{x}")).join(asked, x).select(x, f"t{x}", F.explode(F.expr("sequence(0L, salts - 1)")).alias(f"salt_{x}"))
-    both = both.join(there["b"], ["b", "salt_b"]).join(there["a"], ["a", "salt_a"])
+        there[x] = texts.select(F.col("node").alias(x), F.col("text").alias(f"t{x}"))
+        if known[x][1] >= GROUP:
+            salts = asked.where(F.col("side") == x).select(F.col("node").alias(x), "n", F.expr(f"n div {GROUP} + 1").alias("salts"))
+            on[x].append(f"salt_{x}")
+            both = written(spread_join(both, salts, [x], known=known[x]).withColumn(f"salt_{x}", F.expr(f"pmod(xxhash64({other}), salts)")).drop("salts"), "near-salted")
+            there[x] = there[x].join(salts, x).select(x, f"t{x}", F.explode(F.expr("sequence(0L, salts - 1)")).alias(f"salt_{x}"))
+    both = both.join(there["b"], on["b"]).join(there["a"], on["a"])
     return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
@@ -134,21 +147,28 @@ def _fit():
 def _close(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs that fit, each once, smaller node first."""
     pairs = written(pairs.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near-candidates")
+    asked, known = _sides(pairs)
+    if not known:
+        return pairs
+    asked = written(asked.withColumnRenamed("n", "k").join(nodes.select(F.col("uid").alias("node"), "n", "bits"), "node"), "near-sides")
     for x in "ab":
         # A node of very many pairs, as a leader is, meets them by broadcast; nodes are of one size.
-        asked = pairs.groupBy(x).agg(F.count("*").alias("k")).join(nodes.select(F.col("uid").alias(x), F.col("n").alias(f"n{x}"), F.col("bits").alias(f"bits_{x}")), x)
-        pairs = spread_join(pairs, written(asked, "near-sides"), [x], "k")
+        own = asked.where(F.col("side") == x).select(F.col("node").alias(x), "k", F.col("n").alias(f"n{x}"), F.col("bits").alias(f"bits_{x}"))
+        pairs = spread_join(pairs, own, [x], "k", known=known[x])
         pairs = written(pairs, "near-sided") if x == "a" else pairs
     return pairs.where(_fit()).select("a", "b")
 
 
-def _apart(members: DataFrame, links: DataFrame) -> DataFrame:
-    """Members with their roots over ``links`` and the size of their band, without the bands whose members are connected."""
-    roots = components(links).withColumnRenamed("root", "to")
-    own = members.select("key", "node").join(roots, "node", "left").select("key", "node", F.coalesce("to", "node").alias("root"))
+def _apart(members: DataFrame, roots: DataFrame) -> tuple[DataFrame, int, int]:
+    """Members with their roots and the size of their band, without the bands whose members are connected; their number and that of all pairs in a band."""
+    own = members.select("key", "node").join(roots.withColumnRenamed("root", "to"), "node", "left").select("key", "node", F.coalesce("to", "node").alias("root"))
     own = written(own, "near-members")
     left = own.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("size")).where("x != y").select("key", "size", F.col("size").alias("n"))
-    return written(spread_join(own, written(left, "near-left"), ["key"]), "near-apart")
+    left = written(left, "near-left")
+    *known, pairs = left.agg(F.expr("coalesce(sum(n), 0)"), F.max("n"), F.min("n"), F.sum(F.col("n") * (F.col("n") - 1) / 2)).first()
+    if not known[0]:
+        return own, 0, 0
+    return written(spread_join(own, left, ["key"], known=tuple(known)), "near-apart"), known[0], pairs
 
 
 def _all_pairs(members: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -167,56 +187,57 @@ def _all_pairs(members: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def links(spread: DataFrame, nodes: DataFrame, rows: DataFrame, known: DataFrame | None = None) -> DataFrame:
-    """(a, b) of nodes (uid, n, bits) of distinct sets that are alike, enough of them to connect all that are and share a key.
+    """(node, root) for the nodes (uid, n, bits) of distinct sets that links connect; enough pairs are compared to connect all that are alike and share a key.
 
-    ``spread`` has the (node, key), each once. ``known`` links are part of the result, and what they connect is not compared again.
+    ``spread`` has the (node, key), each once. ``known`` is such a result: its links hold, and what they connect is not compared again.
     """
     shared = spread.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("b"), F.count("*").alias("size")).where("size > 1")
     shared = written(shared, "near-shared")
-    members = written(spread_join(spread, shared.where("size > 2").select("key", "size", F.col("size").alias("n")), ["key"]), "near-members")
+    large = shared.where("size > 2").select("key", "size", F.col("size").alias("n"))
+    members = written(spread_join(spread, large, ["key"], known=bounds(large)), "near-members")
     # The leader of a band is its member with most candidates over all bands, most likely that which others were copied from.
     degree = members.groupBy("node").agg(F.sum("size").alias("degree"))
     members, pairs = members.join(degree, "node"), shared.where("size = 2").select("a", "b")
     if known is None:
         members = members.withColumn("root", F.col("node"))
     else:
-        roots = written(components(known), "near-roots")
-        members = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        members = members.join(known, "node", "left").withColumn("root", F.coalesce("root", "node"))
         for x in "ab":
-            pairs = pairs.join(roots.select(F.col("node").alias(x), F.col("root").alias(f"r{x}")), x, "left")
+            pairs = pairs.join(known.select(F.col("node").alias(x), F.col("root").alias(f"r{x}")), x, "left")
         pairs = pairs.where("coalesce(ra, a) != coalesce(rb, b)").select("a", "b")
     members = written(members, "near-members")
 
     def stars(of: DataFrame, order) -> DataFrame:
         lead = of.groupBy("key").agg(F.max(F.struct(order.alias("o"), F.col("node").alias("a"), F.col("root").alias("ra"))).alias("l"), F.count("*").alias("n")).select("key", "l.*", "n")
-        return spread_join(of, written(lead, "near-leaders"), ["key"]).where("root != ra").select("a", F.col("node").alias("b"))
+        lead = written(lead, "near-leaders")
+        return spread_join(of, lead, ["key"], known=bounds(lead)).where("root != ra").select("a", F.col("node").alias("b"))
 
     tested = written(_close(pairs.union(stars(members, F.col("degree"))), nodes), "near-pairs")
     found = written(alike(tested, rows), "near-links")
-    found = found if known is None else known.union(found)
+    found = found if known is None else known.where("node != root").select(F.col("node").alias("a"), F.col("root").alias("b")).union(found)
     turn, before = 0, None
     while True:
-        members = _apart(members, found)
-        sizes = members.groupBy("key").agg(F.count("*").alias("c")).agg(F.sum("c"), F.sum(F.col("c") * (F.col("c") - 1) / 2)).first()
-        if not sizes[0]:
-            return found
+        roots = written(components(found), "near-roots")
+        members, left, pairs = _apart(members, roots)
+        if not left:
+            return roots
         turn += 1
-        last = sizes[1] <= PAIRS_PER_MEMBER * sizes[0] or (before is not None and sizes[0] > 0.9 * before)
-        before = sizes[0]
+        last = pairs <= PAIRS_PER_MEMBER * left or (before is not None and left > 0.9 * before)
+        before = left
         more = _all_pairs(members, nodes) if last else _close(stars(members, F.xxhash64("node", F.lit(turn))), nodes)
         more = written(more.join(tested, ["a", "b"], "left_anti"), "near-pairs")
         tested = tested.union(more)
         found = found.union(written(alike(more, rows), "near-links"))
         if last:
-            return found
+            return written(components(found), "near-roots")
 
 
-def _grouped(groups: DataFrame, own: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, key), each once, of the groups (uid, key) with several members: every copy of a set brings its key to the set's node."""
+def _grouped(groups: DataFrame, own: DataFrame, nodes: DataFrame, known: tuple[int, int, int]) -> DataFrame:
+    """(node, key), each once, of the groups (uid, key) with several members: every copy of a set brings its key to the set's node. ``known`` bounds the copies."""
     sizes = written(groups.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "near-sizes")
     sets = nodes.select("s1", "s2", "copies", F.col("uid").alias("node"))
-    of_row = spread_join(own.select("uid", "s1", "s2"), sets, ["s1", "s2"], "copies").select("uid", "node")
-    return spread_join(groups, sizes, ["key"]).join(of_row, "uid").select("node", "key").distinct()
+    of_row = spread_join(own.select("uid", "s1", "s2"), sets, ["s1", "s2"], "copies", known=known).select("uid", "node")
+    return spread_join(groups, sizes, ["key"], known=bounds(sizes)).join(of_row, "uid").select("node", "key").distinct()
 
 
 def near_copies(rows: DataFrame, groups: DataFrame | None = None) -> DataFrame:
@@ -231,11 +252,11 @@ def near_copies(rows: DataFrame, groups: DataFrame | None = None) -> DataFrame:
     own = written(profile(rows), "near-profile")
     nodes = own.groupBy("s1", "s2").agg(F.min(F.struct("uid", "n", "keys", "bits")).alias("m"), F.count("*").alias("copies")).select("s1", "s2", "copies", "m.*")
     nodes = written(nodes, "near-nodes")
-    known = None
+    copies, known = bounds(nodes, "copies"), None
     if groups is not None:
-        known = written(links(written(_grouped(written(groups, "near-groups"), own, nodes), "near-grouped"), nodes, rows), "near-known")
+        known = links(written(_grouped(written(groups, "near-groups"), own, nodes, copies), "near-grouped"), nodes, rows)
     spread = nodes.select(F.col("uid").alias("node"), F.explode("keys").alias("key"))
-    roots = components(written(links(spread, nodes, rows, known), "near-links")).withColumnRenamed("node", "uid")
+    roots = links(spread, nodes, rows, known).withColumnRenamed("node", "uid")
     of_set = nodes.select("s1", "s2", "copies", "uid").join(roots, "uid", "left").select("s1", "s2", "copies", F.coalesce("root", "uid").alias("component"))
     of_set = written(of_set, "near-components")
-    return spread_join(own.select("uid", "doc_id", "s1", "s2"), of_set, ["s1", "s2"], "copies").select("uid", "doc_id", "component")
+    return spread_join(own.select("uid", "doc_id", "s1", "s2"), of_set, ["s1", "s2"], "copies", known=copies).select("uid", "doc_id", "component")

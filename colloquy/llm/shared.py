@@ -75,13 +75,27 @@ def clear(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def spread_join(left: DataFrame, right: DataFrame, on: list[str], n: str = "n", total: int | None = None) -> DataFrame:
+def bounds(right: DataFrame, n: str = "n") -> tuple[int, int, int]:
+    """The sum, the largest and the smallest ``n`` of a table, zeros for an empty one."""
+    return tuple(right.agg(*(F.coalesce(f(n), F.lit(0)) for f in (F.sum, F.max, F.min))).first())
+
+
+def spread_join(left: DataFrame, right: DataFrame, on: list[str], n: str = "n", total: int | None = None, known: tuple[int, int, int] | None = None) -> DataFrame:
     """Inner join of ``left`` with ``right``, which has one row per key and the number ``n`` of left rows that the key has.
 
     Rows of hot keys stay where they are and meet their key's row by broadcast: fewer than HOT keys can be hot, which bounds
     it. All other keys, each with at most one in HOT of the rows, are shuffled. Both sides are evaluated twice, so they should be
     written tables or plain scans. Keys are not null. ``total``, where known, is a number that the sum of ``n`` does not exceed.
+
+    ``known`` are the ``bounds`` of ``n``. Where they show that no key is hot, or that all are, one join of both sides does, which
+    evaluates each once: every exchange costs the driver a thread and a plan, so callers in rounds give them.
     """
+    if known is not None:
+        total, most, least = known
+        if not total or least * HOT > total:
+            return left.join(F.broadcast(right.drop(n)), on)
+        if most * HOT <= total:
+            return left.join(right.drop(n), on)
     if total is None:
         total = right.agg(F.coalesce(F.sum(n), F.lit(0))).first()[0]
     hot = right.where(F.col(n) * HOT > F.lit(total)).drop(n)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colloquy.llm.components import components
-from colloquy.llm.shared import must_differ, quoted, raw, small_batches, spread_join, written
+from colloquy.llm.shared import bounds, must_differ, quoted, raw, small_batches, spread_join, written
 
 BITS, SHINGLE, SEED, WITHIN = 64, 4, 42, 4
 #: For the lossless sieve: blocks of 8 bits of which four differing bits leave at least four untouched.
@@ -110,9 +110,9 @@ def near_dedup(df: DataFrame, ident: str = "doc_id", text: str = "text") -> Data
     joined = written(distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left"), "simhash-joined")
     linked = joined.where("root IS NOT NULL")
     least = written(linked.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("k")), "simhash-least")
-    of_fp = spread_join(linked.select("fp", "n", "root"), least, ["root"], "k").select("fp", "n", "component_id")
+    of_fp = spread_join(linked.select("fp", "n", "root"), least, ["root"], "k", known=bounds(least, "k")).select("fp", "n", "component_id")
     of_fp = written(of_fp.union(joined.where("root IS NULL").select("fp", "n", "least")), "simhash-components")
-    return spread_join(rows, of_fp, ["fp"]).select(F.col("id").alias(ident), "fp", "component_id")
+    return spread_join(rows, of_fp, ["fp"], known=bounds(of_fp)).select(F.col("id").alias(ident), "fp", "component_id")
 
 
 def hex_fingerprint(fp: str = "fp"):

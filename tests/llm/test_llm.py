@@ -666,6 +666,28 @@ def test_pipeline_near_stage_goes_by_simhash(spark, sf, monkeypatch):
     assert sorted(r.doc_id for r in corpus_pipeline.near(spark, docs, sf).collect()) == [1, 4, 5, 6, 7]
 
 
+def test_stars_are_found_in_few_jobs(spark):
+    """What is a star already takes no round, and a join whose keys are all hot, or none, evaluates each side once."""
+    edges = shared.written(spark.createDataFrame([(1, k) for k in range(2, 50)] + [(100, 101), (103, 102)], "a long, b long"), "test-edges")
+    jobs = spark.sparkContext._jsc.sc().dagScheduler().nextJobId
+    began = jobs()
+    got = {r.node: r.root for r in components(edges).collect()}
+    assert got == {**{k: 1 for k in range(1, 50)}, 100: 100, 101: 100, 102: 102, 103: 102} and jobs() - began <= 10
+
+
+@pytest.mark.parametrize(("hot", "scans"), [(1, 2), (4, 5), (1000, 2)])
+def test_spread_join_with_known_bounds(spark, monkeypatch, hot, scans):
+    """No, some and all keys are hot: the rows of a plain join, and each side read once where one join does."""
+    monkeypatch.setattr(shared, "HOT", hot)
+    left = shared.written(spark.createDataFrame([(k, x) for k in range(1, 8) for x in range(k * k)] + [(99, 0)], "k long, x long"), "test-left")
+    right = shared.written(spark.createDataFrame([(k, k * k, -k) for k in range(1, 8)], "k long, n long, y long"), "test-right")
+    joined = shared.spread_join(left, right, ["k"], known=shared.bounds(right))
+    want = sorted((k, x, -k) for k in range(1, 8) for x in range(k * k))
+    assert joined.columns == ["k", "x", "y"] and sorted(map(tuple, joined.collect())) == want
+    assert joined._jdf.queryExecution().analyzed().toString().count("Relation [k") == scans
+    assert shared.bounds(right.limit(0)) == (0, 0, 0) and shared.spread_join(left, right.limit(0), ["k"], known=(0, 0, 0)).count() == 0
+
+
 def test_near_copies_compare_groups_first(spark, copied):
     """Whatever groups are given, the components are those of the exact check."""
     rows = shared.written(copied.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "text"), "test-rows")
